@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quern.llm import langid
+from quern.llm import bpe_reuse, langid, packing, quality_rules
 from quern.session import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +17,31 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(prepare(spark), sf_dir, "documents"))
 
 
+def op4_bpe_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    return bpe_reuse.decode(bpe_reuse.encode(docs)).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.apply_rules(docs).drop("text")
+
+
 QUERIES: dict[str, Query] = {
     "op2_language_id": op2_language_id,
+    "op4_bpe_reuse": op4_bpe_reuse,
+    "op7_best_fit_packing": op7_best_fit_packing,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLES: dict[str, str] = {}
