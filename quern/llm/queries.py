@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe_reuse, langid, packing, quality_rules
+from quern.llm import bpe_reuse, hashing_index, langid, packing, quality_rules, tool_calls, warc
 from quern.session import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(prepare(spark), sf_dir, "documents"))
 
 
+def op3_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hashing_index.search(table(prepare(spark), sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op4_bpe_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
     return bpe_reuse.decode(bpe_reuse.encode(docs)).select(
@@ -27,11 +31,66 @@ def op4_bpe_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TOOLS = """
+SELECT 'reply' AS name, '{"type": "object", "properties": {"after": {"type": "string"}, "prompt": {"type": "string", "maxLength": 400}, "turn": {"type": "integer", "minimum": 0}}, "required": ["prompt", "turn"], "additionalProperties": false}' AS schema
+"""
+
+
+def op6_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as tool traffic: a user's turn calls ``reply``, the next turn is its result.
+
+    From the third turn on a call needs the result of the call two turns before.
+    """
+    turns = table(prepare(spark), sf_dir, "conversations")
+    call_id = lambda back: F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), (F.col("turn") - back).cast("string"))
+    after = F.when(F.col("turn") >= 2, F.concat(F.lit("$result:"), call_id(2)))
+    arguments = F.struct(F.col("turn").alias("turn"), F.col("text").alias("prompt"), after.alias("after"))
+    call = F.to_json(F.struct(F.array(F.struct(call_id(0).alias("id"), F.lit("reply").alias("name"), arguments.alias("arguments"))).alias("tool_calls")))
+    result = F.to_json(F.struct(call_id(1).alias("tool_call_id"), F.col("text").alias("content")))
+    messages = turns.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("role") == "user", "assistant").when(F.col("role") == "assistant", "tool").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("role") == "user", call).when(F.col("role") == "assistant", result).otherwise(F.col("text")).alias("text"),
+    )
+    linked = tool_calls.link(messages, spark.sql(TOOLS))
+    return linked.select("conv_id", "turn", "kind", "call_id", "status", F.col("level").cast("long").alias("level"), F.array_join("errors", "; ").alias("errors"), "canonical")
+
+
+OP6_SQL = """
+WITH RECURSIVE asked AS (SELECT conv_id, turn, text, 'c' || conv_id || '-' || turn AS id FROM conversations WHERE role = 'user'),
+replied AS (SELECT conv_id, turn, text, 'c' || conv_id || '-' || (turn - 1) AS id FROM conversations WHERE role = 'assistant'),
+answered AS (SELECT DISTINCT asked.conv_id, asked.turn, asked.id FROM asked JOIN replied USING (conv_id, id)),
+levels AS (
+  SELECT conv_id, turn, id, 0::BIGINT AS level FROM asked WHERE turn < 2
+  UNION ALL
+  SELECT a.conv_id, a.turn, a.id, l.level + 1 FROM levels l JOIN answered USING (conv_id, turn, id) JOIN asked a ON a.conv_id = l.conv_id AND a.turn = l.turn + 2
+)
+SELECT a.conv_id, a.turn, 'call' AS kind, a.id AS call_id, CASE WHEN w.id IS NULL THEN 'unanswered' ELSE 'linked' END AS status, l.level,
+  CASE WHEN length(a.text) > 400 THEN 'prompt: too long' ELSE '' END AS errors,
+  '{"args":{' || CASE WHEN a.turn >= 2 THEN '"after":"$result:c' || a.conv_id || '-' || (a.turn - 2) || '",' ELSE '' END
+  || '"prompt":' || to_json(a.text)::VARCHAR || ',"turn":' || a.turn || '},"id":"' || a.id || '","name":"reply","type":"call"}' AS canonical
+FROM asked a LEFT JOIN answered w ON a.conv_id = w.conv_id AND a.id = w.id LEFT JOIN levels l ON a.conv_id = l.conv_id AND a.id = l.id
+UNION ALL
+SELECT r.conv_id, r.turn, 'result', r.id, CASE WHEN w.id IS NULL THEN 'orphan' ELSE 'linked' END, l.level, '',
+  '{"content":' || to_json(r.text)::VARCHAR || ',"id":"' || r.id || '","type":"result"}'
+FROM replied r LEFT JOIN answered w ON r.conv_id = w.conv_id AND r.id = w.id LEFT JOIN levels l ON w.conv_id = l.conv_id AND w.id = l.id
+UNION ALL
+SELECT conv_id, turn, 'message', NULL, 'plain', 0, '', '{"content":' || to_json(text)::VARCHAR || ',"role":"' || role || '","type":"message"}'
+FROM conversations WHERE role NOT IN ('user', 'assistant')
+"""
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op9_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(prepare(spark), sf_dir, "pages").select("page_id", "url", "html")
+    return warc.round_trip(spark, pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
     return quality_rules.apply_rules(docs).drop("text")
@@ -39,9 +98,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_language_id": op2_language_id,
+    "op3_multi_index_hashing": op3_multi_index_hashing,
     "op4_bpe_reuse": op4_bpe_reuse,
+    "op6_tool_calls": op6_tool_calls,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op9_warc_dictionary": op9_warc_dictionary,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_tool_calls": OP6_SQL,
+}
