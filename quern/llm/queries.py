@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe_reuse, hashing_index, langid, packing, quality_rules, tool_calls, warc
+from quern.llm import backoff_lm, bpe_reuse, hashing_index, jaccard_join, langid, packing, passage_dedup, quality_rules, tool_calls, warc
 from quern.session import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.classes(docs, n=4, percent=85)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(prepare(spark), sf_dir, "documents"))
 
@@ -31,6 +36,10 @@ def op4_bpe_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_lm.score(table(prepare(spark), sf_dir, "documents").select("doc_id", "text"))
+
+
 TOOLS = """
 SELECT 'reply' AS name, '{"type": "object", "properties": {"after": {"type": "string"}, "prompt": {"type": "string", "maxLength": 400}, "turn": {"type": "integer", "minimum": 0}}, "required": ["prompt", "turn"], "additionalProperties": false}' AS schema
 """
@@ -86,6 +95,13 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op8_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per passage that an earlier document holds too: places are word numbers."""
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    found = passage_dedup.find(docs, min_words=50)
+    return found.select("doc_id", F.explode("passages").alias("p")).select("doc_id", F.col("p.source").alias("source_doc_id"), F.col("p.start").alias("start_word"), F.col("p.end").alias("end_word"), F.col("p.source_start").alias("source_start_word"), F.col("p.source_end").alias("source_end_word"), F.col("p.agreeing").alias("agreeing_words"))
+
+
 def op9_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(prepare(spark), sf_dir, "pages").select("page_id", "url", "html")
     return warc.round_trip(spark, pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -97,11 +113,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_language_id": op2_language_id,
     "op3_multi_index_hashing": op3_multi_index_hashing,
     "op4_bpe_reuse": op4_bpe_reuse,
+    "op5_backoff_lm": op5_backoff_lm,
     "op6_tool_calls": op6_tool_calls,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_passage_dedup": op8_passage_dedup,
     "op9_warc_dictionary": op9_warc_dictionary,
     "op10_quality_rules": op10_quality_rules,
 }
