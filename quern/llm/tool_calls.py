@@ -20,7 +20,7 @@ with a string ``tool_call_id`` is a result. All others are plain messages. An ar
 * ``canonical``: JSON with sorted keys and no blanks.
 
 Joins are by conversation and id; no group is gathered into one row or task. Levels are found in
-rounds, one per level, each written to the shared folder.
+rounds, each written to the shared folder.
 
 Results in odd cases: a null conversation id is a conversation of its own; a null turn sorts last;
 text that is null, empty or not such JSON is a plain message; repeated rows make duplicates. Empty
@@ -29,8 +29,6 @@ tables give no rows; an empty table of tools makes every tool unknown. Other col
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +36,6 @@ from quern.session import materialize
 
 SCHEMA = "STRUCT<properties: MAP<STRING, STRUCT<type: STRING, minimum: DOUBLE, maximum: DOUBLE, maxLength: BIGINT, enum: ARRAY<STRING>>>, required: ARRAY<STRING>, additionalProperties: BOOLEAN>"
 _LAST = 2**62
-_MOST_LEVELS = 10_000
 
 
 def _object(text: Column) -> Column:
@@ -135,20 +132,49 @@ def validate(calls: DataFrame, tools: DataFrame) -> DataFrame:
 
 
 def levels(calls: DataFrame, answered: DataFrame) -> DataFrame:
-    """(conv, call_id, level) of the calls whose order exists. answered: (conv, call_id) with a result."""
-    needs = calls.select("conv", "call_id", F.explode("needs").alias("need"))
-    fixed = materialize(needs.join(answered.select("conv", F.col("call_id").alias("need"), F.lit(True).alias("has")), ["conv", "need"], "left"), "tool-needs")
-    done = [materialize(calls.where(F.size("needs") == 0).select("conv", "call_id", F.lit(0).alias("level")), "tool-level")]
-    want = fixed.groupBy("conv", "call_id").agg(F.count(F.lit(1)).alias("wanted"), F.count("has").alias("possible")).where("wanted = possible").drop("possible")
-    for level in range(1, _MOST_LEVELS):
-        known = reduce(DataFrame.unionByName, done)
-        met = fixed.join(known.select("conv", F.col("call_id").alias("need"), "level"), ["conv", "need"]).groupBy("conv", "call_id").agg(F.count(F.lit(1)).alias("met"), F.max("level").alias("top"))
-        ready = met.join(want, ["conv", "call_id"]).where((F.col("met") == F.col("wanted")) & (F.col("top") == level - 1)).select("conv", "call_id", F.lit(level).alias("level"))
-        step = materialize(ready, "tool-level")
-        if step.isEmpty():
-            break
-        done.append(step)
-    return reduce(DataFrame.unionByName, done)
+    """(conv, call_id, level) of the calls whose order exists. answered: (conv, call_id) with a result.
+
+    Calls that need one other form chains; each learns where its chain ends, and how far off that
+    is, by pointer jumping, so a chain of n calls takes log(n) rounds. Chains end at calls that
+    need nothing, at calls that need several, whose levels then take one round per layer of such
+    calls, or nowhere.
+    """
+    needs = calls.select("conv", "call_id", F.explode("needs").alias("need")).join(answered.select("conv", F.col("call_id").alias("need"), F.lit(1).alias("has")), ["conv", "need"], "left")
+    possible = needs.groupBy("conv", "call_id").agg(F.count(F.lit(1)).alias("wanted"), F.count("has").alias("met"), F.min("need").alias("need"))
+    kinds = calls.select("conv", "call_id").join(possible, ["conv", "call_id"], "left")
+    kind = F.when(F.col("wanted").isNull(), "first").when(F.col("met") < F.col("wanted"), "dead").when(F.col("wanted") == 1, "one").otherwise("many")
+    start = kinds.withColumn("kind", kind).select(
+        "conv", "call_id", "kind",
+        F.when(F.col("kind") == "one", F.col("need")).otherwise(F.col("call_id")).alias("end"),
+        F.when(F.col("kind") == "one", 1).otherwise(0).alias("off"),
+        (F.col("kind") != "one").alias("closed"),
+    )
+    reach = materialize(start, "tool-chains")
+    open_before = -1
+    while (still := reach.where("not closed").count()) not in (0, open_before):  # what no round closes runs in a circle
+        open_before = still
+        ahead = reach.select("conv", F.col("call_id").alias("end"), F.col("end").alias("next"), F.col("off").alias("more"), F.col("closed").alias("ends"))
+        jumped = reach.where("not closed").join(ahead, ["conv", "end"]).select("conv", "call_id", "kind", F.col("next").alias("end"), (F.col("off") + F.col("more")).alias("off"), F.col("ends").alias("closed"))
+        reach = materialize(reach.where("closed").unionByName(jumped), "tool-chains")
+    ends = reach.where("closed").join(reach.select("conv", F.col("call_id").alias("end"), F.col("kind").alias("end_kind")), ["conv", "end"])
+    ends = ends.select("conv", "call_id", "kind", "end", "off", "end_kind")
+    many = ends.where("kind = 'many'").select("conv", "call_id")
+    placed = calls.select("conv", "call_id").limit(0).withColumn("level", F.lit(0))
+    if not many.isEmpty():
+        targets = ends.select("conv", F.col("call_id").alias("need"), "end", "off", "end_kind")
+        edges = materialize(needs.select("conv", "call_id", "need").join(many, ["conv", "call_id"]).join(targets, ["conv", "need"], "left").select("conv", "call_id", "end", "off", "end_kind"), "tool-joins")
+        placed = materialize(placed, "tool-levels")
+        while True:
+            known = edges.join(placed.select("conv", F.col("call_id").alias("end"), "level"), ["conv", "end"], "left")
+            need_level = F.when(F.col("end_kind") == "first", F.col("off")).when(F.col("end_kind") == "many", F.col("level") + F.col("off"))
+            ready = known.groupBy("conv", "call_id").agg(F.count(F.lit(1)).alias("all"), F.count(need_level).alias("have"), (F.max(need_level) + 1).alias("level")).where("have = all").select("conv", "call_id", "level")
+            now = materialize(ready, "tool-levels")
+            if now.count() == placed.count():
+                break
+            placed = now
+    base = placed.select("conv", F.col("call_id").alias("end"), F.col("level").alias("base"))
+    level = F.when(F.col("end_kind") == "first", F.col("off")).when(F.col("end_kind") == "many", F.col("base") + F.col("off"))
+    return ends.join(base, ["conv", "end"], "left").select("conv", "call_id", level.alias("level")).where("level IS NOT NULL")
 
 
 def link(messages: DataFrame, tools: DataFrame) -> DataFrame:
