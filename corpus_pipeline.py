@@ -1,27 +1,64 @@
-"""A training-text pipeline over ``documents``: each stage works on what its predecessor kept."""
+"""A training-text pipeline over ``documents``: each stage works on what its predecessor kept.
+
+Language identification, quality rules, near-duplicate removal, removal of passages that repeat
+across documents, and packing. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quern.llm import langid
+from quern.llm import jaccard_join, langid, packing, passage_dedup, quality_rules
 from quern.session import prepare, shared_path, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the known languages stay."""
+    """Documents whose language can be determined stay."""
+    prepare(spark)
     return langid.keep_identified(docs)
 
 
+def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the counts and the compression bands stay."""
+    prepare(spark)
+    return quality_rules.keep_passing(docs)
+
+
+def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near copies, by five-word shingles at 0.8, the document with the least id stays."""
+    prepare(spark)
+    return jaccard_join.keep_first(docs, n=5, percent=80)
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of fifty words or more that an earlier document holds are cut; documents of which nothing is left go."""
+    prepare(spark)
+    found = passage_dedup.find(docs, min_words=50)
+    kept = found.where((F.size("passages") == 0) | F.col("cleaned").rlike(r"[^\x20\x09-\x0D]"))
+    length = F.when(F.size("passages") == 0, F.col("n_chars")).otherwise(F.length("cleaned").cast(docs.schema["n_chars"].dataType))
+    return kept.withColumns({"text": F.col("cleaned"), "n_chars": length}).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 2048 tokens with their place in a sequence, and their ids."""
+    prepare(spark)
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("language_id", identify_language),
+    ("quality_rules", apply_quality_rules),
+    ("ngram_jaccard_join", join_near_duplicates),
+    ("passage_dedup", drop_repeated_passages),
+    ("best_fit_packing", pack_sequences),
 ]
 
-#: Several stages can't be expressed in SQL; the tests hold the pipeline against brute force.
+#: Profiles, compression, chaining and packing can't be expressed in SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
