@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quern.plans import analysis, curation
+
 Query = Callable[[SparkSession, str], DataFrame]
 
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Query] = {**curation.QUERIES, **analysis.QUERIES}
+ORACLES: dict[str, str] = {**curation.ORACLES, **analysis.ORACLES}
