@@ -28,6 +28,8 @@ from quern.llm import wordhash
 
 ORDER = 3
 ALPHA = 0.4
+#: Texts of a bucket; scoring holds about sixty bytes per byte of them.
+BUCKET_BYTES = 4_000_000
 #: The key under which the number of all words is counted.
 TOTAL = np.uint64(0)
 
@@ -88,7 +90,7 @@ def _scores(table: pa.Table, answers: pa.Table, alpha: float, leave_out: bool) -
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", alpha: float = ALPHA, leave_out: bool = True) -> DataFrame:
     """(key, n_words, log_score, mean_log_score) of every document under counts of all documents."""
-    buckets, n = exchange.dealt(docs, key, text)
+    buckets, n = exchange.dealt(docs, key, text, BUCKET_BYTES)
     answers = exchange.exchange(buckets, n, _asked)
     kind = docs.schema[key].dataType
     schema = T.StructType([T.StructField("key", kind), T.StructField("n_words", T.LongType()), T.StructField("log_score", T.DoubleType()), T.StructField("mean_log_score", T.DoubleType())])

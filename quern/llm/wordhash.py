@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-PIECE_BYTES = 2_000_000
+PIECE_BYTES = 1_000_000
 KEY_BITS = 48
 _BASE = 0x9E3779B97F4A7C15
 _SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
