@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from quern.llm.wordhash import KEY_BITS
 
-BUCKET_BYTES = 8_000_000
+BUCKET_BYTES = 5_000_000
 
 
 def dealt(docs: DataFrame, key: str, text: str, bucket_bytes: int = BUCKET_BYTES, carry: Sequence[str] = ()) -> tuple[DataFrame, int]:

@@ -11,8 +11,8 @@ reach the threshold are discarded early by bounds that follow from the documents
    ``size - threshold * size + 1`` n-grams of both. Documents that share one of those are
    candidates; their connected components are families, outside which no entry can count.
 3. Each family is a sub-matrix. Its product is accumulated in blocks of a bounded number of
-   documents: first over the leading n-grams, where entries that are zero, or can't reach the bound
-   even if all other n-grams agreed, are dropped; then over the rest. Of the links found, each block gives
+   documents: first over the leading n-grams, where entries that are zero, or whose documents differ
+   too much in size for any overlap to reach the threshold, are dropped; then over all. Of the links found, each block gives
    only as many as connect its documents alike, so a family of thousands of near copies gives
    thousands of rows, not millions.
 4. Documents with equal sets are one document in steps 2 and 3; all of them belong to its class.
@@ -42,7 +42,7 @@ from quern.llm.components import components
 from quern.session import materialize
 
 #: Documents of a family in one block of its product.
-BLOCK_DOCS = 1000
+BLOCK_DOCS = 256
 
 
 def _doc_keys(table: pa.Table, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -31,7 +31,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 def _power_table(size: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers
     if len(_powers[0]) < size:
-        size = max(size, PIECE_BYTES + 65_536)
+        size = max(size + size // 4, PIECE_BYTES + PIECE_BYTES // 4)
         up, down = np.full(size, _BASE, np.uint64), np.full(size, pow(_BASE, -1, 1 << 64), np.uint64)
         up[0] = down[0] = 1
         _powers = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
