@@ -21,6 +21,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from quern.llm.aside import set_aside
+
 
 @dataclass(frozen=True)
 class Rules:
@@ -34,12 +36,12 @@ class Rules:
     bands: tuple[tuple[float, float, float], ...] = (
         (128, 0.60, 9.0),
         (256, 0.45, 1.10),
-        (512, 0.35, 0.95),
-        (1024, 0.30, 0.85),
-        (2048, 0.27, 0.80),
-        (4096, 0.25, 0.80),
-        (16384, 0.22, 0.80),
-        (float("inf"), 0.20, 0.80),
+        (512, 0.35, 0.85),
+        (1024, 0.30, 0.78),
+        (2048, 0.27, 0.72),
+        (4096, 0.25, 0.70),
+        (16384, 0.22, 0.70),
+        (float("inf"), 0.20, 0.70),
     )
 
     def within(self, size: int, ratio: float) -> bool:
@@ -112,9 +114,5 @@ def apply_rules(docs: DataFrame, rules: Rules = Rules(), text: str = "text") ->
 
 def keep_passing(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The rows that pass, with their columns as they were."""
-    marked = apply_rules(docs, rules)
-    names = {n for n, _ in FIELDS}
-    if any(c.lower() in names for c in docs.columns):  # a clash: measure under a copy of the row
-        packed = docs.selectExpr("struct(*) AS row", "text")
-        return apply_rules(packed, rules).where("kept").select("row.*")
-    return marked.where("kept").select(*docs.columns)
+    moved, back = set_aside(docs, [n for n, _ in FIELDS])
+    return back(apply_rules(moved, rules).where("kept"))
