@@ -6,8 +6,9 @@ record. Payloads that several pages share are stored once, in the record of the
 the other pages get revisit records that refer to it. Smaller payloads than ``revisit_from`` bytes
 are always stored.
 
-Archives are written by the tasks, under a temporary name first, so a task that runs again leaves
-the same file. The folder can be any that ``pyarrow.fs`` can write to.
+Archives are written by the tasks, each attempt under names of its own; the manifest, which is
+committed with the job, names those of the attempts that count, so lost, repeated or speculative
+attempts leave nothing that is read. The folder can be any that ``pyarrow.fs`` can write to.
 
 Results in odd cases: a null payload is an empty one; a null URL is written as ``about:blank``;
 control characters in a URL are percent-encoded; a null page id is always a response and comes
@@ -162,12 +163,10 @@ def write_archives(pages: DataFrame, folder: str, revisit_from: int = 0, archive
 
         def close() -> None:
             nonlocal records, held
-            path = f"{root}/part-{task.partitionId():06d}-{len(made):05d}.warc.zst"
-            draft = f"{path}.{task.taskAttemptId()}"
-            with store.open_output_stream(draft, compression=None) as out:
+            path = f"{root}/part-{task.partitionId():06d}-{len(made):05d}-{task.taskAttemptId()}.warc.zst"
+            with store.open_output_stream(path, compression=None) as out:
                 for frame in archive_bytes(records):
                     out.write(frame)
-            store.move(draft, path)
             made.append((path, len(records)))
             records, held = [], 0
 
