@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quern.llm.aside import set_aside
+
 PROFILE_SIZE = 400
 #: Upper bound, in expectation, of labelled rows per language that a profile is learned from.
 TRAIN_ROWS_PER_LANGUAGE = 4000
@@ -145,5 +147,5 @@ def identify(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame, min_score: float = 0.25) -> DataFrame:
     """The rows whose language is determined with at least ``min_score``; columns as they were."""
     profiles = learn(docs.where(~F.coalesce(held_out(), F.lit(False))))
-    marked = predict(docs, profiles)
-    return marked.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)).select(*docs.columns)
+    moved, back = set_aside(docs, ("lang_pred", "score"))
+    return back(predict(moved, profiles).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)))
