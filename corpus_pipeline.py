@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quern.llm import jaccard_join, langid, packing, passage_dedup, quality_rules
 from quern.session import prepare, shared_path, table
@@ -38,10 +37,7 @@ def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of fifty words or more that an earlier document holds are cut; documents of which nothing is left go."""
     prepare(spark)
-    found = passage_dedup.find(docs, min_words=50)
-    kept = found.where((F.size("passages") == 0) | F.col("cleaned").rlike(r"[^\x20\x09-\x0D]"))
-    length = F.when(F.size("passages") == 0, F.col("n_chars")).otherwise(F.length("cleaned").cast(docs.schema["n_chars"].dataType))
-    return kept.withColumns({"text": F.col("cleaned"), "n_chars": length}).select(*docs.columns)
+    return passage_dedup.clean(docs, min_words=50)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
