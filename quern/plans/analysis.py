@@ -10,7 +10,7 @@ from quern.functions import numeric, text
 from quern.operators import curation, evaluation, progress, quality
 from quern.plans.curation import CURATED
 from quern.session import prepare, shared_path, table
-from quern.sources import files
+from quern.sources import audio, files
 from quern.streaming import progress as streaming
 
 
@@ -373,6 +373,58 @@ def scan_tsv_kv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.scan_tsv_kv(spark, path)
 
 
+def scan_text_lines_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "lines")
+    files.sink_lines(_lines(spark, sf_dir), "s", path)
+    return spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def sink_append_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Done ids are appended, some of them twice as after a crash; what is read has each once."""
+    path = shared_path(spark, "append")
+    done = _done(spark, sf_dir)
+    files.append_once(done, path)
+    files.append_once(done.where("id % 3 = 0"), path)
+    return files.read_once(spark, path)
+
+
+def sink_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "manifest")
+    counts = _outcomes(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("outcome") == "kept").alias("kept"))
+    files.sink_manifest({"input": F.col("n"), "result": F.struct(F.col("kept").alias("kept"), (F.col("n") - F.col("kept")).alias("dropped"))}, counts, path)
+    return files.scan_json_doc(spark, path).select("input", F.col("result.kept").alias("kept"), F.col("result.dropped").alias("dropped"))
+
+
+def survivor_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = _outcomes(spark, sf_dir).where("outcome = 'kept'").select(F.col("id").alias("doc_id"))
+    return _read(spark, sf_dir, "documents").select("doc_id", "lang", "source").join(kept, "doc_id", "left_semi")
+
+
+def synth_map_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eval clips with the output made for them; those without one are left out."""
+    outputs = _read(spark, sf_dir, "labels").select("doc_id", "quality")
+    return evaluation.train_eval_split(_clips(spark, sf_dir)).where("split = 'eval'").join(outputs, "doc_id").select("clip_id", "quality")
+
+
+def centroid_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row against the one centroid of all rows."""
+    rows = _read(spark, sf_dir, "embeddings")
+    one = evaluation.centroid(rows.withColumn("all", F.lit(1)), "embedding", ["all"]).select("centroid")
+    return _rounded(rows.join(F.broadcast(one)).select("vec_id", numeric.cosine(F.col("embedding"), F.col("centroid")).alias("similarity")), "similarity")
+
+
+def wav_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as 16-bit WAV bytes, parsed again."""
+    pcm = numeric.to_pcm16(F.transform("embedding", lambda x: x.cast("double") * 4))
+    clips = _read(spark, sf_dir, "embeddings").select("vec_id", audio.to_wav(pcm, 16_000).alias("content"))
+    parsed = audio.scan_audio(clips, "vec_id")
+    return parsed.select("vec_id", "rate", "channels", "frames", "duration_s", F.round(numeric.peak(F.col("samples")), 6).alias("peak"))
+
+
+def spectral_centroid_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audio.spectral_centroids(_read(spark, sf_dir, "embeddings"), "vec_id", "embedding", 16_000, 32, 8)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -380,6 +432,7 @@ QUERIES = {
         qa_ladder, drop_histogram, retained_hours, recover_wer_union, drops_join_corpus, train_eval_split, split_overlap, eval_summary, winner, topk_latest, topk_named, milestone_reached, resume_from_latest,
         first_n, last_n, quality_suffix, peak_rms, to_pcm16, mono_mix, frame_rms_db, f0_stats, silent_runs, resume_anti, file_exists_semi, id_to_sentence, progress_poll, throughput_eta, stall_gaps,
         debounce_restarts, success_counts, stream_counts, stream_stalls, scan_psv_roundtrip, scan_jsonl_roundtrip, scan_tsv_kv_roundtrip,
+        scan_text_lines_roundtrip, sink_append_resume, sink_manifest, survivor_semi, synth_map_join, centroid_cross, wav_roundtrip, spectral_centroid_mean,
     )
 }
 
@@ -444,4 +497,11 @@ f AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY
     "scan_psv_roundtrip": f"WITH {CURATED} SELECT {_PAD} AS clip_id, {_QUOTED} AS sentence FROM curated",
     "scan_jsonl_roundtrip": f"{_LADDER} SELECT id, outcome AS filter, axis FROM outcomes WHERE outcome <> 'kept'",
     "scan_tsv_kv_roundtrip": f"WITH {CURATED} SELECT s AS key, upper(s) || chr(9) || 'more' AS value FROM curated",
+    "scan_text_lines_roundtrip": f"WITH {CURATED} SELECT s AS line, count(*) AS n FROM curated GROUP BY 1",
+    "sink_append_resume": "SELECT DISTINCT doc_id AS id FROM labels",
+    "sink_manifest": f"{_LADDER} SELECT count(*) AS input, count(*) FILTER (outcome = 'kept') AS kept, count(*) FILTER (outcome <> 'kept') AS dropped FROM outcomes",
+    "survivor_semi": f"{_LADDER} SELECT doc_id, lang, source FROM documents WHERE doc_id IN (SELECT id FROM outcomes WHERE outcome = 'kept')",
+    "synth_map_join": f"WITH clips AS (SELECT {_PAD} AS clip_id FROM documents), s AS ({_SPLIT}) SELECT clip_id, quality FROM s JOIN labels ON clip_id = {_PAD} WHERE split = 'eval'",
+    "centroid_cross": "WITH x AS (SELECT unnest(range(len(embedding))) AS idx, unnest(embedding)::DOUBLE AS x FROM embeddings), m AS (SELECT idx, avg(x) AS x FROM x GROUP BY 1), c AS (SELECT list(x ORDER BY idx) AS c FROM m) SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[], c), 6) AS similarity FROM embeddings, c",
+    "wav_roundtrip": "SELECT vec_id, 16000 AS rate, 1 AS channels, len(embedding) AS frames, len(embedding) / 16000.0::DOUBLE AS duration_s, round(list_max(list_transform(embedding::DOUBLE[], lambda x: abs(trunc(greatest(-1, least(1, x * 4)) * 32767) / 32768))), 6) AS peak FROM embeddings",
 }

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
+#: Python workers give large freed blocks back to the system, rather than keep them for later.
+WORKER_MEMORY = {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": "2097152", "MALLOC_TRIM_THRESHOLD_": "8388608", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
@@ -37,6 +40,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     where the setting is missing, as on a single machine.
     """
     context = spark.sparkContext
+    context.environment.update(WORKER_MEMORY)
     paths = context.environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
         context.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])

@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from quern.config import Curation, Progress, Quality
 from quern.operators import curation, evaluation, models, progress, quality, selection
 from quern.plans.curation import _phonemised
 from quern.session import shared_path
-from quern.sources import files
+from quern.sources import audio, files
 
 
 def test_silent_runs(spark):
@@ -205,3 +206,50 @@ def test_shares_keep_empty_classes(spark):
 def test_union_prefers_the_first(spark):
     a, b = spark.createDataFrame([(1, "a")], "id int, v string"), spark.createDataFrame([(1, "b"), (2, "c")], "id int, v string")
     assert sorted((r.id, r.v) for r in evaluation.deduped_union(a, b, "id").collect()) == [(1, "a"), (2, "c")]
+
+
+def test_wav_files(spark):
+    import io
+    import wave
+
+    def made(width, channels, data):
+        out = io.BytesIO()
+        with wave.open(out, "wb") as w:
+            w.setnchannels(channels), w.setsampwidth(width), w.setframerate(8000)
+            w.writeframes(data)
+        return out.getvalue()
+
+    stereo = made(2, 2, np.array([16384, 0, -32768, 32767], "<i2").tobytes())
+    rows = spark.createDataFrame([(1, stereo), (2, b"junk"), (3, None), (4, made(1, 1, bytes([0, 128, 255]))), (5, made(3, 1, b"\x00\x00\x40\xff\xff\xff"))], "id int, content binary")
+    out = {r.id: r for r in audio.scan_audio(rows, "id").collect()}
+    assert (out[1].rate, out[1].channels, out[1].frames, out[1].duration_s) == (8000, 2, 2, 2 / 8000)
+    assert out[1].samples == pytest.approx([0.25, -1 / 65536], abs=1e-6)
+    assert out[2].rate is None and out[3].samples is None
+    assert out[4].samples == pytest.approx([-1, 0, 127 / 128]) and out[5].samples == pytest.approx([0.5, -1 / 2**23])
+
+
+def test_signal_functions():
+    t = np.arange(16_000) / 16_000
+    tone = np.sin(2 * np.pi * 1000 * t)
+    assert audio.spectral_centroid(tone, 16_000) == pytest.approx(1000, rel=0.05)
+    assert audio.spectral_centroid(np.zeros(4000), 16_000) == 0
+    down = audio.resample(tone, 16_000, 22_050)
+    assert len(down) == 22_050
+    assert down[200:-200] == pytest.approx(np.sin(2 * np.pi * 1000 * np.arange(22_050) / 22_050)[200:-200], abs=2e-3)
+    assert (audio.resample(tone, 16_000, 16_000) == tone).all()
+
+
+def test_spectral_centroids_of_the_table(spark, sf_dir):
+    from quern.plans import catalogue
+    from quern.session import table
+
+    rows = {r.vec_id: r.embedding for r in table(spark, sf_dir, "embeddings").collect()}
+    for r in catalogue.QUERIES["spectral_centroid_mean"](spark, sf_dir).limit(20).collect():
+        x = np.pad(np.array(rows[r.vec_id], float), 16)
+        want = []
+        for s in range(0, len(x) - 31, 8):
+            k = np.arange(32)
+            w = x[s : s + 32] * (0.5 - 0.5 * np.cos(2 * np.pi * k / 32))
+            mags = np.array([abs((w * np.exp(-2j * np.pi * f * k / 32)).sum()) for f in range(17)])
+            want.append((mags * np.arange(17) * 500).sum() / mags.sum())
+        assert r.centroid == pytest.approx(np.mean(want))
