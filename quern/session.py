@@ -80,5 +80,12 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A Parquet table of the data folder."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A Parquet table of the data folder.
+
+    A file of a few row groups gives fewer tasks than there are cores, and a text of a few MB can
+    cost seconds of work; such a table is dealt to all cores first. Tables with a task or more for
+    every core are read as they are.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if name == "documents" and df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
