@@ -41,18 +41,20 @@ def second_stage(ecapa_min: Column, wavlm_min: Column, q: Quality = Quality()) -
     )
 
 
-def outliers(rows: DataFrame, axes: tuple[str, ...], sigmas: float = 3.0, by: str | None = None) -> DataFrame:
+def outliers(rows: DataFrame, axes: tuple[str, ...], sigmas: float = 3.0, by: str | None = None, among: Column | None = None) -> DataFrame:
     """Rows with ``axis``, ``value``, ``mu`` and ``sd`` of the first axis on which they stand out; nulls elsewhere.
 
-    Means and population deviations come from one aggregate over all rows, or one per group.
+    Means and population deviations come from one aggregate over the rows, or one per group. With
+    ``among`` only rows for which it holds count, and only those can stand out.
     """
     keys = [by] if by else []
-    stats = rows.groupBy(*keys).agg(*[x for a in axes for x in (F.avg(a).alias(f"_mu_{a}"), F.stddev_pop(a).alias(f"_sd_{a}"))])
+    counted = F.lit(True) if among is None else among
+    stats = rows.groupBy(*keys).agg(*[x for a in axes for x in (F.avg(F.when(counted, F.col(a))).alias(f"_mu_{a}"), F.stddev_pop(F.when(counted, F.col(a))).alias(f"_sd_{a}"))])
     joined = rows.join(stats, by) if by else rows.join(F.broadcast(stats))  # without groups one row
     out = F.lit(None).cast("struct<axis:string,value:double,mu:double,sd:double>")
     for a in reversed(axes):
         v, mu, sd = F.col(a).cast("double"), F.col(f"_mu_{a}"), F.col(f"_sd_{a}")
-        hit = _number(v) & (sd > 0) & (F.abs(v - mu) > sigmas * sd)
+        hit = counted & _number(v) & (sd > 0) & (F.abs(v - mu) > sigmas * sd)
         out = F.when(hit, F.struct(F.lit(a).alias("axis"), v.alias("value"), mu.alias("mu"), sd.alias("sd"))).otherwise(out)
     return joined.withColumn("_out", out).select(*rows.columns, "_out.*")
 
@@ -61,14 +63,14 @@ def ladder(clips: DataFrame, thresholds: DataFrame, q: Quality = Quality()) -> D
     """Every clip with its one outcome: the first filter that drops it, or ``kept``.
 
     thresholds: one row with ecapa_min and wavlm_min. Outliers are found among what passes all
-    other filters. The stages are separate so that models, as Arrow functions, can stand between.
+    other filters, with a second scan for their statistics. The stages are separate columns, so
+    that models, as Arrow functions, can stand between.
     """
     staged = clips.withColumn("outcome", first_stage(q))
     scored = staged.join(F.broadcast(thresholds)).withColumn("outcome", F.coalesce("outcome", second_stage(F.col("ecapa_min"), F.col("wavlm_min"), q))).drop("ecapa_min", "wavlm_min")
-    dropped = scored.where("outcome IS NOT NULL").withColumn("axis", F.lit(None).cast("string"))
-    passed = outliers(scored.where("outcome IS NULL"), q.axes, q.sigmas)
-    passed = passed.withColumn("outcome", F.when(F.col("axis").isNotNull(), "outlier").otherwise("kept")).drop("value", "mu", "sd")
-    return dropped.unionByName(passed)
+    marked = outliers(scored, q.axes, q.sigmas, among=F.col("outcome").isNull())
+    last = F.when(F.col("axis").isNotNull(), "outlier").otherwise("kept")
+    return marked.withColumn("outcome", F.coalesce("outcome", last)).drop("value", "mu", "sd")
 
 
 def drop_histogram(outcomes: DataFrame) -> DataFrame:
