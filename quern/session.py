@@ -69,7 +69,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete the table that ``materialize`` wrote for ``df``; nothing that is still to run may read it."""
+    remove(df.sparkSession, df._written_at)
 
 
 def remove(spark: SparkSession, path: str) -> None:

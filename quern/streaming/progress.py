@@ -17,11 +17,6 @@ def running_count(stream: DataFrame, by: str) -> DataFrame:
     return stream.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
 
 
-def windowed_count(stream: DataFrame, ts: str, by: str, length: str = "1 day", late: str = "2 hours") -> DataFrame:
-    """Finished items per class and window; what is later than the watermark allows is left out."""
-    return stream.withWatermark(ts, late).groupBy(F.window(ts, length).alias("w"), by).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), by, "n")
-
-
 def stall_detector(stream: DataFrame, worker: str, ts: str, minutes: int = 60) -> DataFrame:
     """(worker, silent_from, silent_to): gaps of more than so many minutes in the order of arrival.
 
