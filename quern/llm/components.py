@@ -3,7 +3,7 @@
 Each round hangs all neighbours of a node on the smallest of them: first the larger ones (large
 star), then the smaller ones (small star). The rounds end when no edge changes; every node then
 hangs on the smallest of its component. Edges stay in tables throughout; each round is written to
-the shared folder. A node with very many edges is aggregated before the shuffle, and the join that
+the shared folder, and the one before it deleted. A node with very many edges is aggregated before the shuffle, and the join that
 hangs its neighbours is one whose skewed partitions Spark splits.
 """
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.session import materialize
+from quern.session import materialize, release
 
 _MOST_ROUNDS = 100
 
@@ -24,8 +24,8 @@ def _distinct(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (u, v); component is its smallest node. Null ends are ignored."""
     edges = edges.where(F.col("u").isNotNull() & F.col("v").isNotNull())
-    edges = materialize(_distinct(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))), "edges")
-    nodes = edges.select(F.col("u").alias("node")).union(edges.select(F.col("v").alias("node"))).distinct()
+    given = edges = materialize(_distinct(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))), "edges")
+    nodes = given.select(F.col("u").alias("node")).union(given.select(F.col("v").alias("node"))).distinct()
     before = None
     for _ in range(_MOST_ROUNDS):
         # large star: the larger neighbours of a node hang on the smallest node around it
@@ -36,7 +36,10 @@ def components(edges: DataFrame) -> DataFrame:
         # small star: the smaller neighbours of a node, and it, hang on the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-        edges = materialize(_distinct(small), "edges")
+        last, edges = edges, materialize(_distinct(small), "edges")
+        release(large)
+        if last is not given:
+            release(last)
         now = edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))")).first()
         if now == before:
             break

@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.session import materialize
+from quern.session import materialize, release
 
 SCHEMA = "STRUCT<properties: MAP<STRING, STRUCT<type: STRING, minimum: DOUBLE, maximum: DOUBLE, maxLength: BIGINT, enum: ARRAY<STRING>>>, required: ARRAY<STRING>, additionalProperties: BOOLEAN>"
 _LAST = 2**62
@@ -155,7 +155,8 @@ def levels(calls: DataFrame, answered: DataFrame) -> DataFrame:
         open_before = still
         ahead = reach.select("conv", F.col("call_id").alias("end"), F.col("end").alias("next"), F.col("off").alias("more"), F.col("closed").alias("ends"))
         jumped = reach.where("not closed").join(ahead, ["conv", "end"]).select("conv", "call_id", "kind", F.col("next").alias("end"), (F.col("off") + F.col("more")).alias("off"), F.col("ends").alias("closed"))
-        reach = materialize(reach.where("closed").unionByName(jumped), "tool-chains")
+        last, reach = reach, materialize(reach.where("closed").unionByName(jumped), "tool-chains")
+        release(last)
     ends = reach.where("closed").join(reach.select("conv", F.col("call_id").alias("end"), F.col("kind").alias("end_kind")), ["conv", "end"])
     ends = ends.select("conv", "call_id", "kind", "end", "off", "end_kind")
     many = ends.where("kind = 'many'").select("conv", "call_id")
@@ -171,7 +172,8 @@ def levels(calls: DataFrame, answered: DataFrame) -> DataFrame:
             now = materialize(ready, "tool-levels")
             if now.count() == placed.count():
                 break
-            placed = now
+            last, placed = placed, now
+            release(last)
     base = placed.select("conv", F.col("call_id").alias("end"), F.col("level").alias("base"))
     level = F.when(F.col("end_kind") == "first", F.col("off")).when(F.col("end_kind") == "many", F.col("base") + F.col("off"))
     return ends.join(base, ["conv", "end"], "left").select("conv", "call_id", level.alias("level")).where("level IS NOT NULL")
