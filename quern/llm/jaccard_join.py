@@ -21,8 +21,8 @@ Classes are connected components of links. Nothing is capped: a large family is
 
 Results in odd cases: null or empty text, and text without words, has no n-grams and links with
 nothing; a text with fewer words than n has its whole sequence as its only n-gram. A null id links
-with nothing and has a null class. Rows that repeat an id are read as that document's texts, and
-each gets a row. An empty table gives no rows. Columns other than the key and text are ignored.
+with nothing and has a null class. Rows that repeat an id are one document's texts: each gets a
+row, and their classes are one. An empty table gives no rows. Columns other than the key and text are ignored.
 Words are compared with A-Z lowered; n-grams by 48-bit hashes.
 """
 
@@ -151,19 +151,20 @@ def _families(unique: DataFrame) -> DataFrame:
 
 
 def links(unique: DataFrame, percent: int, block_docs: int = BLOCK_DOCS) -> DataFrame:
-    """(u, v) that connect what links connect, among documents with different sets."""
+    """(u, v, n): pairs that connect what links connect, among documents with different sets; and, with
+    v null, parts of the number n of documents that u links with, each set counting its copies."""
     families = materialize(_families(unique), "families")
     blocks = families.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / block_docs).cast("int").alias("blocks"))
     members = unique.join(families, "key").join(blocks, "family")
     own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = members.withColumn("own", own).withColumn("other", other).select("family", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "key", "size", "leading", "shared")
+    dealt = members.withColumn("own", own).withColumn("other", other).select("family", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "key", "size", "copies", "leading", "shared")
 
     def multiply(table: pa.Table) -> pa.Table:
         a, b = table.column("a")[0].as_py(), table.column("b")[0].as_py()
         table = table.sort_by([("own", "ascending"), ("key", "ascending")])
         own, ids = table.column("own").to_numpy(), table.column("key").to_pylist()
-        sizes = table.column("size").to_numpy()
+        sizes, copies = table.column("size").to_numpy(), table.column("copies").to_numpy()
         keys = [np.frombuffer(x, np.uint64) for x in table.column("shared").to_pylist()]
         leading = [np.array(x, np.uint64) for x in table.column("leading").to_pylist()]
         cut = int(np.searchsorted(own, b)) if a < b else len(ids)
@@ -171,27 +172,39 @@ def links(unique: DataFrame, percent: int, block_docs: int = BLOCK_DOCS) -> Data
         right = range(cut, len(ids)) if a < b else left
         found = _product(keys, sizes, leading, left, right, percent) if len(left) and len(right) else []
         first = _forest(len(ids), found)
-        pairs = [(ids[i], ids[f]) for i, f in enumerate(first) if f != i]
-        return pa.table({"u": pa.array([u for u, _ in pairs], table.column("key").type), "v": pa.array([v for _, v in pairs], table.column("key").type)})
+        u = [ids[i] for i, f in enumerate(first) if f != i]
+        v = [ids[f] for i, f in enumerate(first) if f != i]
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        degree = np.bincount(pairs[:, 0], copies[pairs[:, 1]], len(ids)) + np.bincount(pairs[:, 1], copies[pairs[:, 0]], len(ids))
+        counted = np.flatnonzero(degree)
+        kind = table.column("key").type
+        return pa.table({"u": pa.array(u + [ids[i] for i in counted], kind), "v": pa.array(v + [None] * len(counted), kind), "n": pa.array([0] * len(u) + degree[counted].astype(np.int64).tolist(), pa.int64())})
 
     kind = unique.schema["key"].dataType.simpleString()
-    return dealt.groupBy("family", "a", "b").applyInArrow(multiply, f"u {kind}, v {kind}")
+    return dealt.groupBy("family", "a", "b").applyInArrow(multiply, f"u {kind}, v {kind}, n long")
 
 
 def classes(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_shingles, component_id) for every row of ``docs``: component_id is the least key of its class."""
+    """(key, n_shingles, component_id, n_links) for every row of ``docs``.
+
+    component_id is the least key of the row's class, n_links the number of other rows that it links with.
+    """
     signed = materialize(signatures(docs, key, text, n, percent), "signatures")
     able = signed.where(F.col("fingerprint").isNotNull() & F.col("key").isNotNull())
     first = F.min(F.struct("key", "size", "leading", "shared")).alias("one")
-    unique = materialize(able.groupBy("fingerprint").agg(first).select("fingerprint", "one.*"), "unique-sets")
-    linked = components(links(unique, percent))
-    of_set = unique.select("fingerprint", "key").join(linked.withColumnRenamed("node", "key"), "key", "left").select("fingerprint", F.coalesce("component", "key").alias("component"))
-    # an id may come with several texts: its classes are one
-    of_id = able.select("key", "fingerprint").join(of_set, "fingerprint").select("key", F.least("component", "key").alias("component")).groupBy("key").agg(F.min("component").alias("component"), F.max("component").alias("most"))
-    placed = signed.select("key", "size", "fingerprint")
-    alone = placed.where(F.col("fingerprint").isNull()).select("key", "size", F.col("key").alias("component_id"))
-    grouped = placed.where(F.col("fingerprint").isNotNull()).join(of_id, "key", "left").select("key", "size", F.coalesce("component", "key").alias("component_id"))
-    return alone.unionByName(grouped).select(F.col("key").alias(key), F.col("size").alias("n_shingles"), "component_id")
+    unique = materialize(able.groupBy("fingerprint").agg(first, F.count(F.lit(1)).alias("copies")).select("fingerprint", "one.*", "copies"), "unique-sets")
+    found = materialize(links(unique, percent), "links")
+    # an id that comes with several texts connects them
+    own = able.select("key", "fingerprint")
+    several = own.groupBy("key").agg(F.min("fingerprint").alias("a"), F.max("fingerprint").alias("b")).where("a <> b").select("key")
+    bridges = own.join(several, "key", "left_semi").join(unique.select("fingerprint", F.col("key").alias("v")), "fingerprint").select(F.col("key").alias("u"), "v")
+    linked = components(found.where("v IS NOT NULL").select("u", "v").unionByName(bridges))
+    degrees = found.where("v IS NULL").groupBy(F.col("u").alias("key")).agg(F.sum("n").alias("degree"))
+    of_set = unique.select("fingerprint", "key", "copies").join(linked.withColumnRenamed("node", "key"), "key", "left").join(degrees, "key", "left")
+    of_set = of_set.select("fingerprint", F.coalesce("component", "key").alias("component_id"), (F.col("copies") - 1 + F.coalesce("degree", F.lit(0))).alias("n_links"))
+    grouped = able.select("key", "size", "fingerprint").join(of_set, "fingerprint").drop("fingerprint")
+    alone = signed.where(F.col("fingerprint").isNull() | F.col("key").isNull()).select("key", "size", F.col("key").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+    return alone.unionByName(grouped).select(F.col("key").alias(key), F.col("size").alias("n_shingles"), "component_id", "n_links")
 
 
 def keep_first(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
