@@ -24,7 +24,7 @@ def shingles(words, n):
 
 
 def find_classes(docs, n, percent):
-    """(size, smallest linked id) per row, by comparing all pairs that share an n-gram."""
+    """(id, size, smallest linked id, number of links) per row, by comparing all pairs that share an n-gram."""
     sets = [shingles(words_of(t), n) for _, t in docs]
     parent = {d: d for d, _ in docs}
 
@@ -33,21 +33,22 @@ def find_classes(docs, n, percent):
             x = parent[x]
         return x
 
-    index = defaultdict(set)
+    index, links = defaultdict(set), Counter()
     for i, s in enumerate(sets):
         for j in {j for g in s for j in index[g]}:
             overlap = len(s & sets[j])
             if 100 * overlap >= percent * (len(s) + len(sets[j]) - overlap):
                 a, b = sorted((top(docs[i][0]), top(docs[j][0])))
                 parent[b] = a
+                links.update((i, j))
         for g in s:
             index[g].add(i)
-    return sorted((d, len(s), top(d)) for (d, _), s in zip(docs, sets, strict=True))
+    return sorted((d, len(s), top(d), links[i]) for i, ((d, _), s) in enumerate(zip(docs, sets, strict=True)))
 
 
 def test_jaccard_join_matches_brute_force(spark, sf_dir):
     docs = [(r.doc_id, r.text) for r in table(spark, sf_dir, "documents").collect()]
-    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in queries.op1_ngram_jaccard_join(spark, sf_dir).collect())
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in queries.op1_ngram_jaccard_join(spark, sf_dir).collect())
     assert got == find_classes(docs, 4, 85)
 
 
@@ -70,7 +71,7 @@ def test_near_copies_in_blocks(spark, block_docs, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK_DOCS", block_docs)
     monkeypatch.setattr(jaccard_join.links, "__defaults__", (block_docs,))
     rows = spark.createDataFrame(docs, "doc_id long, text string")
-    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.classes(rows, 4, 85).collect())
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in jaccard_join.classes(rows, 4, 85).collect())
     assert got == find_classes(docs, 4, 85)
 
 
@@ -83,7 +84,7 @@ def test_jaccard_threshold_is_exact(spark):
     assert len(s & t) / len(s | t) > 0.85
     for percent in (89, 90):
         rows = spark.createDataFrame(docs, "doc_id long, text string")
-        got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.classes(rows, 4, percent).collect())
+        got = sorted((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in jaccard_join.classes(rows, 4, percent).collect())
         assert got == find_classes(docs, 4, percent)
 
 
@@ -92,13 +93,19 @@ def test_jaccard_odd_cases(spark):
     docs = [(9, None), (8, ""), (7, " \n"), (6, "one two"), (5, "ONE  two"), (4, long), (3, long + " tail"), (2, "same text here now ok"), (2, "same text here now ok"), (1, "a b c d")]
     rows = spark.createDataFrame([*docs, (None, "a b c d")], "doc_id long, text string").withColumn("component_id", F.lit("clash")).withColumn("key", F.lit(0))
     out = jaccard_join.classes(rows, 4, 85).collect()
-    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in out)
-    assert got == Counter({(9, 0, 9): 1, (8, 0, 8): 1, (7, 0, 7): 1, (6, 1, 5): 1, (5, 1, 5): 1, (4, 49_997, 3): 1, (3, 49_998, 3): 1, (2, 2, 2): 2, (1, 1, 1): 1, (None, 1, None): 1})
+    got = Counter((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in out)
+    assert got == Counter({(9, 0, 9, 0): 1, (8, 0, 8, 0): 1, (7, 0, 7, 0): 1, (6, 1, 5, 1): 1, (5, 1, 5, 1): 1, (4, 49_997, 3, 1): 1, (3, 49_998, 3, 1): 1, (2, 2, 2, 1): 2, (1, 1, 1, 0): 1, (None, 1, None, 0): 1})
     kept = jaccard_join.keep_first(rows, 4, 85)
     assert kept.columns == rows.columns and sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 2, 2, 3, 5, 7, 8, 9]
     assert jaccard_join.classes(rows.limit(0)).count() == 0
 
 
+def test_an_id_with_several_texts_joins_their_classes(spark):
+    docs = [(5, "a b c d e f"), (9, "a b c d e f"), (9, "u v w x y z"), (7, "u v w x y z"), (8, "other words than those of all")]
+    out = {(r.doc_id, r.component_id) for r in jaccard_join.classes(spark.createDataFrame(docs, "doc_id long, text string"), 4, 85).collect()}
+    assert out == {(5, 5), (9, 5), (7, 5), (8, 8)}
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 300), (7, 7), (None, 3)]
     found = {r.node: r.component for r in components(spark.createDataFrame(chain, "u long, v long")).collect()}
