@@ -133,12 +133,17 @@ def archive_records(raw: bytes) -> Iterator[bytes]:
     if magic != SKIPPABLE:
         raise ValueError("the archive doesn't start with a dictionary")
     zstd = zstandard.ZstdDecompressor(dict_data=_dictionary(raw[8 : 8 + size]))
-    rest = memoryview(raw)[8 + size :]
-    while len(rest):
-        reader = zstd.decompressobj()
-        record = reader.decompress(rest)
-        yield record
-        rest = rest[len(rest) - len(reader.unused_data) :]
+    whole, at = memoryview(raw), 8 + size
+    while at < len(whole):
+        reader, parts = zstd.decompressobj(), []
+        while not reader.eof:  # in steps, as what a frame leaves over is copied
+            step = whole[at : at + 16_384]
+            if not step:
+                raise ValueError("the archive ends within a record")
+            parts.append(reader.decompress(step))
+            at += len(step)
+        at -= len(reader.unused_data)
+        yield b"".join(parts)
 
 
 def write_archives(pages: DataFrame, folder: str, revisit_from: int = 0, archive_size: int = ARCHIVE_BYTES) -> DataFrame:
