@@ -214,6 +214,35 @@ def test_chain_takes_the_collinear_matches():
     assert best == [0, 1, 3, 4]
 
 
+def test_chain_takes_the_best_predecessor_within_reach():
+    """Scores against all pairs; the places of far runs, repeats and crossings are mixed."""
+    rng = random.Random(7)
+    reach = passage_dedup.MOST_GAP + passage_dedup.K
+    for _ in range(200):
+        pairs = sorted({(rng.randrange(rng.choice((40, 400))), rng.randrange(rng.choice((40, 400)))) for _ in range(rng.randrange(1, 60))})
+        score = []
+        for i, (p, s) in enumerate(pairs):
+            score.append(passage_dedup.K + max([0, *(score[j] - passage_dedup.GAP_COST * (p - q + s - t) for j, (q, t) in enumerate(pairs[:i]) if 0 < p - q <= reach and 0 < s - t <= reach)]))
+        got = passage_dedup.chain([p for p, _ in pairs], [s for _, s in pairs])
+        assert sorted(i for one in got for i in one) == list(range(len(pairs)))
+        best = [pairs[i] for i in got[0]]
+        steps = list(zip(best, best[1:], strict=False))
+        assert all(0 < p - q <= reach and 0 < s - t <= reach for (q, t), (p, s) in steps)
+        assert passage_dedup.K * len(best) - sum(passage_dedup.GAP_COST * (p - q + s - t) for (q, t), (p, s) in steps) == pytest.approx(max(score))
+
+
+def test_two_passages_of_one_source_at_any_gap(spark):
+    rng = random.Random(8)
+    docs, want, base = [], {}, 0
+    for gap in (69, 100, 200, 500, 1000, 2000):
+        x, y = sentence(rng, 60), sentence(rng, 100)
+        docs += [(base, " ".join(x + sentence(rng, gap) + y)), (base + 1, " ".join(x + sentence(rng, gap) + y))]
+        want[base + 1] = {(0, 60), (60 + gap, 160 + gap)}
+        base += 2
+    out = passage_dedup.find(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: {(p.start, p.end) for p in r.passages} for r in out if r.passages} == want
+
+
 # ---- language model -----------------------------------------------------------------------------
 
 
