@@ -30,13 +30,13 @@ def dealt(docs: DataFrame, key: str, text: str, bucket_bytes: int = BUCKET_BYTES
     return docs.select(bucket.alias("bucket"), F.col(key).alias("key"), F.col(text).alias("text"), *carry), n
 
 
-def _packed(values: np.ndarray) -> bytes:
+def packed(values: np.ndarray) -> bytes:
     """Compressed bytes of an unsigned array, planes of equal significance together."""
     planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
     return zstandard.compress(planes.tobytes(), 1)
 
 
-def _unpacked(raw: bytes, kind: type) -> np.ndarray:
+def unpacked(raw: bytes, kind: type) -> np.ndarray:
     planes = np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(np.dtype(kind).itemsize, -1)
     return np.ascontiguousarray(planes.T).view(kind)[:, 0]
 
@@ -65,14 +65,14 @@ def exchange(buckets: DataFrame, n_buckets: int, extract: Callable[[pa.Table], t
             part = slice(edges[block], edges[block + 1])
             k = found[part]
             blocks.append(block)
-            asked.append(_packed(np.concatenate((k[:1], np.diff(k)))))
-            held.append(_packed(counts[part].astype(np.uint32)))
+            asked.append(packed(np.concatenate((k[:1], np.diff(k)))))
+            held.append(packed(counts[part].astype(np.uint32)))
         bucket = table.column("bucket")[0].as_py() if table.num_rows else None
         return pa.table({"bucket": pa.array([bucket] * len(blocks), pa.int32()), "block": pa.array(blocks, pa.int32()), "asked": pa.array(asked, pa.binary()), "held": pa.array(held, pa.binary())})
 
     def answer(table: pa.Table) -> pa.Table:
-        asked = [np.cumsum(_unpacked(x, np.uint64), dtype=np.uint64) for x in table.column("asked").to_pylist()]
-        held = [_unpacked(x, np.uint32) for x in table.column("held").to_pylist()]
+        asked = [np.cumsum(unpacked(x, np.uint64), dtype=np.uint64) for x in table.column("asked").to_pylist()]
+        held = [unpacked(x, np.uint32) for x in table.column("held").to_pylist()]
         every = np.concatenate(asked)
         order = np.argsort(every)
         ranked = every[order]
@@ -81,7 +81,7 @@ def exchange(buckets: DataFrame, n_buckets: int, extract: Callable[[pa.Table], t
         place[order] = group
         sums = np.bincount(place, weights=np.concatenate(held)).astype(np.uint64)[place]
         ends = np.cumsum([len(a) for a in asked])
-        sums = [_packed(sums[e - len(a) : e]) for a, e in zip(asked, ends, strict=True)]
+        sums = [packed(sums[e - len(a) : e]) for a, e in zip(asked, ends, strict=True)]
         return pa.table({"bucket": table.column("bucket"), "block": table.column("block"), "sums": pa.array(sums, pa.binary())})
 
     requests = buckets.groupBy("bucket").applyInArrow(ask, "bucket int, block int, asked binary, held binary")
@@ -91,7 +91,7 @@ def exchange(buckets: DataFrame, n_buckets: int, extract: Callable[[pa.Table], t
 def received(answers: pa.Table) -> np.ndarray:
     """The global counts of a bucket's keys, in the keys' order."""
     rows = sorted(zip(answers.column("block").to_pylist(), answers.column("sums").to_pylist(), strict=True))
-    return np.concatenate([_unpacked(x, np.uint64) for _, x in rows]).astype(np.int64) if rows else np.empty(0, np.int64)
+    return np.concatenate([unpacked(x, np.uint64) for _, x in rows]).astype(np.int64) if rows else np.empty(0, np.int64)
 
 
 def texts_of(table: pa.Table) -> list[bytes | None]:

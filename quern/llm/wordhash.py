@@ -28,7 +28,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def _power_table(size: int) -> tuple[np.ndarray, np.ndarray]:
+def power_table(size: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers
     if len(_powers[0]) < size:
         size = max(size + size // 4, PIECE_BYTES + PIECE_BYTES // 4)
@@ -48,7 +48,7 @@ def _hash_piece(raw: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     start, end = edge[::2], edge[1::2]
     if lower:
         b = b + ((b >= 65) & (b <= 90)).astype(np.uint8) * np.uint8(32)
-    up, down = _power_table(len(b) + 1)
+    up, down = power_table(len(b) + 1)
     total = np.empty(len(b) + 1, np.uint64)
     total[0] = 0
     np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[: len(b)], out=total[1:])

@@ -243,6 +243,32 @@ def test_two_passages_of_one_source_at_any_gap(spark):
     assert {r.doc_id: {(p.start, p.end) for p in r.passages} for r in out if r.passages} == want
 
 
+@pytest.mark.parametrize("parts", [2, 3, 5])
+def test_holders_of_parts_do_not_hide_the_holder_of_the_whole(spark, parts):
+    rng = random.Random(9)
+    passage, size = sentence(rng, 60), 60 // parts
+    docs = [(1, " ".join(sentence(rng, 30) + passage + sentence(rng, 30)))]
+    for k in range(parts):
+        docs += [(10 * k + j, " ".join(sentence(rng, 30) + passage[k * size : (k + 1) * size] + sentence(rng, 30))) for j in (10, 11, 12)]
+    docs.append((1000, " ".join(sentence(rng, 20) + passage + sentence(rng, 20))))
+    out = {r.doc_id: {(p.source, p.start, p.end) for p in r.passages} for r in passage_dedup.find(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert {d: p for d, p in out.items() if p} == {1000: {(1, 20, 80)}}
+
+
+def test_every_window_of_an_earlier_document_is_cut(spark):
+    """Brute force over texts of few words, lines that repeat, and cuts of each other."""
+    rng = random.Random(10)
+    lines = [sentence(rng, rng.randrange(3, 30)) for _ in range(12)]
+    texts = [sum((rng.choice(lines) for _ in range(rng.randrange(1, 25))), []) for _ in range(60)]
+    texts += [lines[0] * 10, sentence(rng, 9) + lines[0] * 40, ["x"] * 70, ["x"] * 400, ["x", "y"] * 90, sentence(rng, 30) + ["x", "y"] * 300]
+    first, want = {}, {}
+    for d, w in enumerate(texts):
+        want[d] = {k for i in range(len(w) - 49) if first.setdefault(tuple(w[i : i + 50]), d) != d for k in range(i, i + 50)}
+    rows = spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(texts)], "doc_id long, text string")
+    for r in passage_dedup.find(rows).collect():
+        assert want[r.doc_id] <= {k for p in r.passages for k in range(p.start, p.end)}
+
+
 # ---- language model -----------------------------------------------------------------------------
 
 
