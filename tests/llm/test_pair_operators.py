@@ -269,6 +269,18 @@ def test_every_window_of_an_earlier_document_is_cut(spark):
         assert want[r.doc_id] <= {k for p in r.passages for k in range(p.start, p.end)}
 
 
+def test_repeats_beyond_those_of_the_source_are_cut(spark):
+    rng = random.Random(12)
+    docs = []
+    for k, n in enumerate((1, 2, 8, 20)):
+        line, times = sentence(rng, n), -(-60 // n)
+        docs += [(2 * k, " ".join(sentence(rng, 20) + line * times)), (2 * k + 1, " ".join(sentence(rng, 20) + line * (4 * times)))]
+    out = {r.doc_id: r for r in passage_dedup.find(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    left = {d: len(r.cleaned.split()) - 20 for d, r in out.items() if d % 2}
+    print("words left", left)
+    assert left == {1: 0, 3: 0, 5: 0, 7: 0}
+
+
 # ---- language model -----------------------------------------------------------------------------
 
 
