@@ -208,6 +208,9 @@ def classes(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id",
 
 
 def keep_first(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without those rows whose class has a smaller key; rows with a null key stay."""
+    """``docs`` without those rows whose class has a smaller key.
+
+    Rows with a null key stay, and so do all rows that repeat the class's least key.
+    """
     gone = classes(docs, n, percent, key, text).where(F.col("component_id") < F.col(key)).select(F.col(key).alias("_gone")).distinct()
     return docs.join(gone, docs[key] == gone["_gone"], "left_anti")
