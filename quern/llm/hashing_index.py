@@ -8,7 +8,8 @@ among more rows neighbours are nearer, so it is on the safe side.
 
 Search: a code is split into bytes and each byte is an index of its own. Any code within radius r
 of a query agrees with it to within r divided by the number of bytes in at least one of them, so
-probing each index to that smaller radius finds every code within r. The codes found are checked
+probing each index to that smaller radius finds every code within r. The indexes have no postings:
+a byte's test is one pass over the bytes of a block's rows for each query. The codes found are checked
 whole, and those within r are ranked by their float distance. Where a block of rows holds fewer
 than k within r, its radius grows until it gives k, so no query comes short.
 
