@@ -16,7 +16,10 @@ with a string ``tool_call_id`` is a result. All others are plain messages. An ar
   null where the order doesn't exist: for cycles, needed calls that are missing or unanswered, and
   whatever follows those. Rows sort by level, then calls before results, then turn.
 * ``errors``: what the arguments break in the tool's schema, sorted; for an unknown tool
-  ``unknown tool``, for arguments that aren't an object ``not an object``.
+  ``unknown tool``, for arguments that aren't an object ``not an object``. Of JSON Schema these rules
+  are known, for the arguments themselves and not for what is nested in them: ``type`` (one name),
+  ``minimum``, ``maximum``, ``maxLength``, ``enum``, ``required`` and ``additionalProperties``. Others
+  are ignored without an error.
 * ``canonical``: JSON with sorted keys and no blanks.
 
 Joins are by conversation and id; no group is gathered into one row or task. Levels are found in
