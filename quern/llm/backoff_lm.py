@@ -2,8 +2,11 @@
 
 Counts of all one-, two- and three-word sequences of the whole table are summed in tables that are
 partitioned by hash, joined back to each bucket's n-grams, and the log scores of a document's
-words are summed. With ``leave_out``, a document's own occurrences are taken off all counts that
-score it, so a document isn't judged by itself; copies elsewhere still count.
+words are summed; once with all counts, and once with the document's own occurrences taken off all
+counts that score it, so that a document isn't judged by itself; copies elsewhere still count. (With
+all counts each sequence of the table is seen, so only the first two words of a document back off.)
+
+N-grams are 46-bit hashes and one bit more for each doubling of the buckets, so the share that collides stays alike.
 
 A word after its two predecessors scores count(three words) / count(first two); where that
 sequence is unseen, ``alpha`` times count(two words) / count(first); else ``alpha`` squared times
@@ -18,6 +21,8 @@ text are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,7 +39,7 @@ BUCKET_BYTES = 4_000_000
 TOTAL = np.uint64(0)
 
 
-def sequence_keys(words: np.ndarray, owners: np.ndarray) -> list[np.ndarray]:
+def sequence_keys(words: np.ndarray, owners: np.ndarray, bits: int) -> list[np.ndarray]:
     """For each order, the key of the sequence that ends at each word; 0 where the document is too short."""
     found = []
     for n in range(1, ORDER + 1):
@@ -42,62 +47,76 @@ def sequence_keys(words: np.ndarray, owners: np.ndarray) -> list[np.ndarray]:
         h, _ = wordhash.ngram_hashes(words, owners, n)
         last = len(words) - n + 1
         inside = np.flatnonzero(owners[: max(0, last)] == owners[n - 1 :]) + n - 1 if last > 0 else np.empty(0, np.int64)
-        key[inside] = np.maximum(wordhash.keys(h), np.uint64(1))
+        key[inside] = np.maximum(wordhash.keys(h, bits), np.uint64(1))
         found.append(key)
     return found
 
 
-def _asked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    words, owners = wordhash.word_hashes(exchange.texts_of(table))
-    every = np.concatenate(sequence_keys(words, owners))
-    found, counts = exchange.summed(every[every != TOTAL])
-    return np.concatenate(([TOTAL], found)), np.concatenate(([len(words)], counts))
+def _asked(bits: int) -> Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]:
+    def run(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        words, owners = wordhash.word_hashes(exchange.texts_of(table))
+        every = np.concatenate(sequence_keys(words, owners, bits))
+        found, counts = exchange.summed(every[every != TOTAL])
+        return np.concatenate(([TOTAL], found)), np.concatenate(([len(words)], counts))
+
+    return run
 
 
-def _scores(table: pa.Table, answers: pa.Table, alpha: float, leave_out: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Number of words and log score of each document of a bucket."""
+def _logs(counts: np.ndarray, total: np.ndarray, top: np.ndarray, alpha: float) -> np.ndarray:
+    """The log score of each word from the counts of the sequences, by order, that end at it."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        log = top * np.log(alpha) - np.log(np.maximum(total, 1))
+        log = np.where(counts[0] > 0, np.log(counts[0] / np.maximum(total, 1)) + (top - 1) * np.log(alpha), log)
+        for n in range(2, ORDER + 1):
+            before = np.concatenate(([0], counts[n - 2][:-1]))  # the sequence without its last word ends one word earlier
+            log = np.where((counts[n - 1] > 0) & (before > 0), np.log(counts[n - 1] / np.maximum(before, 1)) + (top - n) * np.log(alpha), log)
+    return log
+
+
+def _scores(table: pa.Table, answers: pa.Table, alpha: float, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of words of each document of a bucket, and its log scores with and without its own occurrences."""
     texts = exchange.texts_of(table)
     words, owners = wordhash.word_hashes(texts)
     n_words = np.bincount(owners, minlength=len(texts))
     if not len(words):
-        return n_words, np.zeros(len(texts))
+        return n_words, np.zeros(len(texts)), np.zeros(len(texts))
     corpus = exchange.received(answers)
-    total = corpus[0] - (n_words[owners] if leave_out else 0)
-    by_order = sequence_keys(words, owners)
-    every = np.concatenate(by_order)
-    of = np.tile(owners, ORDER).astype(np.uint64)
-    # one sort finds each key's place among the bucket's keys, and its count in its document
-    order = np.argsort(every << np.uint64(16) | of) if len(texts) <= 1 << 16 else np.lexsort((of, every))
+    every = np.concatenate(sequence_keys(words, owners, bits))
+    of = np.tile(owners, ORDER)
+    # one sort finds each key's place among the bucket's keys, and its count in its document: sequences of
+    # different lengths have different keys, and those of one length come by document
+    order = np.argsort(every, kind="stable")
     k, d = every[order], of[order]
     new_key = np.concatenate(([True], k[1:] != k[:-1]))
     new_pair = new_key | np.concatenate(([True], d[1:] != d[:-1]))
     place = np.cumsum(new_key) - 1 + (k[0] != TOTAL)  # the bucket's keys start with the total
     pair = np.cumsum(new_pair) - 1
-    own = np.diff(np.concatenate((np.flatnonzero(new_pair), [len(k)])))[pair] if leave_out else 0
-    seen = np.empty(len(every), np.int64)
-    seen[order] = corpus[place] - own
-    seen[every == TOTAL] = 0
-    counts = seen.reshape(ORDER, len(words))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        top = np.minimum(ORDER, np.arange(len(words)) - np.concatenate(([0], np.cumsum(n_words)))[owners] + 1)
-        log = top * np.log(alpha) - np.log(np.maximum(total, 1))
-        log = np.where(counts[0] > 0, np.log(counts[0] / np.maximum(total, 1)) + (top - 1) * np.log(alpha), log)
-        for n in range(2, ORDER + 1):
-            before = np.concatenate(([0], counts[n - 2][:-1]))  # the sequence without its last word ends one word earlier
-            log = np.where((counts[n - 1] > 0) & (before > 0), np.log(counts[n - 1] / np.maximum(before, 1)) + (top - n) * np.log(alpha), log)
-    return n_words, np.bincount(owners, weights=log, minlength=len(texts))
+    own = np.diff(np.concatenate((np.flatnonzero(new_pair), [len(k)])))[pair]
+    top = np.minimum(ORDER, np.arange(len(words)) - np.concatenate(([0], np.cumsum(n_words)))[owners] + 1)
+    found = []
+    for less, rest in ((0, corpus[0]), (own, corpus[0] - n_words[owners])):
+        seen = np.empty(len(every), np.int64)
+        seen[order] = corpus[place] - less
+        seen[every == TOTAL] = 0
+        log = _logs(seen.reshape(ORDER, len(words)), rest, top, alpha)
+        found.append(np.bincount(owners, weights=log, minlength=len(texts)))
+    return n_words, *found
+
 
+def score(docs: DataFrame, key: str = "doc_id", text: str = "text", alpha: float = ALPHA) -> DataFrame:
+    """(key, n_words, log_score, mean_log_score, full_log_score) of every document under counts of all documents.
 
-def score(docs: DataFrame, key: str = "doc_id", text: str = "text", alpha: float = ALPHA, leave_out: bool = True) -> DataFrame:
-    """(key, n_words, log_score, mean_log_score) of every document under counts of all documents."""
+    ``log_score`` and its mean per word leave the document's own occurrences out; ``full_log_score`` doesn't.
+    """
     buckets, n = exchange.dealt(docs, key, text, BUCKET_BYTES)
-    answers = exchange.exchange(buckets, n, _asked)
+    bits = wordhash.key_bits(n)
+    answers = exchange.exchange(buckets, n, _asked(bits), bits)
     kind = docs.schema[key].dataType
-    schema = T.StructType([T.StructField("key", kind), T.StructField("n_words", T.LongType()), T.StructField("log_score", T.DoubleType()), T.StructField("mean_log_score", T.DoubleType())])
+    fields = [("key", kind), ("n_words", T.LongType()), ("log_score", T.DoubleType()), ("mean_log_score", T.DoubleType()), ("full_log_score", T.DoubleType())]
 
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
-        n_words, log = _scores(table, answers, alpha, leave_out)
+        n_words, full, log = _scores(table, answers, alpha, bits)
         mean = pa.array(log / np.maximum(n_words, 1), mask=n_words == 0)
-        return pa.table({"key": table.column("key"), "n_words": pa.array(n_words.astype(np.int64)), "log_score": pa.array(log), "mean_log_score": mean})
+        return pa.table({"key": table.column("key"), "n_words": pa.array(n_words.astype(np.int64)), "log_score": pa.array(log), "mean_log_score": mean, "full_log_score": pa.array(full)})
 
-    return buckets.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(run, schema).withColumnRenamed("key", key)
+    return buckets.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(run, T.StructType([T.StructField(*f) for f in fields])).withColumnRenamed("key", key)

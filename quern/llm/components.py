@@ -22,7 +22,10 @@ def _distinct(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) for every node of ``edges`` (u, v); component is its smallest node. Null ends are ignored."""
+    """(node, component) for every node of ``edges`` (u, v); component is its smallest node. Null ends are ignored.
+
+    The result is a table that the caller may ``release``; all others are deleted here.
+    """
     edges = edges.where(F.col("u").isNotNull() & F.col("v").isNotNull())
     given = edges = materialize(_distinct(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))), "edges")
     nodes = given.select(F.col("u").alias("node")).union(given.select(F.col("v").alias("node"))).distinct()
@@ -46,4 +49,8 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
     else:
         raise RuntimeError("the components did not settle")
-    return nodes.join(edges.select(F.col("u").alias("node"), F.col("v").alias("m")), "node", "left").select("node", F.coalesce("m", "node").alias("component"))
+    out = materialize(nodes.join(edges.select(F.col("u").alias("node"), F.col("v").alias("m")), "node", "left").select("node", F.coalesce("m", "node").alias("component")), "components")
+    release(edges)
+    if edges is not given:
+        release(given)
+    return out

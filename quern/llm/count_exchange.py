@@ -3,8 +3,15 @@
 A bucket asks for the counts of its distinct keys: it sends each block of the key space the
 sorted keys that it has there with their counts in the bucket. A block adds these up and answers
 with the sums, in the order in which the keys were asked. So n-grams are counted within a bucket
-before anything is shuffled, and keys travel once, as compressed differences. An n-gram that a
+before anything is shuffled, and keys travel as compressed differences. An n-gram that a
 third of all documents hold is one key per bucket.
+
+There are as many blocks in the end as buckets, but a bucket asks no more than ``FAN`` of them: beyond
+that, the requests of ``FAN`` buckets for one part of the key space are added up and asked on, part by
+part. So each table that travels carries about 1/``FAN`` of a bucket's keys at any size of the input,
+and the number of tables is in proportion to the buckets, times the logarithm of their number.
+
+Rows go to buckets by a hash of id and text: only rows that repeat both are sure to meet in one.
 """
 
 from __future__ import annotations
@@ -17,16 +24,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.wordhash import KEY_BITS
-
 BUCKET_BYTES = 5_000_000
+FAN_BITS = 8
+FAN = 1 << FAN_BITS
 
 
 def dealt(docs: DataFrame, key: str, text: str, bucket_bytes: int = BUCKET_BYTES, carry: Sequence[str] = ()) -> tuple[DataFrame, int]:
     """(bucket, key, text, and the columns to carry) with as many buckets as the texts need to be of about that size; and their number."""
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     n = max(1, -(-total // bucket_bytes))
-    bucket = F.pmod(F.xxhash64(F.col(key), F.length(text), F.substring(text, 1, 64)), F.lit(n)).cast("int")
+    bucket = F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(n)).cast("int")
     return docs.select(bucket.alias("bucket"), F.col(key).alias("key"), F.col(text).alias("text"), *carry), n
 
 
@@ -50,42 +57,94 @@ def summed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[first], np.diff(np.concatenate((first, [len(values)])))
 
 
-def exchange(buckets: DataFrame, n_buckets: int, extract: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+def hops(n_buckets: int, fan_bits: int = FAN_BITS) -> list[int]:
+    """Bits of the key that each hop of the requests resolves."""
+    bits = max(0, n_buckets - 1).bit_length()
+    return [fan_bits] * (bits // fan_bits) + [bits % fan_bits] * (bits % fan_bits > 0) or [0]
+
+
+def _deltas(keys: np.ndarray) -> bytes:
+    return packed(np.concatenate((keys[:1], np.diff(keys))))
+
+
+def _undone(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(raw, np.uint64), dtype=np.uint64)
+
+
+def _split(keys: np.ndarray, counts: np.ndarray, block: int, done: int, bits: int, key_bits: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """Requests for the parts of a block (of ``done`` leading bits) that the next ``bits`` make: their numbers, keys and counts."""
+    parts = (keys >> np.uint64(key_bits - done - bits)).astype(np.int64) if done + bits else np.zeros(len(keys), np.int64)
+    edges = np.searchsorted(parts, (block << bits) + np.arange((1 << bits) + 1))
+    for i in np.flatnonzero(np.diff(edges)).tolist():
+        part = slice(edges[i], edges[i + 1])
+        yield (block << bits) + i, _deltas(keys[part]), packed(counts[part].astype(np.uint64))
+
+
+def _added(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """The keys of each request, all distinct ones sorted, their sums, and the place of every asked key among them."""
+    asked = [_undone(x) for x in table.column("asked").to_pylist()]
+    every = np.concatenate(asked)
+    order = np.argsort(every)
+    ranked = every[order]
+    new = np.concatenate(([True], ranked[1:] != ranked[:-1]))
+    place = np.empty(len(every), np.int64)
+    place[order] = np.cumsum(new) - 1
+    held = np.concatenate([unpacked(x, np.uint64) for x in table.column("held").to_pylist()])
+    # 53 bits of a sum are exact
+    return asked, ranked[new], np.bincount(place, weights=held).astype(np.uint64), place
+
+
+def _replies(table: pa.Table, asked: list[np.ndarray], sums: np.ndarray) -> pa.Table:
+    ends = np.cumsum([len(a) for a in asked])
+    return pa.table({"bucket": table.column("bucket"), "block": table.column("block"), "sums": pa.array([packed(sums[e - len(a) : e]) for a, e in zip(asked, ends, strict=True)], pa.binary())})
+
+
+_REQUEST, _REPLY = "bucket int, block int, asked binary, held binary", "bucket int, block int, sums binary"
+
+
+def _requests(bucket: list[int], rows: list[tuple[int, bytes, bytes]]) -> pa.Table:
+    return pa.table({"bucket": pa.array(bucket, pa.int32()), "block": pa.array([r[0] for r in rows], pa.int32()), "asked": pa.array([r[1] for r in rows], pa.binary()), "held": pa.array([r[2] for r in rows], pa.binary())})
+
+
+def _resolved(requests: DataFrame, done: int, left: list[int], fan_bits: int, key_bits: int) -> DataFrame:
+    """Replies (bucket, block, sums) to requests for blocks of ``done`` bits; ``left`` are the hops still to go."""
+    if not left:
+
+        def answer(table: pa.Table) -> pa.Table:
+            asked, _, sums, place = _added(table)
+            return _replies(table, asked, sums[place])
+
+        return requests.groupBy("block").applyInArrow(answer, _REPLY)
+
+    def ask_on(table: pa.Table) -> pa.Table:
+        _, keys, sums, _ = _added(table)
+        rows = list(_split(keys, sums, table.column("block")[0].as_py(), done, left[0], key_bits))
+        return _requests([table.column("many")[0].as_py()] * len(rows), rows)
+
+    def hand_back(table: pa.Table, replies: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return _replies(pa.table({"bucket": pa.array([], pa.int32()), "block": pa.array([], pa.int32())}), [], np.empty(0, np.uint64))
+        asked, _, _, place = _added(table)
+        return _replies(table, asked, received(replies).astype(np.uint64)[place])
+
+    gathered = requests.withColumn("many", F.shiftright("bucket", fan_bits))
+    replies = _resolved(gathered.groupBy("many", "block").applyInArrow(ask_on, _REQUEST), done + left[0], left[1:], fan_bits, key_bits)
+    above = replies.select(F.col("bucket").alias("many"), F.shiftright("block", left[0]).alias("above"), "block", "sums")
+    return gathered.groupBy("many", "block").cogroup(above.groupBy("many", "above")).applyInArrow(hand_back, _REPLY)
+
+
+def exchange(buckets: DataFrame, n_buckets: int, extract: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]], key_bits: int = 64, fan_bits: int = FAN_BITS) -> DataFrame:
     """(bucket, block, sums): for every bucket the global counts of what ``extract`` returns for it.
 
-    extract: from a bucket's table to its sorted distinct keys and their counts.
+    extract: from a bucket's table to its sorted distinct keys, of ``key_bits`` bits, and their counts.
     """
-    bits = max(0, n_buckets - 1).bit_length()
+    first, *left = hops(n_buckets, fan_bits)
 
     def ask(table: pa.Table) -> pa.Table:
-        found, counts = extract(table)
-        edges = np.searchsorted(found, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(KEY_BITS - bits))
-        blocks, asked, held = [], [], []
-        for block in np.flatnonzero(np.diff(edges)).tolist():
-            part = slice(edges[block], edges[block + 1])
-            k = found[part]
-            blocks.append(block)
-            asked.append(packed(np.concatenate((k[:1], np.diff(k)))))
-            held.append(packed(counts[part].astype(np.uint32)))
-        bucket = table.column("bucket")[0].as_py() if table.num_rows else None
-        return pa.table({"bucket": pa.array([bucket] * len(blocks), pa.int32()), "block": pa.array(blocks, pa.int32()), "asked": pa.array(asked, pa.binary()), "held": pa.array(held, pa.binary())})
-
-    def answer(table: pa.Table) -> pa.Table:
-        asked = [np.cumsum(unpacked(x, np.uint64), dtype=np.uint64) for x in table.column("asked").to_pylist()]
-        held = [unpacked(x, np.uint32) for x in table.column("held").to_pylist()]
-        every = np.concatenate(asked)
-        order = np.argsort(every)
-        ranked = every[order]
-        group = np.cumsum(np.concatenate(([0], (ranked[1:] != ranked[:-1]).astype(np.int64))))
-        place = np.empty(len(every), np.int64)
-        place[order] = group
-        sums = np.bincount(place, weights=np.concatenate(held)).astype(np.uint64)[place]
-        ends = np.cumsum([len(a) for a in asked])
-        sums = [packed(sums[e - len(a) : e]) for a, e in zip(asked, ends, strict=True)]
-        return pa.table({"bucket": table.column("bucket"), "block": table.column("block"), "sums": pa.array(sums, pa.binary())})
-
-    requests = buckets.groupBy("bucket").applyInArrow(ask, "bucket int, block int, asked binary, held binary")
-    return requests.groupBy("block").applyInArrow(answer, "bucket int, block int, sums binary")
+        rows = list(_split(*extract(table), 0, 0, first, key_bits))
+        return _requests([table.column("bucket")[0].as_py()] * len(rows), rows)
+
+    return _resolved(buckets.groupBy("bucket").applyInArrow(ask, _REQUEST), first, left, fan_bits, key_bits)
 
 
 def received(answers: pa.Table) -> np.ndarray:

@@ -1,4 +1,4 @@
-"""Exact Jaccard similarity join of documents over their word n-grams.
+"""Jaccard similarity join of documents over their word n-grams.
 
 The links are the large entries of a product: of the sparse matrix of documents by n-grams with
 its transpose, whose entries are overlap counts. It is computed in blocks, and entries that cannot
@@ -8,11 +8,14 @@ reach the threshold are discarded early by bounds that follow from the documents
    add nothing to any overlap. A document with fewer shared n-grams than the threshold's part of
    its size links with nothing, which leaves few documents but copies.
 2. In the order rarest n-gram first, two documents that link must share one of the first
-   ``size - threshold * size + 1`` n-grams of both. Documents that share one of those are
-   candidates; their connected components are families, outside which no entry can count.
+   ``size - threshold * size + 1`` n-grams of both, and lie in the same or neighbouring bands of sizes.
+   Each band with the one above it is a cell; documents of a cell that share one of those n-grams are
+   candidates, and their connected components are families, outside which no entry can count. A family
+   never leaves its cell, so chains of documents of ever other sizes don't grow together.
 3. Each family is a sub-matrix. Its product is accumulated in blocks of a bounded number of
-   documents: first over the leading n-grams, where entries that are zero, or whose documents differ
-   too much in size for any overlap to reach the threshold, are dropped; then over all. Of the links found, each block gives
+   n-grams: first over the leading n-grams, where entries that are zero, or whose documents differ
+   too much in size for any overlap to reach the threshold, are dropped; then over all. Two documents
+   of the upper band are left to their own cell. Of the links found, each block gives
    only as many as connect its documents alike, so a family of thousands of near copies gives
    thousands of rows, not millions.
 4. Documents with equal sets are one document in steps 2 and 3; all of them belong to its class.
@@ -23,26 +26,27 @@ Results in odd cases: null or empty text, and text without words, has no n-grams
 nothing; a text with fewer words than n has its whole sequence as its only n-gram. A null id links
 with nothing and has a null class. Rows that repeat an id are one document's texts: each gets a
 row, and their classes are one. An empty table gives no rows. Columns other than the key and text are ignored.
-Words are compared with A-Z lowered; n-grams by 48-bit hashes.
+Words are compared with A-Z lowered; n-grams by 64-bit hashes, which is the one way in which it could err.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.llm import count_exchange as exchange
 from quern.llm import wordhash
 from quern.llm.components import components
-from quern.session import materialize
+from quern.session import materialize, release
 
-#: Documents of a family in one block of its product.
-BLOCK_DOCS = 256
+#: Bytes of the n-grams of a family in one block of its product, about.
+BLOCK_BYTES = 2_000_000
 
 
 def _doc_keys(table: pa.Table, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -51,11 +55,14 @@ def _doc_keys(table: pa.Table, n: int) -> tuple[np.ndarray, np.ndarray]:
     for part in exchange.slices(table):
         words, owners = wordhash.word_hashes(exchange.texts_of(part))
         h, of = wordhash.shingles(words, owners, n)
-        both = np.sort(of.astype(np.uint64) << np.uint64(wordhash.KEY_BITS) | wordhash.keys(h))
-        if len(both):
-            both = both[np.concatenate(([True], both[1:] != both[:-1]))]
-        rows.append((both >> np.uint64(wordhash.KEY_BITS)).astype(np.int64) + at)
-        found.append(both & np.uint64((1 << wordhash.KEY_BITS) - 1))
+        order = np.argsort(h)
+        order = order[np.argsort(of[order].astype(np.uint16), kind="stable")]  # a slice's rows fit in 16 bits
+        h, of = h[order], of[order]
+        if len(h):
+            new = np.concatenate(([True], (h[1:] != h[:-1]) | (of[1:] != of[:-1])))
+            h, of = h[new], of[new]
+        rows.append(of + at)
+        found.append(h)
         at += part.num_rows
     return np.concatenate(rows), np.concatenate(found)
 
@@ -95,17 +102,20 @@ def signatures(docs: DataFrame, key: str, text: str, n: int, percent: int) -> Da
     return buckets.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(sign, schema)
 
 
-def _product(keys: list[np.ndarray], sizes: np.ndarray, leading: list[np.ndarray], left: range, right: range, percent: int) -> list[tuple[int, int]]:
-    """Links between two blocks of documents: entries of the block's product that reach the threshold."""
-    flat = np.concatenate([keys[j] for j in right])
-    of = np.repeat(np.arange(len(right)), [len(keys[j]) for j in right])
-    order = np.argsort(flat, kind="stable")
-    columns, of = flat[order], of[order]
-    lead_flat = np.concatenate([leading[j] for j in right])
-    lead_of = np.repeat(np.arange(len(right)), [len(leading[j]) for j in right])
-    order = np.argsort(lead_flat, kind="stable")
-    lead_columns, lead_of = lead_flat[order], lead_of[order]
-    right_sizes = sizes[right.start : right.stop]
+def _product(keys: list[np.ndarray], sizes: np.ndarray, low: np.ndarray, leading: list[np.ndarray], left: range, right: range, percent: int) -> list[tuple[int, int]]:
+    """Links between two blocks of documents: entries of the block's product that reach the threshold.
+
+    low: which documents are of the cell's lower band; pairs without one of those are left out.
+    """
+
+    def matrix(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        flat = np.concatenate([rows[j] for j in right])
+        of = np.repeat(np.arange(len(right)), [len(rows[j]) for j in right])
+        order = np.argsort(flat, kind="stable")
+        return flat[order], of[order]
+
+    whole, first = matrix(keys), matrix(leading)
+    right_sizes, right_low = sizes[right.start : right.stop], low[right.start : right.stop]
 
     def row(wanted: np.ndarray, columns: np.ndarray, of: np.ndarray) -> np.ndarray:
         low, high = np.searchsorted(columns, wanted, "left"), np.searchsorted(columns, wanted, "right")
@@ -116,11 +126,13 @@ def _product(keys: list[np.ndarray], sizes: np.ndarray, leading: list[np.ndarray
     links = []
     for i in left:
         both = sizes[i] + right_sizes
-        alive = (row(leading[i], lead_columns, lead_of) > 0) & (100 * np.minimum(sizes[i], right_sizes) >= percent * np.maximum(sizes[i], right_sizes))
+        alive = (right_low | low[i]) & (100 * np.minimum(sizes[i], right_sizes) >= percent * np.maximum(sizes[i], right_sizes))
         if left == right:
             alive[: i - right.start + 1] = False
         if alive.any():
-            overlap = row(keys[i], columns, of)
+            alive &= row(leading[i], *first) > 0
+        if alive.any():
+            overlap = row(keys[i], *whole)
             linked = alive & (100 * overlap >= percent * (both - overlap))
             links += [(i, right.start + int(j)) for j in np.flatnonzero(linked)]
     return links
@@ -142,35 +154,45 @@ def _forest(n: int, links: list[tuple[int, int]]) -> list[int]:
     return [top(x) for x in range(n)]
 
 
-def _families(unique: DataFrame) -> DataFrame:
-    """(key, family) of the documents that share a leading n-gram with another."""
-    postings = unique.select("key", F.explode("leading").alias("gram"))
-    hubs = postings.groupBy("gram").agg(F.min("key").alias("hub"), F.max("key").alias("last")).where("hub < last").select("gram", "hub")
-    pairs = postings.join(hubs, "gram").select(F.col("key").alias("u"), F.col("hub").alias("v")).distinct()
-    return components(pairs).select(F.col("node").alias("key"), F.col("component").alias("family"))
+def _bands(size: Column, percent: int) -> Column:
+    """A number per document: of two that can link it is equal or differs by one."""
+    return F.floor(F.log(size.cast("double")) / (math.log(100 / percent) * (1 + 1e-9))).cast("int") if percent < 100 else size.cast("int")
 
 
-def links(unique: DataFrame, percent: int, block_docs: int = BLOCK_DOCS) -> DataFrame:
+def _candidates(unique: DataFrame, percent: int) -> DataFrame:
+    """(u, v): documents of a cell that share a leading n-gram, as pairs with the first that holds it."""
+    band = _bands(F.col("size"), percent)
+    postings = unique.select("key", F.explode(F.array(band, band - 1)).alias("cell"), "leading").select("key", "cell", F.explode("leading").alias("gram"))
+    hubs = postings.groupBy("gram", "cell").agg(F.min("key").alias("hub"), F.max("key").alias("last")).where("hub < last").select("gram", "cell", "hub")
+    return postings.join(hubs, ["gram", "cell"]).select(F.struct("cell", "key").alias("u"), F.struct("cell", F.col("hub").alias("key")).alias("v")).distinct()
+
+
+def links(unique: DataFrame, families: DataFrame, percent: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(u, v, n): pairs that connect what links connect, among documents with different sets; and, with
-    v null, parts of the number n of documents that u links with, each set counting its copies."""
-    families = materialize(_families(unique), "families")
-    blocks = families.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / block_docs).cast("int").alias("blocks"))
-    members = unique.join(families, "key").join(blocks, "family")
+    v null, parts of the number n of documents that u links with, each set counting its copies.
+
+    families: components of ``_candidates``.
+    """
+    families = families.select("node.cell", "node.key", F.col("component").alias("family"))
+    sized = unique.select("key", F.octet_length("shared").alias("bytes"), _bands(F.col("size"), percent).alias("band"))
+    blocks = families.join(sized, "key").groupBy("family").agg(F.ceil(F.sum("bytes") / block_bytes).cast("int").alias("blocks"), F.bool_or(F.col("band") == F.col("cell")).alias("needed"))
+    # a family of upper documents alone is one in its own cell too
+    members = unique.join(families, "key").join(blocks.where("needed").drop("needed"), "family").withColumn("low", _bands(F.col("size"), percent) == F.col("cell"))
     own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = members.withColumn("own", own).withColumn("other", other).select("family", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "key", "size", "copies", "leading", "shared")
+    dealt = members.withColumn("own", own).withColumn("other", other).select("family", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "key", "size", "low", "copies", "leading", "shared")
 
     def multiply(table: pa.Table) -> pa.Table:
         a, b = table.column("a")[0].as_py(), table.column("b")[0].as_py()
         table = table.sort_by([("own", "ascending"), ("key", "ascending")])
         own, ids = table.column("own").to_numpy(), table.column("key").to_pylist()
-        sizes, copies = table.column("size").to_numpy(), table.column("copies").to_numpy()
+        sizes, copies, low = (table.column(c).to_numpy() for c in ("size", "copies", "low"))
         keys = [np.frombuffer(x, np.uint64) for x in table.column("shared").to_pylist()]
-        leading = [np.array(x, np.uint64) for x in table.column("leading").to_pylist()]
+        leading = [np.array(x, np.int64).astype(np.uint64) for x in table.column("leading").to_pylist()]
         cut = int(np.searchsorted(own, b)) if a < b else len(ids)
         left = range(cut)
         right = range(cut, len(ids)) if a < b else left
-        found = _product(keys, sizes, leading, left, right, percent) if len(left) and len(right) else []
+        found = _product(keys, sizes, low, leading, left, right, percent) if len(left) and len(right) else []
         first = _forest(len(ids), found)
         u = [ids[i] for i, f in enumerate(first) if f != i]
         v = [ids[f] for i, f in enumerate(first) if f != i]
@@ -193,7 +215,9 @@ def classes(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id",
     able = signed.where(F.col("fingerprint").isNotNull() & F.col("key").isNotNull())
     first = F.min(F.struct("key", "size", "leading", "shared")).alias("one")
     unique = materialize(able.groupBy("fingerprint").agg(first, F.count(F.lit(1)).alias("copies")).select("fingerprint", "one.*", "copies"), "unique-sets")
-    found = materialize(links(unique, percent), "links")
+    families = components(_candidates(unique, percent))
+    found = materialize(links(unique, families, percent), "links")
+    release(families)
     # an id that comes with several texts connects them
     own = able.select("key", "fingerprint")
     several = own.groupBy("key").agg(F.min("fingerprint").alias("a"), F.max("fingerprint").alias("b")).where("a <> b").select("key")
@@ -204,7 +228,10 @@ def classes(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id",
     of_set = of_set.select("fingerprint", F.coalesce("component", "key").alias("component_id"), (F.col("copies") - 1 + F.coalesce("degree", F.lit(0))).alias("n_links"))
     grouped = able.select("key", "size", "fingerprint").join(of_set, "fingerprint").drop("fingerprint")
     alone = signed.where(F.col("fingerprint").isNull() | F.col("key").isNull()).select("key", "size", F.col("key").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
-    return alone.unionByName(grouped).select(F.col("key").alias(key), F.col("size").alias("n_shingles"), "component_id", "n_links")
+    out = materialize(alone.unionByName(grouped).select(F.col("key").alias(key), F.col("size").alias("n_shingles"), "component_id", "n_links"), "classes")
+    for used in (signed, unique, found, linked):
+        release(used)
+    return out
 
 
 def keep_first(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,8 +1,9 @@
 """Vectorised word and n-gram hashes of UTF-8 texts.
 
-Words are maximal runs of bytes other than the blank and 0x09 to 0x0D. A word's hash is a
-polynomial over its bytes modulo 2**64, taken from prefix sums over a whole batch and mixed; an
-n-gram's hash is mixed from its words' hashes in order. Keys are 48 bits of such a hash.
+Words are maximal runs of bytes other than the blank and 0x09 to 0x0D. A word's hash sums, over its
+groups of eight bytes, a mixed value of the group and its place, and is mixed again with the length:
+no sum of powers, so no two words are equal by their structure. An n-gram's hash is mixed from its
+words' hashes in order. Hashes have 64 bits; where they travel as keys, ``key_bits`` tells how many.
 """
 
 from __future__ import annotations
@@ -12,10 +13,10 @@ from collections.abc import Iterator
 import numpy as np
 
 PIECE_BYTES = 1_000_000
-KEY_BITS = 48
 _BASE = 0x9E3779B97F4A7C15
 _SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
-_SPACES = b" \t\n\v\f\r"
+#: What a load of eight bytes keeps of a group of so many.
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
 
@@ -48,11 +49,18 @@ def _hash_piece(raw: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     start, end = edge[::2], edge[1::2]
     if lower:
         b = b + ((b >= 65) & (b <= 90)).astype(np.uint8) * np.uint8(32)
-    up, down = power_table(len(b) + 1)
-    total = np.empty(len(b) + 1, np.uint64)
-    total[0] = 0
-    np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[: len(b)], out=total[1:])
-    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64)), start
+    size = end - start
+    groups = np.lib.stride_tricks.sliding_window_view(np.concatenate((b, np.zeros(7, np.uint8))), 8)
+    load = lambda at, n: groups[at].view("<u8")[:, 0] & _MASKS[np.minimum(n, 8)]
+    h = mix(load(start, size))
+    long = np.flatnonzero(size > 8)
+    if len(long):
+        n = (size[long] - 1) // 8
+        word = np.repeat(long, n)
+        place = np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n) + 1
+        rest = mix(load(start[word] + 8 * place, size[word] - 8 * place) + mix(place.astype(np.uint64) * np.uint64(_BASE)))
+        h[long] += np.add.reduceat(rest, np.cumsum(n) - n)
+    return mix(h + size.astype(np.uint64) * np.uint64(_BASE)), start
 
 
 def _pieces(texts: list[bytes | None]) -> Iterator[tuple[bytes, list[int], list[int]]]:
@@ -128,5 +136,10 @@ def shingles(words: np.ndarray, owners: np.ndarray, n: int) -> tuple[np.ndarray,
     return np.concatenate(more_h), np.concatenate(more_of)
 
 
-def keys(hashes: np.ndarray) -> np.ndarray:
-    return hashes >> np.uint64(64 - KEY_BITS)
+def key_bits(n_buckets: int) -> int:
+    """Bits of a key with which, at any number of buckets of some million keys, about one in ten million meets another of the same value."""
+    return min(64, 46 + max(0, n_buckets - 1).bit_length())
+
+
+def keys(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return hashes >> np.uint64(64 - bits)

@@ -5,10 +5,11 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quern.llm import backoff_lm, hashing_index, jaccard_join, passage_dedup, queries, wordhash
+from quern.llm import backoff_lm, count_exchange, hashing_index, jaccard_join, passage_dedup, queries, wordhash
 from quern.llm.components import components
 from quern.session import table
 
@@ -64,12 +65,14 @@ def family(seed, copies, edits, words=120):
     return out
 
 
-@pytest.mark.parametrize("block_docs", [3, 256])
-def test_near_copies_in_blocks(spark, block_docs, monkeypatch):
-    texts = family(1, 60, 6) + family(2, 40, 3) + family(3, 1, 1) * 20
+@pytest.mark.parametrize("block_bytes", [9000, 2_000_000])
+def test_near_copies_in_blocks(spark, block_bytes, monkeypatch):
+    """Near copies of one size, and of a chain of sizes that spans several bands; each counted once."""
+    rng = random.Random(6)
+    chain = [f"c{rng.randrange(10**6)}" for _ in range(160)]
+    texts = family(1, 60, 6) + family(2, 40, 3) + family(3, 1, 1) * 20 + [" ".join(chain[: 60 + 5 * i]) for i in range(20)]
     docs = list(enumerate(random.Random(5).sample(texts, len(texts))))
-    monkeypatch.setattr(jaccard_join, "BLOCK_DOCS", block_docs)
-    monkeypatch.setattr(jaccard_join.links, "__defaults__", (block_docs,))
+    monkeypatch.setattr(jaccard_join.links, "__defaults__", (block_bytes,))
     rows = spark.createDataFrame(docs, "doc_id long, text string")
     got = sorted((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in jaccard_join.classes(rows, 4, 85).collect())
     assert got == find_classes(docs, 4, 85)
@@ -113,6 +116,45 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+@pytest.mark.parametrize("n_buckets", [1, 4, 5, 40])
+def test_counts_by_hops(spark, n_buckets):
+    """Counts of keys that are asked through one hop or several, in blocks of four, against a sum."""
+    rng = np.random.default_rng(n_buckets)
+    keys = {b: np.unique(np.concatenate((rng.integers(0, 2**63, 50, dtype=np.uint64) << np.uint64(1), rng.integers(0, 60, 30, dtype=np.uint64) << np.uint64(58)))) for b in range(n_buckets) if b != 2}
+    want = Counter(k for ks in keys.values() for k in ks.tolist())
+    buckets = spark.createDataFrame([(b, b) for b in keys], "bucket int, x int")
+    found = count_exchange.exchange(buckets, n_buckets, lambda t: (keys[t.column("bucket")[0].as_py()], np.full(len(keys[t.column("bucket")[0].as_py()]), 2)), fan_bits=2)
+    replies = defaultdict(list)
+    for r in found.toArrow().to_pylist():
+        replies[r["bucket"]].append(r)
+    assert set(replies) == set(keys)
+    for b, rows in replies.items():
+        assert count_exchange.received(pa.Table.from_pylist(rows)).tolist() == [2 * want[k] for k in keys[b].tolist()]
+
+
+@pytest.mark.parametrize("n_buckets", [1, 10, 1000, 100_000, 20_000_000])
+def test_requests_do_not_grow_with_the_square(n_buckets):
+    """Each bucket, and each sum of its fan of them, asks at most a fan of blocks; blocks suffice for the buckets."""
+    hops = count_exchange.hops(n_buckets)
+    assert all(2**h <= count_exchange.FAN for h in hops) and n_buckets <= 2 ** sum(hops) < max(2, 2 * n_buckets)
+    keys = np.sort(np.random.default_rng(1).integers(0, 2**63, 100_000, dtype=np.uint64) << np.uint64(1))
+    asked = list(count_exchange._split(keys, np.ones(len(keys)), 0, 0, hops[0], 64))
+    assert len(asked) == 2 ** hops[0] and len(asked) <= count_exchange.FAN
+
+
+def test_words_of_structure_have_hashes_of_their_own():
+    """Two words that a sum of powers modulo 2**64 makes equal, and words that differ in one place only."""
+    bits = "".join("ab"[i.bit_count() & 1] for i in range(1024))
+    texts = [bits, bits.translate(str.maketrans("ab", "ba")), *("x" * i + "y" + "x" * (40 - i) for i in range(41)), "a", "a\0", "a" * 8, "a" * 8 + "\0", "a" * 16, "a" * 17]
+    assert len(set(wordhash.word_hashes([t.encode() for t in texts])[0].tolist())) == len(texts)
+
+
+def test_long_different_words_do_not_link(spark):
+    bits = "".join("ab"[i.bit_count() & 1] for i in range(1024))
+    docs = spark.createDataFrame([(1, bits), (2, bits.translate(str.maketrans("ab", "ba")))], "doc_id long, text string")
+    assert {(r.doc_id, r.component_id) for r in jaccard_join.classes(docs, 4, 85).collect()} == {(1, 1), (2, 2)}
+
+
 def test_word_hashes_across_pieces(monkeypatch):
     texts = [b"one two  three\n", None, b"", b"x " * 5000 + b"END", b"Two ONE"]
     whole, owners = wordhash.word_hashes(texts)
@@ -309,14 +351,18 @@ def check_scores(docs, got):
                     break
             else:
                 score += top * math.log(0.4) - math.log(rest)
+        grams = [tuple(w[max(0, i - 2) : i + 1]) for i in range(len(w))]
+        full = sum(math.log(counts[len(g)][g] / (counts[len(g) - 1][g[:-1]] if len(g) > 1 else total)) for g in grams)
         assert got[d].n_words == len(w)
         assert got[d].log_score == pytest.approx(score, rel=1e-9, abs=1e-9)
+        assert got[d].full_log_score == pytest.approx(full, rel=1e-9, abs=1e-9)
 
 
 def test_backoff_odd_cases(spark):
     long = " ".join(f"w{i % 977}" for i in range(60_000))
     docs = [(1, None), (2, ""), (3, "\n"), (4, "a"), (5, "a b a b a b"), (6, "A b"), (7, long)]
     rows = spark.createDataFrame(docs, "doc_id long, text string").withColumn("log_score", F.lit("clash")).withColumn("key", F.lit(0))
+    assert set(backoff_lm.score(rows).columns) == {"doc_id", "n_words", "log_score", "mean_log_score", "full_log_score"}
     got = {r.doc_id: r for r in backoff_lm.score(rows).collect()}
     check_scores([(d, words_of(t)) for d, t in docs], got)
     assert got[1].mean_log_score is None and got[1].log_score == 0
