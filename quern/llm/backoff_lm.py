@@ -80,7 +80,6 @@ def _scores(table: pa.Table, answers: pa.Table, alpha: float, bits: int) -> tupl
     n_words = np.bincount(owners, minlength=len(texts))
     if not len(words):
         return n_words, np.zeros(len(texts)), np.zeros(len(texts))
-    corpus = exchange.received(answers)
     every = np.concatenate(sequence_keys(words, owners, bits))
     of = np.tile(owners, ORDER)
     # one sort finds each key's place among the bucket's keys, and its count in its document: sequences of
@@ -91,6 +90,7 @@ def _scores(table: pa.Table, answers: pa.Table, alpha: float, bits: int) -> tupl
     new_pair = new_key | np.concatenate(([True], d[1:] != d[:-1]))
     place = np.cumsum(new_key) - 1 + (k[0] != TOTAL)  # the bucket's keys start with the total
     pair = np.cumsum(new_pair) - 1
+    corpus = exchange.received(answers, int(place[-1]) + 1)[0]
     own = np.diff(np.concatenate((np.flatnonzero(new_pair), [len(k)])))[pair]
     top = np.minimum(ORDER, np.arange(len(words)) - np.concatenate(([0], np.cumsum(n_words)))[owners] + 1)
     found = []

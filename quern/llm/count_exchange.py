@@ -1,8 +1,9 @@
-"""Global counts of hashed n-grams, for documents that are dealt to buckets.
+"""Global counts, or first holders, of hashed n-grams, for documents that are dealt to buckets.
 
 A bucket asks for the counts of its distinct keys: it sends each block of the key space the
 sorted keys that it has there with their counts in the bucket. A block adds these up and answers
-with the sums, in the order in which the keys were asked. So n-grams are counted within a bucket
+with the sums, in the order in which the keys were asked. In place of counts any few numbers per key
+can travel that blocks merge; so do the first holders of keys. So n-grams are counted within a bucket
 before anything is shuffled, and keys travel as compressed differences. An n-gram that a
 third of all documents hold is one key per bucket.
 
@@ -67,90 +68,120 @@ def _deltas(keys: np.ndarray) -> bytes:
     return packed(np.concatenate((keys[:1], np.diff(keys))))
 
 
-def _undone(raw: bytes) -> np.ndarray:
+def undone(raw: bytes) -> np.ndarray:
     return np.cumsum(unpacked(raw, np.uint64), dtype=np.uint64)
 
 
-def _split(keys: np.ndarray, counts: np.ndarray, block: int, done: int, bits: int, key_bits: int) -> Iterator[tuple[int, bytes, bytes]]:
-    """Requests for the parts of a block (of ``done`` leading bits) that the next ``bits`` make: their numbers, keys and counts."""
+def _split(keys: np.ndarray, values: np.ndarray, block: int, done: int, bits: int, key_bits: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """Requests for the parts of a block (of ``done`` leading bits) that the next ``bits`` make: their numbers, keys and values."""
     parts = (keys >> np.uint64(key_bits - done - bits)).astype(np.int64) if done + bits else np.zeros(len(keys), np.int64)
     edges = np.searchsorted(parts, (block << bits) + np.arange((1 << bits) + 1))
     for i in np.flatnonzero(np.diff(edges)).tolist():
         part = slice(edges[i], edges[i + 1])
-        yield (block << bits) + i, _deltas(keys[part]), packed(counts[part].astype(np.uint64))
+        yield (block << bits) + i, _deltas(keys[part]), packed(values[:, part].ravel())
 
 
-def _added(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    """The keys of each request, all distinct ones sorted, their sums, and the place of every asked key among them."""
-    asked = [_undone(x) for x in table.column("asked").to_pylist()]
+Merge = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+
+
+def add(values: np.ndarray, place: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the values of each key: the merge for counts."""
+    return np.add.reduceat(values[:, np.argsort(place, kind="stable")], starts, axis=1)
+
+
+def first_holder(values: np.ndarray, place: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The merge for (document, 2 * place + whether several documents hold the key, bucket): the least document's."""
+    order = np.lexsort((values[0], place))
+    doc, flagged, bucket = values[:, order]
+    ends = np.concatenate((starts[1:], [len(doc)])) - 1
+    several = np.bitwise_or.reduceat(flagged & 1, starts) | (doc[ends] != doc[starts])
+    return np.stack((doc[starts], (flagged[starts] & ~1) | several, bucket[starts]))
+
+
+def _merged(table: pa.Table, merge: Merge) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """The keys of each request, all distinct ones sorted, their merged values, and the place of every asked key among them."""
+    asked = [undone(x) for x in table.column("asked").to_pylist()]
     every = np.concatenate(asked)
     order = np.argsort(every)
     ranked = every[order]
     new = np.concatenate(([True], ranked[1:] != ranked[:-1]))
     place = np.empty(len(every), np.int64)
     place[order] = np.cumsum(new) - 1
-    held = np.concatenate([unpacked(x, np.uint64) for x in table.column("held").to_pylist()])
-    # 53 bits of a sum are exact
-    return asked, ranked[new], np.bincount(place, weights=held).astype(np.uint64), place
+    held = np.concatenate([unpacked(x, np.int64).reshape(-1, len(a)) for x, a in zip(table.column("held").to_pylist(), asked, strict=True)], axis=1)
+    return asked, ranked[new], merge(held, place, np.flatnonzero(new)), place
 
 
-def _replies(table: pa.Table, asked: list[np.ndarray], sums: np.ndarray) -> pa.Table:
+def _replies(table: pa.Table, asked: list[np.ndarray], values: np.ndarray) -> pa.Table:
     ends = np.cumsum([len(a) for a in asked])
-    return pa.table({"bucket": table.column("bucket"), "block": table.column("block"), "sums": pa.array([packed(sums[e - len(a) : e]) for a, e in zip(asked, ends, strict=True)], pa.binary())})
+    return pa.table({"bucket": table.column("bucket"), "block": table.column("block"), "values": pa.array([packed(values[:, e - len(a) : e].ravel()) for a, e in zip(asked, ends, strict=True)], pa.binary())})
 
 
-_REQUEST, _REPLY = "bucket int, block int, asked binary, held binary", "bucket int, block int, sums binary"
+REQUEST, _REPLY = "bucket int, block int, asked binary, held binary", "bucket int, block int, values binary"
 
 
-def _requests(bucket: list[int], rows: list[tuple[int, bytes, bytes]]) -> pa.Table:
-    return pa.table({"bucket": pa.array(bucket, pa.int32()), "block": pa.array([r[0] for r in rows], pa.int32()), "asked": pa.array([r[1] for r in rows], pa.binary()), "held": pa.array([r[2] for r in rows], pa.binary())})
+def _requests(bucket: int, rows: list[tuple[int, bytes, bytes]]) -> pa.Table:
+    return pa.table({"bucket": pa.array([bucket] * len(rows), pa.int32()), "block": pa.array([r[0] for r in rows], pa.int32()), "asked": pa.array([r[1] for r in rows], pa.binary()), "held": pa.array([r[2] for r in rows], pa.binary())})
 
 
-def _resolved(requests: DataFrame, done: int, left: list[int], fan_bits: int, key_bits: int) -> DataFrame:
-    """Replies (bucket, block, sums) to requests for blocks of ``done`` bits; ``left`` are the hops still to go."""
+def _resolved(requests: DataFrame, done: int, left: list[int], merge: Merge, fan_bits: int, key_bits: int) -> DataFrame:
+    """Replies (bucket, block, values) to requests for blocks of ``done`` bits; ``left`` are the hops still to go."""
     if not left:
 
         def answer(table: pa.Table) -> pa.Table:
-            asked, _, sums, place = _added(table)
-            return _replies(table, asked, sums[place])
+            asked, _, values, place = _merged(table, merge)
+            return _replies(table, asked, values[:, place])
 
         return requests.groupBy("block").applyInArrow(answer, _REPLY)
 
     def ask_on(table: pa.Table) -> pa.Table:
-        _, keys, sums, _ = _added(table)
-        rows = list(_split(keys, sums, table.column("block")[0].as_py(), done, left[0], key_bits))
-        return _requests([table.column("many")[0].as_py()] * len(rows), rows)
+        _, keys, values, _ = _merged(table, merge)
+        return _requests(table.column("many")[0].as_py(), list(_split(keys, values, table.column("block")[0].as_py(), done, left[0], key_bits)))
 
     def hand_back(table: pa.Table, replies: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return _replies(pa.table({"bucket": pa.array([], pa.int32()), "block": pa.array([], pa.int32())}), [], np.empty(0, np.uint64))
-        asked, _, _, place = _added(table)
-        return _replies(table, asked, received(replies).astype(np.uint64)[place])
+            return _replies(table.select(["bucket", "block"]), [], np.empty((1, 0), np.int64))
+        asked, keys, _, place = _merged(table, merge)
+        return _replies(table, asked, received(replies, len(keys))[:, place])
 
     gathered = requests.withColumn("many", F.shiftright("bucket", fan_bits))
-    replies = _resolved(gathered.groupBy("many", "block").applyInArrow(ask_on, _REQUEST), done + left[0], left[1:], fan_bits, key_bits)
-    above = replies.select(F.col("bucket").alias("many"), F.shiftright("block", left[0]).alias("above"), "block", "sums")
+    replies = _resolved(gathered.groupBy("many", "block").applyInArrow(ask_on, REQUEST), done + left[0], left[1:], merge, fan_bits, key_bits)
+    above = replies.select(F.col("bucket").alias("many"), F.shiftright("block", left[0]).alias("above"), "block", "values")
     return gathered.groupBy("many", "block").cogroup(above.groupBy("many", "above")).applyInArrow(hand_back, _REPLY)
 
 
-def exchange(buckets: DataFrame, n_buckets: int, extract: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]], key_bits: int = 64, fan_bits: int = FAN_BITS) -> DataFrame:
-    """(bucket, block, sums): for every bucket the global counts of what ``extract`` returns for it.
+def asking(n_buckets: int, extract: Callable[..., tuple[np.ndarray, np.ndarray]], key_bits: int = 64, fan_bits: int = FAN_BITS) -> Callable[..., pa.Table]:
+    """From a bucket's table, or tables, to its requests.
 
-    extract: from a bucket's table to its sorted distinct keys, of ``key_bits`` bits, and their counts.
+    extract: from the tables to sorted distinct keys, of ``key_bits`` bits, and their values (rows of numbers, or one).
     """
+    first = hops(n_buckets, fan_bits)[0]
+
+    def ask(table: pa.Table, *more: pa.Table) -> pa.Table:
+        keys, values = extract(table, *more)
+        bucket = table.column("bucket")[0].as_py() if table.num_rows else None
+        return _requests(bucket, list(_split(keys, np.atleast_2d(values).astype(np.int64), 0, 0, first, key_bits)))
+
+    return ask
+
+
+def answered(requests: DataFrame, n_buckets: int, merge: Merge, key_bits: int = 64, fan_bits: int = FAN_BITS) -> DataFrame:
+    """(bucket, block, values): for every bucket the merged values of the keys that it asked for."""
     first, *left = hops(n_buckets, fan_bits)
+    return _resolved(requests, first, left, merge, fan_bits, key_bits)
 
-    def ask(table: pa.Table) -> pa.Table:
-        rows = list(_split(*extract(table), 0, 0, first, key_bits))
-        return _requests([table.column("bucket")[0].as_py()] * len(rows), rows)
 
-    return _resolved(buckets.groupBy("bucket").applyInArrow(ask, _REQUEST), first, left, fan_bits, key_bits)
+def exchange(buckets: DataFrame, n_buckets: int, extract: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]], key_bits: int = 64, fan_bits: int = FAN_BITS, merge: Merge = add) -> DataFrame:
+    """``answered``, for what ``extract`` returns for each bucket."""
+    ask = asking(n_buckets, extract, key_bits, fan_bits)
+    return answered(buckets.groupBy("bucket").applyInArrow(lambda table: ask(table), REQUEST), n_buckets, merge, key_bits, fan_bits)
 
 
-def received(answers: pa.Table) -> np.ndarray:
-    """The global counts of a bucket's keys, in the keys' order."""
-    rows = sorted(zip(answers.column("block").to_pylist(), answers.column("sums").to_pylist(), strict=True))
-    return np.concatenate([unpacked(x, np.uint64) for _, x in rows]).astype(np.int64) if rows else np.empty(0, np.int64)
+def received(answers: pa.Table, n_keys: int) -> np.ndarray:
+    """The merged values of a bucket's keys, in the keys' order; one row per number that travels."""
+    rows = sorted(zip(answers.column("block").to_pylist(), answers.column("values").to_pylist(), strict=True))
+    found = [unpacked(x, np.int64) for _, x in rows]
+    width = max(1, sum(len(x) for x in found) // max(1, n_keys))
+    return np.concatenate([x.reshape(width, -1) for x in found], axis=1) if found else np.empty((width, 0), np.int64)
 
 
 def texts_of(table: pa.Table) -> list[bytes | None]:

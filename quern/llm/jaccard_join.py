@@ -83,7 +83,8 @@ def signatures(docs: DataFrame, key: str, text: str, n: int, percent: int) -> Da
 
     def sign(table: pa.Table, replies: pa.Table) -> pa.Table:
         rows, keys = _doc_keys(table, n)
-        df = exchange.received(replies)[np.searchsorted(exchange.summed(keys)[0], keys)]
+        distinct = exchange.summed(keys)[0]
+        df = exchange.received(replies, len(distinct))[0][np.searchsorted(distinct, keys)]
         size = np.bincount(rows, minlength=table.num_rows)
         possible = np.bincount(rows[df > 1], minlength=table.num_rows) >= np.maximum(least_overlap(size, percent), 1)
         edges = np.searchsorted(rows, np.arange(table.num_rows + 1))
