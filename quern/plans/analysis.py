@@ -9,7 +9,7 @@ from quern.config import Progress
 from quern.functions import numeric, text
 from quern.operators import curation, evaluation, progress, quality
 from quern.plans.curation import CURATED
-from quern.session import prepare, shared_path, table
+from quern.session import prepare, shared_path, spread, table
 from quern.sources import audio, files
 from quern.streaming import progress as streaming
 
@@ -70,7 +70,7 @@ _HYP = "CASE WHEN doc_id % 3 = 0 THEN regexp_replace(s, '^[^ ]+ ', '') WHEN doc_
 
 
 def _errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     rows = curation.curated(docs).select("doc_id", "pos", F.col("sentence").alias("s"))
     return rows.withColumn("hyp", F.expr(_HYP)).select("doc_id", "pos", numeric.token_wer(F.col("s"), F.col("hyp")).alias("wer"))
 
@@ -348,7 +348,7 @@ _QUOTED = "CASE WHEN doc_id % 2 = 0 THEN concat('He said \"go\" | now, ', s) ELS
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     return curation.curated(docs).select("doc_id", "pos", F.col("sentence").alias("s"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quern.config import Curation
 from quern.functions import text
 from quern.operators import curation, selection
-from quern.session import prepare, table
+from quern.session import prepare, spread, table
 
 # ---- SQL that several queries share -------------------------------------------------------------
 
@@ -54,7 +54,7 @@ phon AS (SELECT *, list_transform(range(1, len(tokens)), lambda i: tokens[i] ||
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    return spread(table(prepare(spark), sf_dir, "documents").select("doc_id", "text"))
 
 
 def _with_markers(spark: SparkSession, sf_dir: str) -> DataFrame:

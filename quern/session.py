@@ -37,7 +37,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Make this package importable in Python workers and give the session a checkpoint folder.
 
     The folder named by ``spark.checkpoint.dir`` is used as it is; a temporary one is set only
-    where the setting is missing, as on a single machine.
+    where the setting is missing on a single machine, and on a cluster that is an error.
     """
     context = spark.sparkContext
     context.environment.update(WORKER_MEMORY)
@@ -53,6 +53,8 @@ def shared_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not found:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="quern-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(found)
@@ -87,12 +89,14 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A Parquet table of the data folder.
+    """A Parquet table of the data folder."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    A file of a few row groups gives fewer tasks than there are cores, and a text of a few MB can
-    cost seconds of work; such a table is dealt to all cores first. Tables with a task or more for
-    every core are read as they are.
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in a task for each core at least, for callers whose work on a row costs far more than to move it.
+
+    Rows of a table that has as many tasks as there are cores, as any large one has, stay where they are.
     """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if name == "documents" and df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
