@@ -36,12 +36,13 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.llm import count_exchange as exchange
 from quern.llm import wordhash
+from quern.llm.aside import names_after, set_aside
 from quern.llm.components import components
 from quern.session import materialize, release
 
@@ -236,9 +237,17 @@ def classes(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id",
 
 
 def keep_first(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without those rows whose class has a smaller key.
+    """One document of each class of ``docs``: that with the least key.
 
-    Rows with a null key stay, and so do all rows that repeat the class's least key.
+    Of rows that repeat both key and text one stays. Different texts of the least key are parts of one document
+    and stay, as do all rows with a null key, which are in no class.
     """
-    gone = classes(docs, n, percent, key, text).where(F.col("component_id") < F.col(key)).select(F.col(key).alias("_gone")).distinct()
-    return docs.join(gone, docs[key] == gone["_gone"], "left_anti")
+    names = ("_key", "_gone", "_several", "_nth")
+    moved, back = set_aside(docs, names)
+    at, body = (names_after(docs, names)[c] for c in (key, text))
+    found = classes(docs, n, percent, key, text).groupBy(F.col(key).alias("_key")).agg((F.min("component_id") < F.col("_key")).alias("_gone"), (F.count(F.lit(1)) > 1).alias("_several"))
+    kept = moved.join(found.where("_gone OR _several"), F.col(at) == F.col("_key"), "left").where("NOT coalesce(_gone, false)")
+    again = F.coalesce("_several", F.lit(False))
+    nth = F.row_number().over(Window.partitionBy(at, body).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in moved.columns])))
+    repeated = kept.where(again).withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+    return back(kept.where(~again).unionByName(repeated))

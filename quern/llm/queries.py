@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import backoff_lm, bpe_reuse, hashing_index, jaccard_join, langid, packing, passage_dedup, quality_rules, tool_calls, warc
-from quern.session import prepare, table
+from quern.session import prepare, spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(prepare(spark), sf_dir, "documents")).select("doc_id", "text")
     return jaccard_join.classes(docs, n=4, percent=85)
 
 
@@ -33,7 +33,7 @@ SELECT t.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, coalesce(k.n_li
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return langid.identify(table(prepare(spark), sf_dir, "documents"))
+    return langid.identify(spread(table(prepare(spark), sf_dir, "documents")))
 
 
 def op3_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def op3_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_bpe_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(prepare(spark), sf_dir, "documents")).select("doc_id", "text")
     return bpe_reuse.decode(bpe_reuse.encode(docs)).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
@@ -51,7 +51,7 @@ def op4_bpe_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = backoff_lm.score(table(prepare(spark), sf_dir, "documents").select("doc_id", "text"))
+    scored = backoff_lm.score(spread(table(prepare(spark), sf_dir, "documents")).select("doc_id", "text"))
     return scored.withColumns({c: F.round(c, 6) for c in ("log_score", "mean_log_score", "full_log_score")})
 
 
@@ -128,13 +128,13 @@ FROM conversations WHERE role NOT IN ('user', 'assistant')
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(prepare(spark), sf_dir, "documents")).select("doc_id", "text")
     return packing.pack(docs).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 def op8_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per passage that an earlier document holds too: places are word numbers."""
-    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(prepare(spark), sf_dir, "documents")).select("doc_id", "text")
     found = passage_dedup.find(docs, min_words=50)
     return found.select("doc_id", F.explode("passages").alias("p")).select("doc_id", F.col("p.source").alias("source_doc_id"), F.col("p.start").alias("start_word"), F.col("p.end").alias("end_word"), F.col("p.source_start").alias("source_start_word"), F.col("p.source_end").alias("source_end_word"), F.col("p.agreeing").alias("agreeing_words"))
 
@@ -155,7 +155,7 @@ FROM b
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(prepare(spark), sf_dir, "documents")).select("doc_id", "text")
     return quality_rules.apply_rules(docs).drop("text")
 
 
