@@ -56,8 +56,11 @@ def corpus_funnel(docs: DataFrame) -> DataFrame:
     return curated(docs).groupBy("category", "prosody").agg(F.count(F.lit(1)).alias("n"))
 
 
-def funnel_counts(docs: DataFrame) -> DataFrame:
-    """Rows after each step, from one pass: copies are counted before the shuffle."""
+def funnel_counts(docs: DataFrame, c: Curation = Curation()) -> DataFrame:
+    """Rows after each step, from one pass: copies are counted before the shuffle.
+
+    A selection takes as many of the candidates as it is asked for, or all.
+    """
     rows = normal_sentences(docs).select("sentence", text.reject_reason(F.col("sentence")).isNull().alias("ok"))
     key = F.when(F.col("ok"), F.lower("sentence"))
     keyed = rows.groupBy("ok", key.alias("key")).agg(F.count(F.lit(1)).alias("n"))
@@ -67,7 +70,7 @@ def funnel_counts(docs: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(F.col("ok"), F.col("n"))), F.lit(0)).alias("2_accepted"),
         F.count_if("ok").alias("3_unique"),
         F.count_if(F.col("ok") & labelled_).alias("4_candidates"),
-    )
+    ).withColumn("5_selected", F.least("4_candidates", F.lit(c.target_size).cast("long")))
     return whole.select(F.inline(F.array(*[F.struct(F.lit(c).alias("step"), F.col(c).alias("n")) for c in whole.columns])))
 
 

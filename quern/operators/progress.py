@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quern.config import Progress
 from quern.functions import numeric
@@ -27,9 +28,18 @@ def poll(done: DataFrame, p: Progress = Progress()) -> DataFrame:
     return done.agg(F.count(F.lit(1)).alias("done")).select("done", numeric.percent_done(F.col("done"), p.target).alias("percent"), (F.col("done") >= p.target).alias("finished"))
 
 
+def micros(rows: DataFrame, ts: str) -> Column:
+    """Microseconds of a time of ``rows``: of one without a zone by its own calendar, whatever the session's zone."""
+    if not isinstance(rows.schema[ts].dataType, T.TimestampNTZType):
+        return F.unix_micros(F.col(ts).cast("timestamp"))
+    c = F.col(ts)
+    return ((F.unix_date(c.cast("date")).cast("long") * 24 + F.hour(c)) * 60 + F.minute(c)) * 60_000_000 + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long")
+
+
 def throughput(events: DataFrame, ts: str, target: int, by: list[str] | None = None) -> DataFrame:
     """Items per second between the first and the last, and hours until the target."""
-    seconds = F.unix_micros(F.max(F.col(ts).cast("timestamp"))) - F.unix_micros(F.min(F.col(ts).cast("timestamp")))
+    at = micros(events, ts)
+    seconds = F.max(at) - F.min(at)
     out = events.groupBy(*(by or [])).agg(F.count(F.lit(1)).alias("done"), (seconds / 1e6).alias("seconds"))
     rate = F.when(F.col("seconds") > 0, F.col("done") / F.when(F.col("seconds") > 0, F.col("seconds")))
     return out.withColumn("rate", rate).withColumn("eta_hours", F.greatest(F.lit(target) - F.col("done"), F.lit(0)) / F.col("rate") / 3600)
@@ -38,8 +48,17 @@ def throughput(events: DataFrame, ts: str, target: int, by: list[str] | None = N
 def stalls(events: DataFrame, by: str, ts: str, minutes: int = Progress.stall_minutes) -> DataFrame:
     """(by, stalled_from, stalled_to): gaps of more than so many minutes between items of a worker."""
     before = F.lag(ts).over(Window.partitionBy(by).orderBy(ts))
-    gap = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("stalled_from").cast("timestamp"))
-    return events.select(by, ts, before.alias("stalled_from")).where(gap > minutes * 60_000_000).select(by, "stalled_from", F.col(ts).alias("stalled_to"))
+    both = events.select(by, ts, before.alias("stalled_from"))
+    gap = micros(both, ts) - micros(both, "stalled_from")
+    return both.where(gap > minutes * 60_000_000).select(by, "stalled_from", F.col(ts).alias("stalled_to"))
+
+
+def open_stalls(events: DataFrame, by: str, ts: str, now: DataFrame, minutes: int = Progress.stall_minutes) -> DataFrame:
+    """(by, stalled_from): workers that have been silent for more than so many minutes at the time ``now``, a table of one time."""
+    last = events.groupBy(by).agg(F.max(ts).alias("stalled_from"))
+    column = now.columns[0]
+    at = last.join(F.broadcast(now.select(micros(now, column).alias("_now")).limit(1)))
+    return at.where(F.col("_now") - micros(last, "stalled_from") > minutes * 60_000_000).select(by, "stalled_from")
 
 
 def restarts(ticks: DataFrame, by: str, ts: str, active: str, p: Progress = Progress()) -> DataFrame:

@@ -19,11 +19,11 @@ def _number(x: Column) -> Column:
 
 
 def first_stage(q: Quality = Quality()) -> Column:
-    """Why a clip is dropped before any model is called, or null."""
+    """Why a clip is dropped before any model is called, or null. An unknown ``has_file`` is a missing file."""
     chars = F.length("sentence")
     ratio = numeric.duration_ratio(F.col("duration_s"), chars)
     return (
-        F.when(~F.col("has_file"), "missing_file")
+        F.when(~F.coalesce("has_file", F.lit(False)), "missing_file")
         .when(F.col("load_error").isNotNull(), "load_error")
         .when(_number(ratio) & ((ratio < q.ratio_min) | (ratio > q.ratio_max)), "duration_ratio")
         .when(_number(F.col("peak")) & (F.col("peak") >= q.clip_peak), "clipping")
@@ -70,7 +70,28 @@ def ladder(clips: DataFrame, thresholds: DataFrame, q: Quality = Quality()) -> D
     scored = staged.join(F.broadcast(thresholds)).withColumn("outcome", F.coalesce("outcome", second_stage(F.col("ecapa_min"), F.col("wavlm_min"), q))).drop("ecapa_min", "wavlm_min")
     marked = outliers(scored, q.axes, q.sigmas, among=F.col("outcome").isNull())
     last = F.when(F.col("axis").isNotNull(), "outlier").otherwise("kept")
-    return marked.withColumn("outcome", F.coalesce("outcome", last)).drop("value", "mu", "sd")
+    return marked.withColumn("outcome", F.coalesce("outcome", last))
+
+
+def drop_records(outcomes: DataFrame) -> DataFrame:
+    """A record per dropped clip in the form of ``files.DROP_SCHEMA``: the filter, and the figures on which it decided; null elsewhere."""
+    chars = F.length("sentence")
+    figures = {
+        "error": {"load_error": F.col("load_error"), "whisper_error": F.col("asr_error")},
+        "duration": {"duration_ratio": F.col("duration_s")},
+        "chars": {"duration_ratio": chars},
+        "ratio": {"duration_ratio": numeric.duration_ratio(F.col("duration_s"), chars)},
+        "peak": {"clipping": F.col("peak")},
+        "rms": {"rms_low": F.col("rms")},
+        "count": {"internal_silence": F.col("silences")},
+        "wer": {"wer": F.col("wer")},
+        "ref": {"wer": F.col("sentence")},
+        "hyp": {"wer": F.col("transcript") if "transcript" in outcomes.columns else F.lit(None).cast("string")},
+        "ecapa": {"speaker_verify": F.col("ecapa")},
+        "wavlm": {"speaker_verify": F.col("wavlm")},
+    }
+    columns = [F.coalesce(*[F.when(F.col("outcome") == name, value) for name, value in by.items()]).alias(field) for field, by in figures.items()]
+    return outcomes.where("outcome <> 'kept'").select("id", F.col("outcome").alias("filter"), *columns, "axis", "value", "mu", "sd")
 
 
 def drop_histogram(outcomes: DataFrame) -> DataFrame:
@@ -89,11 +110,12 @@ def recover(outcomes: DataFrame, corpus: DataFrame, files: DataFrame, strict: Da
 
     Recovered clips need a sentence and a file. ``strict``: ids that also pass the later filters.
     """
-    kept = outcomes.where("outcome = 'kept'").select("id", "sentence", F.lit("1_curated").alias("origin"))
-    back = outcomes.where("outcome = 'wer'").select("id").join(corpus.select("id", "sentence"), "id").join(files.select("id"), "id", "left_semi")
-    if strict is not None:
-        back = back.join(strict.select("id"), "id", "left_semi")
-    return kept.unionByName(back.select("id", "sentence", F.lit("2_recovered").alias("origin")))
+    files = files.select("id") if strict is None else files.select("id").join(strict.select("id"), "id", "left_semi")
+    can = corpus.select(F.col("id").alias("_id"), F.col("sentence").alias("_sentence")).join(files.select(F.col("id").alias("_id")), "_id", "left_semi")
+    # one pass over the outcomes: kept clips look up nothing
+    rows = outcomes.where("outcome IN ('kept', 'wer')").select("id", "sentence", (F.col("outcome") == "kept").alias("_kept"))
+    both = rows.join(can, (F.col("id") == F.col("_id")) & ~F.col("_kept"), "left").where("_kept OR _id IS NOT NULL")
+    return both.select("id", F.when(F.col("_kept"), F.col("sentence")).otherwise(F.col("_sentence")).alias("sentence"), F.when(F.col("_kept"), "1_curated").otherwise("2_recovered").alias("origin"))
 
 
 def skipped(outcomes: DataFrame, corpus: DataFrame, files: DataFrame) -> DataFrame:
@@ -136,6 +158,6 @@ def upper_median(rows: DataFrame, value: str, by: str) -> DataFrame:
     return above
 
 
-def threshold(similarities: DataFrame, value: str, factor: float = 0.75, digits: int = 3) -> Column:
+def threshold(value: str, factor: float = 0.75, digits: int = 3) -> Column:
     """The mean times a factor, rounded half to even."""
     return F.bround(F.avg(value) * F.lit(factor), digits)

@@ -49,12 +49,12 @@ def cosine_to_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def derived_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _to_centroid(spark, sf_dir).groupBy("label").agg(quality.threshold(_to_centroid(spark, sf_dir), "similarity").alias("least"))
+    return _to_centroid(spark, sf_dir).groupBy("label").agg(quality.threshold("similarity").alias("least"))
 
 
 def speaker_verify_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _to_centroid(spark, sf_dir)
-    least = rows.groupBy("label").agg(quality.threshold(rows, "similarity").alias("least"))
+    least = rows.groupBy("label").agg(quality.threshold("similarity").alias("least"))
     return _rounded(rows.join(least, "label").where(~(F.col("similarity") < F.col("least"))).select("vec_id", "label", "similarity"), "similarity")
 
 
@@ -422,7 +422,7 @@ def wav_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spectral_centroid_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audio.spectral_centroids(_read(spark, sf_dir, "embeddings"), "vec_id", "embedding", 16_000, 32, 8)
+    return _rounded(audio.spectral_centroids(_read(spark, sf_dir, "embeddings"), "vec_id", "embedding", 16_000, 32, 8), "centroid")
 
 
 QUERIES = {
@@ -503,5 +503,9 @@ f AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY
     "survivor_semi": f"{_LADDER} SELECT doc_id, lang, source FROM documents WHERE doc_id IN (SELECT id FROM outcomes WHERE outcome = 'kept')",
     "synth_map_join": f"WITH clips AS (SELECT {_PAD} AS clip_id FROM documents), s AS ({_SPLIT}) SELECT clip_id, quality FROM s JOIN labels ON clip_id = {_PAD} WHERE split = 'eval'",
     "centroid_cross": "WITH x AS (SELECT unnest(range(len(embedding))) AS idx, unnest(embedding)::DOUBLE AS x FROM embeddings), m AS (SELECT idx, avg(x) AS x FROM x GROUP BY 1), c AS (SELECT list(x ORDER BY idx) AS c FROM m) SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[], c), 6) AS similarity FROM embeddings, c",
+    "spectral_centroid_mean": """WITH x AS (SELECT vec_id, len(embedding) AS n, unnest(range(len(embedding))) AS j, unnest(embedding)::DOUBLE AS x FROM embeddings),
+s AS (SELECT vec_id, x, j + 16 AS p, unnest(range(0, n + 1, 8)) AS f FROM x), i AS (SELECT vec_id, f, p - f AS k, x * (0.5 - 0.5 * cos(2 * pi() * (p - f) / 32)) AS y FROM s WHERE p - f BETWEEN 0 AND 31),
+b AS (SELECT vec_id, f, unnest(range(17)) AS q, k, y FROM i), m AS (SELECT vec_id, f, q, sqrt(sum(y * cos(2 * pi() * k * q / 32)) ** 2 + sum(y * sin(2 * pi() * k * q / 32)) ** 2) AS a FROM b GROUP BY 1, 2, 3),
+c AS (SELECT vec_id, f, CASE WHEN sum(a) > 0 THEN sum(a * q * 500) / sum(a) ELSE 0 END AS c FROM m GROUP BY 1, 2) SELECT vec_id, round(avg(c), 6) AS centroid FROM c GROUP BY 1""",
     "wav_roundtrip": "SELECT vec_id, 16000 AS rate, 1 AS channels, len(embedding) AS frames, len(embedding) / 16000.0::DOUBLE AS duration_s, round(list_max(list_transform(embedding::DOUBLE[], lambda x: abs(trunc(greatest(-1, least(1, x * 4)) * 32767) / 32768))), 6) AS peak FROM embeddings",
 }

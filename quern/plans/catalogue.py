@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.plans import analysis, curation
+from quern.plans import analysis, contracts, curation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-QUERIES: dict[str, Query] = {**curation.QUERIES, **analysis.QUERIES}
-ORACLES: dict[str, str] = {**curation.ORACLES, **analysis.ORACLES}
+QUERIES: dict[str, Query] = {**curation.QUERIES, **analysis.QUERIES, **contracts.QUERIES}
+ORACLES: dict[str, str] = {**curation.ORACLES, **analysis.ORACLES, **contracts.ORACLES}

@@ -180,7 +180,7 @@ SELECT doc_id, regexp_replace(t, '(?is)\\*\\*\\*\\s*END OF (THIS|THE) PROJECT GU
     "accept_reject_histogram": f"WITH {JUDGED} SELECT coalesce(reason, 'accepted') AS reason, count(*) AS n FROM judged GROUP BY 1",
     "dedupe_ci_first": f"WITH {CURATED} SELECT doc_id, pos, s FROM uniq",
     "corpus_funnel": f"WITH {CURATED} SELECT category, prosody, count(*) AS n FROM curated GROUP BY 1, 2",
-    "funnel_counts": f"WITH {CURATED} SELECT '1_raw' AS step, count(*) AS n FROM sentences UNION ALL SELECT '2_accepted', count(*) FROM accepted UNION ALL SELECT '3_unique', count(*) FROM uniq UNION ALL SELECT '4_candidates', count(*) FROM curated",
+    "funnel_counts": f"WITH {CURATED} SELECT '1_raw' AS step, count(*) AS n FROM sentences UNION ALL SELECT '2_accepted', count(*) FROM accepted UNION ALL SELECT '3_unique', count(*) FROM uniq UNION ALL SELECT '4_candidates', count(*) FROM curated UNION ALL SELECT '5_selected', least(count(*), 12000) FROM curated",
     "phoneme_tokens": f"WITH {TOKENS} SELECT doc_id, pos, array_to_string(tokens, ' ') AS tokens, array_to_string(bigrams, '|') AS bigrams, n_accent FROM phon",
     "bigram_counts": f"WITH {TOKENS} SELECT bigram, count(*) AS n FROM (SELECT unnest(bigrams) AS bigram FROM phon) GROUP BY 1",
     "coverage_summary": f"WITH {TOKENS}, b AS (SELECT bigram, count(*) AS n FROM (SELECT unnest(bigrams) AS bigram FROM phon) GROUP BY 1) SELECT count(*) AS distinct_bigrams, coalesce(sum(n), 0)::BIGINT AS total_bigrams, count(*) FILTER (n < 50) AS below_floor, count(*) FILTER (n < 20) AS below_rare_floor FROM b",

@@ -1,6 +1,6 @@
 """WAV bytes to samples and back, and the signal functions that need NumPy.
 
-These run in Arrow batches. A file that can't be parsed gives nulls, not a failed task.
+These run in Arrow batches. A file that can't be parsed gives nulls and the reason, not a failed task.
 """
 
 from __future__ import annotations
@@ -14,11 +14,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WAV_SCHEMA = "rate int, channels int, frames long, duration_s double, samples array<float>"
+WAV_SCHEMA = "rate int, channels int, frames long, duration_s double, samples array<float>, error string"
 
 
 def read_wav(raw: bytes | None) -> tuple:
-    """Rate, channels, frames, seconds, and samples as the mean over channels; nulls on failure."""
+    """Rate, channels, frames, seconds, samples as the mean over channels, and why it failed; all others are null then."""
     try:
         with wave.open(io.BytesIO(raw)) as w:
             rate, channels, frames, width = w.getframerate(), w.getnchannels(), w.getnframes(), w.getsampwidth()
@@ -30,18 +30,20 @@ def read_wav(raw: bytes | None) -> tuple:
             x = ((parts[:, 0] << 8 | parts[:, 1] << 16 | parts[:, 2] << 24) >> 8).astype(np.float32) / 2**23
         else:
             x = np.frombuffer(data, {2: "<i2", 4: "<i4"}[width]).astype(np.float32) / 2.0 ** (8 * width - 1)
-        return rate, channels, frames, frames / rate, x.reshape(-1, channels).mean(axis=1).tolist()
-    except Exception:
-        return None, None, None, None, None
+        return rate, channels, frames, frames / rate, x.reshape(-1, channels).mean(axis=1), None
+    except Exception as e:
+        return None, None, None, None, None, f"{type(e).__name__}: {e}"
 
 
-def scan_audio(files: DataFrame, key: str, content: str = "content") -> DataFrame:
-    """(key, rate, channels, frames, duration_s, samples) of WAV bytes."""
+def scan_audio(files: DataFrame, key: str, content: str = "content", target: int | None = None) -> DataFrame:
+    """(key, rate, channels, frames, duration_s, samples, error) of WAV bytes; the samples at the rate ``target``, if given."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = [(k, *read_wav(raw)) for k, raw in zip(frame[key], frame[content], strict=True)]
-            out = pd.DataFrame(rows, columns=[key, "rate", "channels", "frames", "duration_s", "samples"])
+            out = pd.DataFrame(rows, columns=[key, "rate", "channels", "frames", "duration_s", "samples", "error"])
+            if target:
+                out["samples"] = [None if x is None else resample(x, int(rate), target).astype(np.float32) for x, rate in zip(out["samples"], out["rate"], strict=True)]
             yield out.astype({"rate": "Int32", "channels": "Int32", "frames": "Int64"})
 
     return files.select(key, content).mapInPandas(run, f"{key} {files.schema[key].dataType.simpleString()}, {WAV_SCHEMA}")

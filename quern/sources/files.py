@@ -21,12 +21,25 @@ def scan_text_docs(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("path", F.replace(F.make_valid_utf8(F.col("content").cast("string")), F.lit("\ufffd"), F.lit("")).alias("text"))
 
 
+def _placed(spark: SparkSession, path: str) -> DataFrame:
+    """(value, path, block, at): lines with their file, the offset of the file's block that a task reads, and their order in the task."""
+    lines = spark.read.option("lineSep", "\n").text(path)
+    return lines.select(F.regexp_replace("value", "\r$", "").alias("value"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+
+
 def scan_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(id, line): trimmed non-blank lines, numbered from 0 in file order."""
-    whole = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("at", "raw"))
-    line = F.regexp_replace("raw", r"(?U)^\s+|\s+$", "")
-    kept = whole.select("at", line.alias("line")).where("line <> ''")
-    return kept.select((F.row_number().over(Window.orderBy("at")) - 1).cast("long").alias("id"), "line")
+    """(id, line): trimmed non-blank lines, numbered from 0 by file and place in it.
+
+    A large file is read block by block: lines are numbered within their block, and the counts of all
+    blocks, one row for each, tell where a block's numbers begin.
+    """
+    line = F.regexp_replace("value", r"(?U)^\s+|\s+$", "")
+    kept = _placed(spark, path).select(line.alias("line"), "path", "block", "at").where("line <> ''")
+    blocks = kept.groupBy("path", "block").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("path", "block").rowsBetween(Window.unboundedPreceding, -1))
+    starts = blocks.select("path", "block", F.coalesce(before, F.lit(0)).alias("start"))
+    own = F.row_number().over(Window.partitionBy("path", "block").orderBy("at")) - 1
+    return kept.withColumn("own", own).join(starts, ["path", "block"]).select((F.col("start") + F.col("own")).cast("long").alias("id"), "line")
 
 
 def scan_psv(spark: SparkSession, path: str, schema: str = RAW_SCHEMA, header: bool = True) -> DataFrame:
@@ -39,8 +52,7 @@ def sink_psv(df: DataFrame, path: str, header: bool = True) -> None:
 
 def scan_tsv_kv(spark: SparkSession, path: str) -> DataFrame:
     """(key, value): lines split at the first tab, the last line of a key wins; others are ignored."""
-    lines = spark.read.text(path, wholetext=True).select("_metadata.file_path", F.posexplode(F.split("value", "\r?\n")).alias("at", "line"))
-    return last_wins(lines.select(F.struct("file_path", "at").alias("at"), "line"))
+    return last_wins(_placed(spark, path).select(F.struct("path", "block", "at").alias("at"), F.col("value").alias("line")))
 
 
 def last_wins(lines: DataFrame) -> DataFrame:
@@ -80,6 +92,16 @@ def list_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).select("path", F.col("modificationTime").alias("modified"))
 
 
+def sink_vector(df: DataFrame, path: str) -> None:
+    """A table of one vector per name."""
+    df.coalesce(1).write.parquet(path)
+
+
+def scan_vector(spark: SparkSession, path: str, column: str = "centroid") -> DataFrame:
+    """The one vector that ``sink_vector`` wrote, as a one-row table to be joined to all rows."""
+    return spark.read.parquet(path).select(F.col(column).cast("array<double>").alias(column)).limit(1)
+
+
 def append_once(df: DataFrame, path: str) -> None:
     """Append rows to a progress table; ``read_once`` makes repeats harmless."""
     df.write.mode("append").parquet(path)

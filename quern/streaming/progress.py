@@ -17,26 +17,33 @@ def running_count(stream: DataFrame, by: str) -> DataFrame:
     return stream.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
 
 
-def stall_detector(stream: DataFrame, worker: str, ts: str, minutes: int = 60) -> DataFrame:
+def stall_detector(stream: DataFrame, worker: str, ts: str, minutes: int = 60, report_open: bool = False) -> DataFrame:
     """(worker, silent_from, silent_to): gaps of more than so many minutes in the order of arrival.
 
-    The state of a worker is its last time; times within a batch are sorted first.
+    The state of a worker is its last time; times within a batch are sorted first. With ``report_open``
+    a worker from which nothing has arrived for so many minutes of the clock is reported with a null ``silent_to``,
+    once until it comes back; such a stream never ends by itself, as it waits for the clock.
     """
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         times = sorted(t for f in frames for t in f[ts].astype("int64") // 1000)
         last = state.get[0] if state.exists else None
+        if state.hasTimedOut:
+            yield pd.DataFrame({worker: [key[0]], "silent_from": [pd.Timestamp(last, unit="us")], "silent_to": pd.Series([pd.NaT], dtype="datetime64[ns]")})
+            return
         found = []
         for t in times:
             if last is not None and t - last > minutes * 60_000_000:
                 found.append((key[0], pd.Timestamp(last, unit="us"), pd.Timestamp(t, unit="us")))
             last = t if last is None else max(last, t)
         state.update((last,))
+        if report_open:
+            state.setTimeoutDuration(minutes * 60_000)
         yield pd.DataFrame(found, columns=[worker, "silent_from", "silent_to"])
 
     kind = stream.schema[worker].dataType.simpleString()
     exact = stream.select(worker, F.col(ts).cast("timestamp").alias(ts))
-    return exact.groupBy(worker).applyInPandasWithState(run, f"{worker} {kind}, silent_from timestamp, silent_to timestamp", "last long", "append", GroupStateTimeout.NoTimeout)
+    return exact.groupBy(worker).applyInPandasWithState(run, f"{worker} {kind}, silent_from timestamp, silent_to timestamp", "last long", "append", GroupStateTimeout.ProcessingTimeTimeout if report_open else GroupStateTimeout.NoTimeout)
 
 
 def drain(result: DataFrame, mode: str, keys: list[str] | None = None) -> DataFrame:

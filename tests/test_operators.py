@@ -175,6 +175,10 @@ def test_text_files(spark, tmp_path):
     (tmp_path / "a.txt").write_bytes(b"on\xffe caf\xc3\xa9\n\n  two \n")
     assert [r.text for r in files.scan_text_docs(spark, str(tmp_path)).orderBy("path").collect()] == ["one café\n\n  two \n", "zwei\n"]
     assert [tuple(r) for r in files.scan_lines(spark, str(tmp_path / "b.txt")).collect()] == [(0, "zwei")]
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "a.txt").write_bytes(b"a0\r\n\n a1 \na2")
+    (tmp_path / "lines" / "b.txt").write_text("b0\n\nb1\n")
+    assert sorted(tuple(r) for r in files.scan_lines(spark, str(tmp_path / "lines")).collect()) == list(enumerate(["a0", "a1", "a2", "b0", "b1"]))
     (tmp_path / "c.tsv").write_text("k\tv\tmore\nno tab\nk\tlast\n")
     assert [tuple(r) for r in files.scan_tsv_kv(spark, str(tmp_path / "c.tsv")).collect()] == [("k", "last")]
     listed = files.list_files(spark, str(tmp_path), "*.txt")
@@ -224,7 +228,9 @@ def test_wav_files(spark):
     out = {r.id: r for r in audio.scan_audio(rows, "id").collect()}
     assert (out[1].rate, out[1].channels, out[1].frames, out[1].duration_s) == (8000, 2, 2, 2 / 8000)
     assert out[1].samples == pytest.approx([0.25, -1 / 65536], abs=1e-6)
-    assert out[2].rate is None and out[3].samples is None
+    assert out[2].rate is None and out[3].samples is None and out[2].error.startswith("EOFError") and out[3].error and out[1].error is None
+    half = {r.id: r for r in audio.scan_audio(rows, "id", target=4000).collect()}
+    assert len(half[4].samples) == 2 and half[2].samples is None and half[1].rate == 8000
     assert out[4].samples == pytest.approx([-1, 0, 127 / 128]) and out[5].samples == pytest.approx([0.5, -1 / 2**23])
 
 
@@ -253,3 +259,23 @@ def test_spectral_centroids_of_the_table(spark, sf_dir):
             mags = np.array([abs((w * np.exp(-2j * np.pi * f * k / 32)).sum()) for f in range(17)])
             want.append((mags * np.arange(17) * 500).sum() / mags.sum())
         assert r.centroid == pytest.approx(np.mean(want))
+
+
+def test_gaps_do_not_depend_on_the_zone(spark):
+    """Times without a zone across a change of the clock, in a zone that has it."""
+    rows = spark.sql("SELECT 'w' AS worker, t FROM VALUES (TIMESTAMP_NTZ '2024-03-10 01:30:00.25'), (TIMESTAMP_NTZ '2024-03-10 03:30:00.5') AS v(t)")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert progress.throughput(rows, "t", 10).first().seconds == 7200.25
+            assert progress.stalls(rows, "worker", "t", 90).count() == 1
+            now = spark.sql("SELECT TIMESTAMP_NTZ '2024-03-10 05:00:00' AS now")
+            assert progress.open_stalls(rows, "worker", "t", now, 80).count() == 1 and progress.open_stalls(rows, "worker", "t", now, 100).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_unknown_file_is_missing(spark):
+    clip = spark.sql("SELECT 1 AS id, CAST(NULL AS BOOLEAN) AS has_file, CAST(NULL AS STRING) AS load_error, 0.5 AS peak, 0.1 AS rms, 0 AS silences, 'ten chars!' AS sentence, 0.7 AS duration_s")
+    assert clip.select(quality.first_stage().alias("why")).first().why == "missing_file"
