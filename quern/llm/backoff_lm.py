@@ -6,7 +6,7 @@ words are summed; once with all counts, and once with the document's own occurre
 counts that score it, so that a document isn't judged by itself; copies elsewhere still count. (With
 all counts each sequence of the table is seen, so only the first two words of a document back off.)
 
-N-grams are 46-bit hashes and one bit more for each doubling of the buckets, so the share that collides stays alike.
+N-grams are hashes of 48 bits, and beyond 256 buckets of one bit more for each doubling, so the share that collides stays below one in a million.
 
 A word after its two predecessors scores count(three words) / count(first two); where that
 sequence is unseen, ``alpha`` times count(two words) / count(first); else ``alpha`` squared times

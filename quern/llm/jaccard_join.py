@@ -242,12 +242,14 @@ def keep_first(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_i
     Of rows that repeat both key and text one stays. Different texts of the least key are parts of one document
     and stay, as do all rows with a null key, which are in no class.
     """
-    names = ("_key", "_gone", "_several", "_nth")
+    names = ("_key", "_nth")
     moved, back = set_aside(docs, names)
     at, body = (names_after(docs, names)[c] for c in (key, text))
-    found = classes(docs, n, percent, key, text).groupBy(F.col(key).alias("_key")).agg((F.min("component_id") < F.col("_key")).alias("_gone"), (F.count(F.lit(1)) > 1).alias("_several"))
-    kept = moved.join(found.where("_gone OR _several"), F.col(at) == F.col("_key"), "left").where("NOT coalesce(_gone, false)")
-    again = F.coalesce("_several", F.lit(False))
+    found = classes(docs, n, percent, key, text).select(F.col(key).alias("_key"), "component_id")
+    gone = found.where("component_id < _key").select("_key").distinct()
+    several = found.where("component_id = _key").groupBy("_key").agg(F.count(F.lit(1)).alias("_nth")).where("_nth > 1").select("_key")
+    same = F.col(at) == F.col("_key")
+    kept = moved.join(gone, same, "left_anti")
     nth = F.row_number().over(Window.partitionBy(at, body).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in moved.columns])))
-    repeated = kept.where(again).withColumn("_nth", nth).where("_nth = 1").drop("_nth")
-    return back(kept.where(~again).unionByName(repeated))
+    repeated = kept.join(several, same, "left_semi").withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+    return back(kept.join(several, same, "left_anti").unionByName(repeated))

@@ -137,8 +137,8 @@ def shingles(words: np.ndarray, owners: np.ndarray, n: int) -> tuple[np.ndarray,
 
 
 def key_bits(n_buckets: int) -> int:
-    """Bits of a key with which, at any number of buckets of some million keys, about one in ten million meets another of the same value."""
-    return min(64, 46 + max(0, n_buckets - 1).bit_length())
+    """Bits of a key with which, at any number of buckets of a million keys, no more than one in a million meets another of the same value."""
+    return min(64, max(48, 40 + max(0, n_buckets - 1).bit_length()))
 
 
 def keys(hashes: np.ndarray, bits: int) -> np.ndarray:
