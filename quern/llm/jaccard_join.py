@@ -245,11 +245,9 @@ def keep_first(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_i
     names = ("_key", "_nth")
     moved, back = set_aside(docs, names)
     at, body = (names_after(docs, names)[c] for c in (key, text))
-    found = classes(docs, n, percent, key, text).select(F.col(key).alias("_key"), "component_id")
-    gone = found.where("component_id < _key").select("_key").distinct()
-    several = found.where("component_id = _key").groupBy("_key").agg(F.count(F.lit(1)).alias("_nth")).where("_nth > 1").select("_key")
-    same = F.col(at) == F.col("_key")
-    kept = moved.join(gone, same, "left_anti")
-    nth = F.row_number().over(Window.partitionBy(at, body).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in moved.columns])))
-    repeated = kept.join(several, same, "left_semi").withColumn("_nth", nth).where("_nth = 1").drop("_nth")
-    return back(kept.join(several, same, "left_anti").unionByName(repeated))
+    found = classes(docs, n, percent, key, text)
+    gone = found.where(F.col("component_id") < F.col(key)).select(F.col(key).alias("_key")).distinct()
+    # one exchange by key serves the join and the look at repeated rows, at any size; rows without a key need neither
+    kept = moved.where(F.col(at).isNotNull()).join(gone.hint("merge"), F.col(at) == F.col("_key"), "left_anti")
+    nth = F.row_number().over(Window.partitionBy(at, body).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in moved.columns if c != body])))
+    return back(kept.withColumn("_nth", nth).where("_nth = 1").drop("_nth").unionByName(moved.where(F.col(at).isNull())))
