@@ -179,13 +179,17 @@ def links(unique: DataFrame, families: DataFrame, percent: int, block_bytes: int
     sized = unique.select("key", F.octet_length("shared").alias("bytes"), _bands(F.col("size"), percent).alias("band"))
     blocks = families.join(sized, "key").groupBy("family").agg(F.ceil(F.sum("bytes") / block_bytes).cast("int").alias("blocks"), F.bool_or(F.col("band") == F.col("cell")).alias("needed"))
     # a family of upper documents alone is one in its own cell too
-    members = unique.join(families, "key").join(blocks.where("needed").drop("needed"), "family").withColumn("low", _bands(F.col("size"), percent) == F.col("cell"))
+    places = families.join(blocks.where("needed").drop("needed"), "family")  # ids only, before the sets are moved
+    members = unique.join(places, "key").withColumn("low", _bands(F.col("size"), percent) == F.col("cell"))
     own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = members.withColumn("own", own).withColumn("other", other).select("family", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "key", "size", "low", "copies", "leading", "shared")
+    # one column names the block: rows that lie together by family alone don't satisfy it, so a family's blocks spread over tasks
+    block = F.struct("family", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")).alias("block")
+    dealt = members.withColumn("own", own).withColumn("other", other).select(block, "own", "key", "size", "low", "copies", "leading", "shared")
 
     def multiply(table: pa.Table) -> pa.Table:
-        a, b = table.column("a")[0].as_py(), table.column("b")[0].as_py()
+        block = table.column("block")[0].as_py()
+        a, b = block["a"], block["b"]
         table = table.sort_by([("own", "ascending"), ("key", "ascending")])
         own, ids = table.column("own").to_numpy(), table.column("key").to_pylist()
         sizes, copies, low = (table.column(c).to_numpy() for c in ("size", "copies", "low"))
@@ -205,7 +209,7 @@ def links(unique: DataFrame, families: DataFrame, percent: int, block_bytes: int
         return pa.table({"u": pa.array(u + [ids[i] for i in counted], kind), "v": pa.array(v + [None] * len(counted), kind), "n": pa.array([0] * len(u) + degree[counted].astype(np.int64).tolist(), pa.int64())})
 
     kind = unique.schema["key"].dataType.simpleString()
-    return dealt.groupBy("family", "a", "b").applyInArrow(multiply, f"u {kind}, v {kind}, n long")
+    return dealt.groupBy("block").applyInArrow(multiply, f"u {kind}, v {kind}, n long")
 
 
 def classes(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -78,6 +78,23 @@ def test_near_copies_in_blocks(spark, block_bytes, monkeypatch):
     assert got == find_classes(docs, 4, 85)
 
 
+def test_blocks_of_one_family_spread_over_tasks(spark):
+    docs = spark.createDataFrame(list(enumerate(family(11, 60, 3))), "doc_id long, text string")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        signed = jaccard_join.signatures(docs, "doc_id", "text", 4, 85).where("fingerprint IS NOT NULL").withColumn("copies", F.lit(1).cast("long"))
+        families = components(jaccard_join._candidates(signed, 85))
+        found = jaccard_join.links(signed, families, 85, 9000)
+        tasks = found.groupBy(F.spark_partition_id()).count().count()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert tasks > 1
+
+
 def test_jaccard_threshold_is_exact(spark):
     """17 shared of 20 in all links at 85 percent, 16 of 20 don't."""
     a = " ".join(f"a{i}" for i in range(21))
