@@ -6,7 +6,9 @@ and flags or texts for what went wrong: has_file, load_error, asr_error.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.config import Quality
@@ -142,20 +144,51 @@ def silent_runs(frames: DataFrame, key: str, levels: str, samples: str, q: Quali
     return out.where(long & (F.col("start") >= edge) & (F.col("end") <= F.col(samples) - edge)).select(key, "start", "end")
 
 
+def at_ranks(rows: DataFrame, value: str, by: list[str], ranks: Callable[[Column], list[Column]]) -> DataFrame:
+    """(by, ranked): for each group the values at some ranks of its sorted values, counted from 0; nulls have none.
+
+    ranks: from a group's number of values to the ranks. Values fall into cells of about 0.1 %, in their order; cells are
+    counted before the shuffle, and only those that hold a wanted rank are looked into, value by value. No task holds a
+    group, unless nearly all of its values lie within one cell; even then it sorts distinct values and can spill.
+    NaN is the greatest value.
+    """
+    v = F.col("_v").cast("double")
+    cell = F.when(F.isnan(v), F.lit(2**62)).otherwise(F.floor(F.signum(v) * F.log1p(F.abs(v)) * 1024))
+    keyed = rows.where(F.col(value).isNotNull()).select(F.struct(*(by or [F.lit(0)])).alias("_g"), F.col(value).alias("_v")).withColumn("_cell", cell)
+    cells = keyed.groupBy("_g", "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy("_g").orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = cells.withColumn("_before", F.sum("_n").over(upto) - F.col("_n")).withColumn("_all", F.sum("_n").over(Window.partitionBy("_g")))
+    wanted = placed.select("_g", "_cell", "_before", "_n", F.posexplode(F.array(*[r.cast("long") for r in ranks(F.col("_all"))])).alias("_at", "_rank"))
+    wanted = wanted.where("_rank >= _before AND _rank < _before + _n").select("_g", "_cell", "_at", (F.col("_rank") - F.col("_before")).alias("_rank"))
+    inside = keyed.join(wanted.select("_g", "_cell").distinct(), ["_g", "_cell"], "left_semi").groupBy("_g", "_cell", "_v").agg(F.count(F.lit(1)).alias("_m"))
+    within = Window.partitionBy("_g", "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = inside.withColumn("_end", F.sum("_m").over(within))
+    found = inside.join(wanted, ["_g", "_cell"]).where("_rank >= _end - _m AND _rank < _end")
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("_at", "_v"))), lambda x: x["_v"])
+    return found.groupBy("_g").agg(listed.alias("ranked")).select(*[F.col(f"_g.{c}") for c in by], "ranked")
+
+
 def consistency(rows: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
-    """Mean, population deviation, extremes and exact percentiles."""
-    p = lambda x: F.percentile(value, F.lit(x))
-    return rows.groupBy(*(by or [])).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("sd"), F.min(value).alias("least"), F.max(value).alias("most"), p(0.1).alias("p10"), p(0.5).alias("p50"), p(0.9).alias("p90"))
+    """Mean, population deviation, extremes and exact percentiles, interpolated between the two nearest ranks."""
+    by, points = by or [], (0.1, 0.5, 0.9)
+    stats = rows.groupBy(*by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("sd"), F.min(value).alias("least"), F.max(value).alias("most"))
+    ranked = at_ranks(rows, value, by, lambda n: [f((n - 1) * F.lit(p)) for p in points for f in (F.floor, F.ceil)])
+    ranked = ranked.select(*[F.col(c).alias(f"_{c}") for c in by], "ranked")
+    same = F.lit(True)
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
 
+    def point(i: int) -> Column:
+        place = (F.col("n") - 1) * F.lit(points[i])
+        low, high = (F.get("ranked", F.lit(2 * i + j)).cast("double") for j in (0, 1))
+        return F.when(low == high, low).otherwise((F.ceil(place) - place) * low + (place - F.floor(place)) * high)
 
-def upper_median(rows: DataFrame, value: str, by: str) -> DataFrame:
-    """The element at floor(n / 2) of the sorted values: for even n the upper of the middle two.
+    return stats.join(ranked, same, "left").select(*by, "n", "mean", "sd", "least", "most", *[point(i).alias(f"p{int(100 * p)}") for i, p in enumerate(points)])
 
-    A discrete percentile gives it without gathering a group's values in one array.
-    """
-    n = rows.where(F.col(value).isNotNull()).groupBy(by).agg(F.count(value).alias("n"), F.percentile(value, F.lit(0.5)).alias("mid"))
-    above = rows.join(n, by).where(F.col(value) >= F.col("mid")).groupBy(by).agg(F.min(value).alias("upper_median"))
-    return above
+
+def upper_median(rows: DataFrame, value: str, by: str) -> DataFrame:
+    """The element at floor(n / 2) of the sorted values: for even n the upper of the middle two."""
+    return at_ranks(rows, value, [by], lambda n: [F.floor(n / 2)]).select(by, F.get("ranked", F.lit(0)).alias("upper_median"))
 
 
 def threshold(value: str, factor: float = 0.75, digits: int = 3) -> Column:

@@ -1,6 +1,7 @@
 """Operators on small tables: boundaries, ties, nulls, idempotence, invariants."""
 
 import math
+import random
 
 import numpy as np
 import pytest
@@ -279,3 +280,30 @@ def test_gaps_do_not_depend_on_the_zone(spark):
 def test_unknown_file_is_missing(spark):
     clip = spark.sql("SELECT 1 AS id, CAST(NULL AS BOOLEAN) AS has_file, CAST(NULL AS STRING) AS load_error, 0.5 AS peak, 0.1 AS rms, 0 AS silences, 'ten chars!' AS sentence, 0.7 AS duration_s")
     assert clip.select(quality.first_stage().alias("why")).first().why == "missing_file"
+
+
+def test_percentiles_by_rank(spark):
+    rng = random.Random(4)
+    inf, nan = float("inf"), float("nan")
+    groups = {
+        "even": [rng.gauss(0, 50) for _ in range(400)],
+        "odd": [float(rng.randrange(-5, 5)) for _ in range(301)],
+        "close": [1e6 + i / 1e6 for i in range(99)],
+        "ends": [-inf, -1.0, 0.0, 2.5, inf],
+        "nan": [nan, 3.0, 1.0, 2.0],
+        "one": [7.0],
+        None: [4.0, 5.0],
+    }
+    rows = [(g, v) for g, values in groups.items() for v in values] + [("even", None), ("none", None)]
+    df = spark.createDataFrame(random.Random(1).sample(rows, len(rows)), "g string, v double")
+    native = {r.g: (r.a, r.b, r.c) for r in df.groupBy("g").agg(*[F.percentile("v", F.lit(p)).alias(a) for p, a in ((0.1, "a"), (0.5, "b"), (0.9, "c"))]).collect()}
+    got = {r.g: (r.p10, r.p50, r.p90) for r in quality.consistency(df, "v", ["g"]).collect()}
+    assert repr_near(got) == repr_near(native) and got["none"] == (None, None, None)
+    upper = {r.g: r.upper_median for r in quality.upper_median(df, "v", "g").collect()}
+    assert upper == {g: sorted(values, key=lambda x: (x != x, x))[len(values) // 2] for g, values in groups.items()}
+    assert quality.consistency(df.limit(0), "v").collect()[0].p50 is None
+    assert quality.consistency(df.where("g = 'odd'"), "v").collect()[0].p50 == native["odd"][1]
+
+
+def repr_near(found):
+    return {g: tuple(None if x is None else f"{x:.9g}" for x in xs) for g, xs in found.items()}
