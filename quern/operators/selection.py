@@ -20,32 +20,35 @@ def greedy(pdf: pd.DataFrame, size: int, seed: int, c: Curation) -> list[int]:
     """
     order = pdf.sort_values(["doc_id", "pos"]).index.to_numpy()
     code = {b: i for i, b in enumerate(sorted({b for row in pdf["bigrams"] for b in row}))}
-    grams = [np.array([code[b] for b in row], np.int64) for row in pdf["bigrams"]]
-    accents, cats, pros = (pdf[k].to_numpy() for k in ("n_accent", "category", "prosody"))
-    covered = np.zeros(max(1, len(code)))
-    in_cat, in_pro, picked = {}, {}, []
-    left, rng = order.copy(), np.random.default_rng(seed)
+    lengths = np.array([len(row) for row in pdf["bigrams"]], np.int64)
+    # a row of codes per candidate, filled up with a code that is worth nothing
+    grams = np.full((len(pdf), max(1, lengths.max(initial=0))), len(code), np.int32)
+    for i, row in enumerate(pdf["bigrams"]):
+        grams[i, : len(row)] = [code[b] for b in row]
+    worth = np.append(np.ones(len(code)), 0.0)
+    covered = np.zeros(len(code) + 1, np.int64)
+    accents = pdf["n_accent"].to_numpy(np.float64)
+    over = []  # for each kind of class: class of every row, its target, its number of picks
+    for column, target in (("category", c.length_target), ("prosody", c.prosody_target)):
+        classes, names = pd.factorize(pdf[column], use_na_sentinel=False)
+        over.append((classes, np.array([target.get(x, 0) for x in names], np.float64), np.zeros(len(names))))
+    left, rng, picked = order.copy(), np.random.default_rng(seed), []
     n = len(left)
     while n and len(picked) < size:
         at = rng.choice(n, min(c.sample_size, n), replace=False)
-        whole = len(picked) or 1
-        best, best_at = -np.inf, at[0]
-        for k in at:
-            i = left[k]
-            if len(grams[i]):
-                value = (1 / (1 + covered[grams[i]])).sum() + c.accent_weight * accents[i]
-                value -= c.balance_weight * max(0.0, in_cat.get(cats[i], 0) / whole - c.length_target.get(cats[i], 0))
-                value -= c.balance_weight * max(0.0, in_pro.get(pros[i], 0) / whole - c.prosody_target.get(pros[i], 0))
-            else:
-                value = -1e9
-            if value > best:
-                best, best_at = value, k
-        i = left[best_at]
+        rows, whole = left[at], len(picked) or 1
+        value = worth[grams[rows]].sum(axis=1) + c.accent_weight * accents[rows]
+        for classes, target, mine in over:
+            value -= c.balance_weight * np.maximum(0.0, mine / whole - target)[classes[rows]]
+        best = at[np.argmax(np.where(lengths[rows] > 0, value, -1e9))]
+        i = left[best]
         picked.append(int(i))
-        left[best_at], n = left[n - 1], n - 1
-        np.add.at(covered, grams[i], 1)
-        in_cat[cats[i]] = in_cat.get(cats[i], 0) + 1
-        in_pro[pros[i]] = in_pro.get(pros[i], 0) + 1
+        left[best], n = left[n - 1], n - 1
+        own = grams[i, : lengths[i]]
+        np.add.at(covered, own, 1)
+        worth[own] = 1 / (1 + covered[own])
+        for classes, _, mine in over:
+            mine[classes[i]] += 1
     return picked
 
 

@@ -155,6 +155,11 @@ def greedy_select_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.greedy_distributed(_phonemised(spark, sf_dir), 500, groups=8).select("doc_id", "pos", "category", "prosody", "n_accent")
 
 
+def greedy_select_12000(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Picks for a whole corpus: as many as the target, or all candidates if there are fewer."""
+    return selection.greedy_distributed(_phonemised(spark, sf_dir), Curation().target_size, groups=8).select("doc_id", "pos", "category", "prosody", "n_accent")
+
+
 _TARGETS = " UNION ALL ".join(f"SELECT '{k}' AS class, {v}::DOUBLE AS target, '{c}' AS col" for c, ts in (("category", Curation().length_target), ("prosody", Curation().prosody_target)) for k, v in ts.items())
 _QUOTA = " ".join(f"WHEN category = '{k}' AND prosody = '{p}' THEN {-int(-round(a * b * 2000, 6) // 1)}" for k, a in Curation().length_target.items() for p, b in Curation().prosody_target.items())
 
@@ -162,7 +167,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         strip_boilerplate, sentence_split, normalize_text, normalize_wer, text_counts, sentence_labels, accept_sentence, accept_reject_histogram, dedupe_ci_first, corpus_funnel, funnel_counts,
-        phoneme_tokens, bigram_counts, coverage_summary, marker_counts, bucket_share_vs_target, cache_lookup_upsert, stratified_topk, greedy_select, greedy_select_distributed,
+        phoneme_tokens, bigram_counts, coverage_summary, marker_counts, bucket_share_vs_target, cache_lookup_upsert, stratified_topk, greedy_select, greedy_select_distributed, greedy_select_12000,
     )
 }
 

@@ -2,8 +2,10 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,6 +123,31 @@ def test_greedy_invariants(spark, sf_dir):
     assert selection.greedy_exact(rows.limit(5), 60).count() == 5
 
 
+def test_greedy_against_brute_force():
+    """Each pick is the best of the step's sample, scored term by term."""
+    rng, c = np.random.default_rng(5), Curation(sample_size=9)
+    rows = [(i // 3, i % 3, ["short", "med", "long", None][i % 4], ["declarative", "complex"][i % 2], int(rng.integers(0, 3)), [f"b{k}" for k in rng.integers(0, 12, rng.integers(0, 6))]) for i in range(80)]
+    pdf = pd.DataFrame(rows, columns=["doc_id", "pos", "category", "prosody", "n_accent", "bigrams"])
+
+    def score(i, picked):
+        covered = Counter(b for j in picked for b in rows[j][5])
+        value = sum(1 / (1 + covered[b]) for b in rows[i][5]) + c.accent_weight * rows[i][4]
+        for column, target in ((2, c.length_target), (3, c.prosody_target)):
+            share = sum(rows[j][column] == rows[i][column] for j in picked) / (len(picked) or 1)
+            value -= c.balance_weight * max(0.0, share - target.get(rows[i][column], 0))
+        return value if rows[i][5] else -1e9
+
+    left, picked, draw = list(range(80)), [], np.random.default_rng(2)
+    while left and len(picked) < 60:
+        at = draw.choice(len(left), min(9, len(left)), replace=False)
+        best = max(at, key=lambda k: (round(score(left[k], picked), 9), -list(at).index(k)))
+        picked.append(left[best])
+        left[best] = left[-1]
+        left.pop()
+    assert selection.greedy(pdf, 60, 2, c) == picked
+    assert selection.greedy(pdf.iloc[:0], 5, 2, c) == []
+
+
 def test_cache_is_idempotent(spark):
     rows = spark.createDataFrame([("a",), ("b",), ("c",)], "sentence string")
     cache = spark.createDataFrame([("a", "A"), ("b", "")], "sentence string, phonemes string")
