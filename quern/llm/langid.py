@@ -29,6 +29,8 @@ PROFILE_SIZE = 400
 #: Upper bound, in expectation, of labelled rows per language that a profile is learned from.
 TRAIN_ROWS_PER_LANGUAGE = 4000
 UNDETERMINED = "und"
+#: Characters whose n-grams are counted at once.
+_PIECE = 1 << 20
 _SHIFT = 21  # bits of a code point; three of them fill one 64-bit key
 
 
@@ -38,23 +40,38 @@ def _letters() -> np.ndarray:
 
 
 def ngram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of the letter n-grams of a text; both empty if it has no letter."""
-    none = np.empty(0, np.int64), np.empty(0, np.int64)
-    if not text:
-        return none
-    code = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    letter = _letters()[code]
-    if not letter.any():
-        return none
-    # every run of other characters becomes one blank, and the text ends with blanks
-    keep = letter.copy()
-    keep[1:] |= letter[:-1]
-    c = np.where(letter, code, 32)[keep].astype(np.int64)
-    c = np.concatenate(([32], c, [32])) if c[0] != 32 else np.concatenate((c, [32]))
-    one = c[c != 32]
-    two = (c[:-1] << _SHIFT | c[1:])[(c[:-1] != 32) | (c[1:] != 32)]
-    three = (c[:-2] << 2 * _SHIFT | c[1:-1] << _SHIFT | c[2:])[c[1:-1] != 32]
-    return np.unique(np.concatenate((one, two, three)), return_counts=True)
+    """Keys and counts of the letter n-grams of a text; both empty if it has no letter.
+
+    Counted piece by piece, so that a very long text takes little more memory than itself.
+    """
+    keys = counts = np.empty(0, np.int64)
+    tail, inside = np.array([32], np.int64), False  # what n-grams of the next piece may begin with; whether a letter came last
+    lowered = (text or "").lower()
+    for at in range(0, len(lowered), _PIECE):
+        code = np.frombuffer(lowered[at : at + _PIECE].encode("utf-32-le", "surrogatepass"), np.uint32)
+        letter = _letters()[code]
+        # every run of other characters becomes one blank, and the text ends with blanks
+        keep = letter.copy()
+        keep[1:] |= letter[:-1]
+        keep[0] |= inside
+        inside = letter[-1]
+        c = np.where(letter, code, 32)[keep].astype(np.int64)
+        if at + _PIECE >= len(lowered):
+            c = np.append(c, 32)
+        c = np.concatenate((tail, c))
+        new = len(c) - len(tail)
+        one, pair, triple = c[len(tail) :], c[-new - 1 :], c[-new - 2 :]
+        one = one[one != 32]
+        two = (pair[:-1] << _SHIFT | pair[1:])[(pair[:-1] != 32) | (pair[1:] != 32)]
+        three = (triple[:-2] << 2 * _SHIFT | triple[1:-1] << _SHIFT | triple[2:])[triple[1:-1] != 32]
+        tail = c[-2:]
+        found = np.unique(np.concatenate((one, two, three)), return_counts=True)
+        if not len(keys):
+            keys, counts = found
+        elif len(found[0]):
+            keys, place = np.unique(np.concatenate((keys, found[0])), return_inverse=True)
+            counts = np.bincount(place, np.concatenate((counts, found[1]))).astype(np.int64)
+    return keys, counts
 
 
 def top_ngrams(keys: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:

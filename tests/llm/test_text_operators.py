@@ -54,6 +54,18 @@ def test_language_doesnt_learn_from_held_out_rows(spark, sf_dir):
     assert a == {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(spoiled).collect()}
 
 
+def test_ngrams_of_a_text_in_pieces(monkeypatch):
+    """Counts don't depend on where a text is cut."""
+    rng = np.random.default_rng(3)
+    for k in range(200):
+        text = "".join(rng.choice(list("abÉß\n ,1☃"), rng.integers(0, 40))) + "Σ" * (k % 2)
+        monkeypatch.setattr(langid, "_PIECE", 1 << 20)
+        whole = langid.ngram_counts(text)
+        for size in (1, 2, 3, 7):
+            monkeypatch.setattr(langid, "_PIECE", size)
+            assert [x.tolist() for x in langid.ngram_counts(text)] == [x.tolist() for x in whole]
+
+
 def test_language_brute_force(spark, sf_dir):
     """Profiles and distances by plain dictionaries."""
     rows = table(spark, sf_dir, "documents").collect()
