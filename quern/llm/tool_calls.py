@@ -17,9 +17,11 @@ with a string ``tool_call_id`` is a result. All others are plain messages. An ar
   whatever follows those. Rows sort by level, then calls before results, then turn.
 * ``errors``: what the arguments break in the tool's schema, sorted; for an unknown tool
   ``unknown tool``, for arguments that aren't an object ``not an object``. Of JSON Schema these rules
-  are known, for the arguments themselves and not for what is nested in them: ``type`` (one name),
-  ``minimum``, ``maximum``, ``maxLength``, ``enum``, ``required`` and ``additionalProperties``. Others
-  are ignored without an error.
+  are known, for the arguments themselves and not for what is nested in them: ``type`` (a name or
+  several), ``minimum``, ``maximum``, ``exclusiveMinimum``, ``exclusiveMaximum``, ``minLength``,
+  ``maxLength``, ``minItems``, ``maxItems``, ``enum``, ``required`` and ``additionalProperties`` (true
+  or false). Any other rule, nested ones included, gives ``unsupported rule NAME`` for each argument
+  that it is meant for, so nothing passes unchecked; an argument's first broken rule is given alone.
 * ``canonical``: JSON with sorted keys and no blanks.
 
 Joins are by conversation and id; no group is gathered into one row or task. Levels are found in
@@ -37,7 +39,13 @@ from pyspark.sql import functions as F
 
 from quern.session import materialize, release
 
-SCHEMA = "STRUCT<properties: MAP<STRING, STRUCT<type: STRING, minimum: DOUBLE, maximum: DOUBLE, maxLength: BIGINT, enum: ARRAY<STRING>>>, required: ARRAY<STRING>, additionalProperties: BOOLEAN>"
+RULES = "STRUCT<type: STRING, minimum: DOUBLE, maximum: DOUBLE, exclusiveMinimum: DOUBLE, exclusiveMaximum: DOUBLE, minLength: BIGINT, maxLength: BIGINT, minItems: BIGINT, maxItems: BIGINT, enum: ARRAY<STRING>>"
+SCHEMA = f"STRUCT<properties: MAP<STRING, {RULES}>, required: ARRAY<STRING>, additionalProperties: BOOLEAN>"
+#: The same text with all its names, to find rules that aren't known.
+NAMES = "STRUCT<properties: MAP<STRING, MAP<STRING, STRING>>>"
+KNOWN = ("type", "minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "minLength", "maxLength", "minItems", "maxItems", "enum")
+#: Names that describe and don't restrict.
+REMARKS = ("title", "description", "default", "examples", "deprecated", "readOnly", "writeOnly", "$comment", "$schema", "$id")
 _LAST = 2**62
 
 
@@ -95,43 +103,56 @@ def plain_messages(messages: DataFrame) -> DataFrame:
 
 def validate(calls: DataFrame, tools: DataFrame) -> DataFrame:
     """``calls`` with ``errors``. tools: name, schema (JSON Schema of an object, as text)."""
-    known = tools.groupBy("name").agg(F.min("schema").alias("schema")).select(F.col("name").alias("tool"), F.from_json("schema", SCHEMA).alias("schema"))
+    none = F.array().cast("array<string>")
+    one = tools.groupBy("name").agg(F.min("schema").alias("text"))
+    names = F.from_json("text", NAMES)["properties"]
+    foreign = lambda found, *known: F.array_sort(F.array_except(F.coalesce(F.map_keys(found), none), F.array(*[F.lit(k) for k in (*known, *REMARKS)])))
+    top = foreign(F.from_json("text", "MAP<STRING, STRING>"), "type", "properties", "required", "additionalProperties")
+    schema = F.from_json("text", SCHEMA)
+    loose = F.when(schema["additionalProperties"].isNull() & F.get_json_object("text", "$.additionalProperties").isNotNull(), F.array(F.lit("additionalProperties"))).otherwise(none)
+    known = one.select(
+        F.col("name").alias("tool"),
+        schema.alias("schema"),
+        F.transform(F.concat(top, loose), lambda r: F.concat(F.lit("unsupported rule "), r)).alias("unchecked"),
+        F.transform_values(F.coalesce(names, F.create_map().cast("map<string,map<string,string>>")), lambda _, rules: foreign(rules, *KNOWN)).alias("foreign"),
+    )
     kind = F.schema_of_variant("args")
     given = F.when(kind.startswith("OBJECT"), F.try_variant_get("args", "$", "map<string,variant>"))
-    properties = F.coalesce(F.col("schema.properties"), F.create_map().cast("map<string,struct<type:string,minimum:double,maximum:double,maxLength:bigint,enum:array<string>>>"))
-    missing = F.transform(F.array_except(F.coalesce("schema.required", F.array().cast("array<string>")), F.map_keys("given")), lambda p: F.concat(p, F.lit(": missing")))
+    properties = F.coalesce(F.col("schema.properties"), F.create_map().cast(f"map<string,{RULES}>"))
+    missing = F.transform(F.array_except(F.coalesce("schema.required", none), F.map_keys("given")), lambda p: F.concat(p, F.lit(": missing")))
 
     def broken(entry: Column) -> Column:
-        """The first rule that an argument breaks, or null."""
-        value, rule = entry["value"], F.element_at(properties, entry["key"])
+        """The first rule that an argument breaks, or that isn't known, or null."""
+        value, rule, unknown = entry["value"], F.element_at(properties, entry["key"]), F.element_at("foreign", entry["key"])
         t = F.schema_of_variant(value)
         number = F.try_variant_get(value, "$", "double")
         text = F.try_variant_get(value, "$", "string")
+        items = F.size(F.try_variant_get(value, "$", "array<variant>"))
         whole = (t == "BIGINT") | t.rlike(r"^DECIMAL\(\d+,0\)$")
         numeric = whole | t.startswith("DECIMAL") | (t == "DOUBLE") | (t == "FLOAT")
-        fits = (
-            F.when(rule["type"] == "integer", whole)
-            .when(rule["type"] == "number", numeric)
-            .when(rule["type"] == "string", t == "STRING")
-            .when(rule["type"] == "boolean", t == "BOOLEAN")
-            .when(rule["type"] == "array", t.startswith("ARRAY"))
-            .when(rule["type"] == "object", t.startswith("OBJECT"))
-            .when(rule["type"] == "null", t == "VOID")
-            .otherwise(True)
-        )
+        kinds = F.when(rule["type"].startswith("["), F.from_json(rule["type"], "array<string>")).otherwise(F.array(rule["type"]))
+        tests = {"integer": whole, "number": numeric, "string": t == "STRING", "boolean": t == "BOOLEAN", "array": t.startswith("ARRAY"), "object": t.startswith("OBJECT"), "null": t == "VOID"}
+        fits = F.lit(False)
+        for name, test in tests.items():
+            fits |= F.array_contains(kinds, name) & test
+        fits = rule["type"].isNull() | F.coalesce(fits, F.lit(False)) | ~F.arrays_overlap(kinds, F.array(*[F.lit(name) for name in tests]))
         say = lambda what: F.concat(entry["key"], F.lit(f": {what}"))
         return (
             F.when(rule.isNull() & (F.col("schema.additionalProperties") == False), say("unexpected"))  # noqa: E712
             .when(~fits, say("wrong type"))
-            .when(numeric & (number < rule["minimum"]), say("too small"))
-            .when(numeric & (number > rule["maximum"]), say("too large"))
+            .when(numeric & ((number < rule["minimum"]) | (number <= rule["exclusiveMinimum"])), say("too small"))
+            .when(numeric & ((number > rule["maximum"]) | (number >= rule["exclusiveMaximum"])), say("too large"))
+            .when((t == "STRING") & (F.length(text) < rule["minLength"]), say("too short"))
             .when((t == "STRING") & (F.length(text) > rule["maxLength"]), say("too long"))
+            .when(t.startswith("ARRAY") & (items < rule["minItems"]), say("too few"))
+            .when(t.startswith("ARRAY") & (items > rule["maxItems"]), say("too many"))
             .when((F.size(rule["enum"]) > 0) & ~F.array_contains(rule["enum"], F.coalesce(text, F.lit(""))), say("not allowed"))
+            .when(F.size(unknown) > 0, F.concat(say("unsupported rule "), F.array_join(unknown, ", ")))
         )
 
-    checked = F.array_sort(F.concat(missing, F.filter(F.transform(F.map_entries("given"), broken), lambda x: x.isNotNull())))
+    checked = F.array_sort(F.concat(missing, "unchecked", F.filter(F.transform(F.map_entries("given"), broken), lambda x: x.isNotNull())))
     errors = F.when(F.col("tool").isNull(), F.array(F.lit("unknown tool"))).when(F.col("given").isNull(), F.array(F.lit("not an object"))).otherwise(checked)
-    return calls.join(known, calls["name"] == known["tool"], "left").withColumn("given", given).withColumn("errors", errors).drop("tool", "schema", "given")
+    return calls.join(known, calls["name"] == known["tool"], "left").withColumn("given", given).withColumn("errors", errors).drop("tool", "schema", "unchecked", "foreign", "given")
 
 
 def levels(calls: DataFrame, answered: DataFrame) -> DataFrame:
