@@ -146,6 +146,11 @@ def archive_records(raw: bytes) -> Iterator[bytes]:
         yield b"".join(parts)
 
 
+def arrow_uri(folder: str) -> str:
+    """A folder's name as Arrow's file systems know it: Hadoop's ``s3a`` and ``s3n`` are their ``s3``, a bare path is a local file's."""
+    return "file://" + folder if folder.startswith("/") else re.sub("^s3[an]://", "s3://", folder)
+
+
 def write_archives(pages: DataFrame, folder: str, revisit_from: int = 0, archive_size: int = ARCHIVE_BYTES) -> DataFrame:
     """Write all pages as archives under ``folder``; one row per archive with its path and number of records.
 
@@ -160,7 +165,7 @@ def write_archives(pages: DataFrame, folder: str, revisit_from: int = 0, archive
     rows = marked.select("page_id", "url", "payload", F.when(F.col("page_id") < F.col("keeper"), F.col("keeper")).alias("refers_to"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = pyarrow.fs.FileSystem.from_uri(folder)
+        store, root = pyarrow.fs.FileSystem.from_uri(arrow_uri(folder))
         task = TaskContext.get()
         store.create_dir(root, recursive=True)
         records: list[bytes] = []
@@ -199,7 +204,7 @@ def read_archives(archives: DataFrame, folder: str, with_payload: bool = True) -
         return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], kind) for n, kind in fields.items()], names=list(fields))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, _ = pyarrow.fs.FileSystem.from_uri(folder)
+        store, _ = pyarrow.fs.FileSystem.from_uri(arrow_uri(folder))
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 with store.open_input_stream(path, compression=None) as source:
@@ -219,6 +224,4 @@ def read_archives(archives: DataFrame, folder: str, with_payload: bool = True) -
 def round_trip(spark: SparkSession, pages: DataFrame, revisit_from: int = 0) -> DataFrame:
     """Archive all pages in the shared folder and read the archives back, without the payloads."""
     folder = shared_path(spark, "warc")
-    if folder.startswith("/"):
-        folder = f"file://{folder}"
     return read_archives(write_archives(pages, folder, revisit_from), folder, with_payload=False)

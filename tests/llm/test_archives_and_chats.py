@@ -126,6 +126,40 @@ def test_validation(spark):
     assert found[99] == ["unknown tool"]
 
 
+def test_rules_of_all_kinds(spark):
+    """Several types, bounds of every kind, and rules that aren't known, which never pass in silence."""
+    schema = {
+        "$schema": "x", "type": "object", "additionalProperties": {"type": "string"},
+        "properties": {
+            "t": {"type": ["string", "null"], "description": "either"}, "e": {"exclusiveMinimum": 0, "exclusiveMaximum": 5}, "s": {"type": "string", "minLength": 2}, "l": {"type": "array", "minItems": 1, "maxItems": 2},
+            "p": {"type": "string", "pattern": "^a"}, "n": {"type": "object", "properties": {"q": {"type": "integer"}}, "required": ["q"]}, "i": {"type": "array", "items": {"type": "integer"}}, "any": {},
+        },
+    }
+    top = "unsupported rule additionalProperties"
+    cases = {
+        '{"t": "a", "e": 3, "s": "ab", "l": [1], "any": {"q": 1}}': [], '{"t": null}': [], '{"t": 1}': ["t: wrong type"], '{"e": 0}': ["e: too small"], '{"e": 5}': ["e: too large"], '{"s": "a"}': ["s: too short"],
+        '{"l": []}': ["l: too few"], '{"l": [1, 2, 3]}': ["l: too many"], '{"p": "b"}': ["p: unsupported rule pattern"], '{"p": 1}': ["p: wrong type"],
+        '{"n": {"q": "x"}}': ["n: unsupported rule properties, required"], '{"i": ["x"]}': ["i: unsupported rule items"],
+    }
+    rows = [(i, 0, "assistant", json.dumps({"tool_calls": [call("a", text, "many")]})) for i, text in enumerate(cases)]
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    tools = spark.createDataFrame([("many", json.dumps(schema))], "name string, schema string")
+    found = {r.conv_id: r.errors for r in tool_calls.link(messages, tools).collect()}
+    assert [found[i] for i in range(len(cases))] == [sorted([*errors, top]) for errors in cases.values()]
+
+
+def test_no_tools_and_no_messages(spark):
+    tools = spark.createDataFrame(TOOLS, "name string, schema string")
+    empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert tool_calls.link(empty, tools).count() == 0
+    rows = spark.createDataFrame([(1, 0, "assistant", json.dumps({"tool_calls": [call("a", {"x": 1})]}))], empty.schema)
+    assert [r.errors for r in tool_calls.link(rows, tools.limit(0)).collect()] == [["unknown tool"]]
+
+
+def test_names_of_stores():
+    assert [warc.arrow_uri(x) for x in ("s3a://b/c", "s3n://b", "s3://b", "hdfs://h/p", "/tmp/x", "file:///tmp/x")] == ["s3://b/c", "s3://b", "s3://b", "hdfs://h/p", "file:///tmp/x", "file:///tmp/x"]
+
+
 def test_chat_odd_cases(spark):
     rows = [
         (1, 0, "system", "hi"), (1, 1, "assistant", json.dumps({"tool_calls": [call("a", {"y": 1, "x": {"q": 1, "b": [1, {"z": 1, "a": None}]}}), call("a", {"x": 2}), call(None, {"x": 3})]})),
