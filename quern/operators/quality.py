@@ -127,21 +127,24 @@ def skipped(outcomes: DataFrame, corpus: DataFrame, files: DataFrame) -> DataFra
     return drops.join(found, "id", "left_anti").agg(F.count(F.lit(1)).alias("n_skipped"))
 
 
-def silent_runs(frames: DataFrame, key: str, levels: str, samples: str, q: Quality = Quality()) -> DataFrame:
-    """(key, start, end) in samples of inner silences: runs of quiet frames that are long enough and not at the edges.
+def inner_silences(level: Column, samples: Column, q: Quality = Quality()) -> Column:
+    """Start and end in samples of inner silences: runs of quiet frames that are long enough and not at the edges.
 
     Runs are islands within one clip's frames, found in the array itself: no row per frame is shuffled.
     """
-    level = F.col(levels)
     quiet = F.transform(level, lambda x: F.coalesce(x < q.silence_db, F.lit(False)))
     n = F.size(level)
     starts = F.filter(F.transform(quiet, lambda x, i: F.when(x & ((i == 0) | ~F.get(quiet, i - 1)), i)), lambda i: i.isNotNull())
     ends = F.filter(F.transform(quiet, lambda x, i: F.when(x & ((i == n - 1) | ~F.get(quiet, i + 1)), i + 1)), lambda i: i.isNotNull())
-    runs = F.arrays_zip(starts.alias("s"), ends.alias("e"))
+    runs = F.zip_with(starts, ends, lambda s, e: F.struct((s * q.hop).alias("start"), (e * q.hop).alias("end")))
     edge = int(q.edge_s * q.sample_rate)
-    out = frames.select(key, samples, F.explode(runs).alias("r")).select(key, samples, (F.col("r.s") * q.hop).alias("start"), (F.col("r.e") * q.hop).alias("end"))
-    long = (F.col("end") - F.col("start")) * 1000 / F.lit(float(q.sample_rate)) >= q.silence_ms
-    return out.where(long & (F.col("start") >= edge) & (F.col("end") <= F.col(samples) - edge)).select(key, "start", "end")
+    long = lambda r: (r["end"] - r["start"]) * 1000 / F.lit(float(q.sample_rate)) >= q.silence_ms
+    return F.filter(runs, lambda r: long(r) & (r["start"] >= edge) & (r["end"] <= samples - edge))
+
+
+def silent_runs(frames: DataFrame, key: str, levels: str, samples: str, q: Quality = Quality()) -> DataFrame:
+    """(key, start, end): a row for each of ``inner_silences``."""
+    return frames.select(key, F.explode(inner_silences(F.col(levels), F.col(samples), q)).alias("r")).select(key, "r.start", "r.end")
 
 
 def at_ranks(rows: DataFrame, value: str, by: list[str], ranks: Callable[[Column], list[Column]]) -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.functions import text
-from quern.operators import evaluation, models, progress, quality
+from quern.functions import numeric, text
+from quern.operators import evaluation, flow, models, progress, quality
 from quern.plans.analysis import _LADDER, _PAD, _lines, _outcomes, _read, _rounded
 from quern.plans.curation import CURATED
 from quern.session import shared_path
@@ -135,11 +135,36 @@ def resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(found.select("vec_id", F.posexplode("samples").alias("idx", "x")), "x")
 
 
+_CLIPS = quality.Quality(sample_rate=100, axes=("duration_s", "rms", "f0_mean"), sigmas=1.5)
+
+
+def _transcriber():
+    def model(samples) -> str:
+        if samples[0] > 0.8:
+            raise ValueError("too loud")
+        return "go go go" if samples[1] > 0 else "go go go go"
+
+    return model
+
+
+def qa_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as WAV files, some missing or broken, through all filters with stand-ins for the models."""
+    wav = audio.to_wav(numeric.to_pcm16(F.transform("embedding", lambda x: x.cast("double") * 4)), _CLIPS.sample_rate)
+    content = F.when(F.col("vec_id") % 17 == 2, F.lit(b"bad")).when(F.col("vec_id") % 13 != 1, wav)
+    sentence = F.rtrim(F.repeat(F.lit("go "), (F.col("vec_id") % 6 + 2).cast("int")))
+    clips = _read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), sentence.alias("sentence"), content.alias("content"))
+    centroids = spark.sql("SELECT array(1e0, 1e0, 1e0) AS ecapa, array(1e0, -1e0) AS wavlm")
+    thresholds = spark.sql("SELECT -0.5e0 AS ecapa_min, -0.9e0 AS wavlm_min")
+    found = flow.figures(clips, centroids, thresholds, _transcriber, lambda: lambda x: x[2:5], lambda: lambda x: x[5:7], lambda: lambda x: x * 100, _CLIPS)
+    outcomes = quality.ladder(found, thresholds, _CLIPS)
+    return _rounded(outcomes.select("id", "outcome", "axis", "transcript", "rms", "wer", "ecapa", "wavlm", "f0_mean"), "rms", "wer", "ecapa", "wavlm", "f0_mean")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         scan_text_docs, scan_lines_roundtrip, scan_psv_header, list_checkpoints, sink_markdown_report, scan_vector, drop_records, sort_multi, open_stalls, retry_backoff,
-        g2p_contract, asr_contract, speaker_contract, tts_contract, resample,
+        g2p_contract, asr_contract, speaker_contract, tts_contract, resample, qa_flow,
     )
 }
 
@@ -172,4 +197,16 @@ SELECT id, outcome AS filter, CASE outcome WHEN 'load_error' THEN load_error WHE
 k AS (SELECT vec_id, x, j, unnest(range(n // 2))::INT AS idx FROM e),
 w AS (SELECT vec_id, idx, x * 0.5 * (CASE WHEN {_AT} = 0 THEN 1 ELSE sin(pi() * 0.5 * {_AT}) / (pi() * 0.5 * {_AT}) END) * (0.5 + 0.5 * cos(pi() * greatest(-1, least(1, {_AT} / 64)))) AS y FROM k)
 SELECT vec_id, idx, round(sum(y), 6) AS x FROM w GROUP BY 1, 2""",
+    "qa_flow": """WITH c AS (SELECT vec_id AS id, vec_id % 6 + 2 AS k, list_transform(embedding::DOUBLE[], lambda x: trunc(greatest(-1, least(1, x * 4)) * 32767) / 32768) AS x FROM embeddings),
+f AS (SELECT id, k, CASE WHEN id % 17 = 2 OR id % 13 = 1 THEN NULL ELSE x END AS x FROM c),
+g AS (SELECT *, len(x) / 100e0 AS duration_s, sqrt(list_sum(list_transform(x, lambda v: v * v)) / len(x)) AS rms, list_max(list_transform(x, lambda v: abs(v))) AS peak FROM f),
+s1 AS (SELECT *, CASE WHEN id % 17 = 2 THEN 'load_error' WHEN x IS NULL THEN 'missing_file' WHEN duration_s / (3 * k - 1) < 0.04 OR duration_s / (3 * k - 1) > 0.12 THEN 'duration_ratio' WHEN peak >= 0.999 THEN 'clipping' WHEN rms < 0.005 THEN 'rms_low' END AS o1 FROM g),
+h AS (SELECT *, CASE WHEN o1 IS NULL AND NOT x[1] > 0.8 THEN CASE WHEN x[2] > 0 THEN 3 ELSE 4 END END AS heard FROM s1),
+s2 AS (SELECT *, abs(k - heard) / k::DOUBLE AS wer, CASE WHEN o1 IS NOT NULL THEN o1 WHEN heard IS NULL THEN 'whisper_error' WHEN abs(k - heard) / k::DOUBLE > 0.08 THEN 'wer' END AS o2 FROM h),
+v AS (SELECT *, CASE WHEN o2 IS NULL THEN list_cosine_similarity(x[3:5], [1, 1, 1]::DOUBLE[]) END AS ecapa, CASE WHEN o2 IS NULL THEN list_cosine_similarity(x[6:7], [1, -1]::DOUBLE[]) END AS wavlm FROM s2),
+s3 AS (SELECT *, CASE WHEN o2 IS NOT NULL THEN o2 WHEN ecapa < -0.5 OR wavlm < -0.9 THEN 'speaker_verify' END AS o3 FROM v),
+p AS (SELECT *, CASE WHEN o3 IS NULL THEN coalesce(list_avg(list_filter(list_transform(x, lambda v: v * 100), lambda v: v > 0)), 0) END AS f0_mean FROM s3),
+st AS (SELECT avg(duration_s) AS m1, stddev_pop(duration_s) AS d1, avg(rms) AS m2, stddev_pop(rms) AS d2, avg(f0_mean) AS m3, stddev_pop(f0_mean) AS d3 FROM p WHERE o3 IS NULL),
+a AS (SELECT p.*, CASE WHEN o3 IS NOT NULL THEN NULL WHEN d1 > 0 AND abs(duration_s - m1) > 1.5 * d1 THEN 'duration_s' WHEN d2 > 0 AND abs(rms - m2) > 1.5 * d2 THEN 'rms' WHEN d3 > 0 AND abs(f0_mean - m3) > 1.5 * d3 THEN 'f0_mean' END AS axis FROM p, st)
+SELECT id, coalesce(o3, CASE WHEN axis IS NULL THEN 'kept' ELSE 'outlier' END) AS outcome, axis, rtrim(repeat('go ', heard)) AS transcript, round(rms, 6) AS rms, round(wer, 6) AS wer, round(ecapa, 6) AS ecapa, round(wavlm, 6) AS wavlm, round(f0_mean, 6) AS f0_mean FROM a""",
 }

@@ -35,8 +35,8 @@ def read_wav(raw: bytes | None) -> tuple:
         return None, None, None, None, None, f"{type(e).__name__}: {e}"
 
 
-def scan_audio(files: DataFrame, key: str, content: str = "content", target: int | None = None) -> DataFrame:
-    """(key, rate, channels, frames, duration_s, samples, error) of WAV bytes; the samples at the rate ``target``, if given."""
+def scan_audio(files: DataFrame, key: str, content: str = "content", target: int | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(key, rate, channels, frames, duration_s, samples, error) of WAV bytes; the samples at the rate ``target``, if given; ``keep``: other columns to hand on."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -44,9 +44,12 @@ def scan_audio(files: DataFrame, key: str, content: str = "content", target: int
             out = pd.DataFrame(rows, columns=[key, "rate", "channels", "frames", "duration_s", "samples", "error"])
             if target:
                 out["samples"] = [None if x is None else resample(x, int(rate), target).astype(np.float32) for x, rate in zip(out["samples"], out["rate"], strict=True)]
+            for name in keep:
+                out[name] = frame[name].to_numpy()
             yield out.astype({"rate": "Int32", "channels": "Int32", "frames": "Int64"})
 
-    return files.select(key, content).mapInPandas(run, f"{key} {files.schema[key].dataType.simpleString()}, {WAV_SCHEMA}")
+    kind = lambda name: f"{name} {files.schema[name].dataType.simpleString()}"
+    return files.select(key, *keep, content).mapInPandas(run, ", ".join([kind(key), WAV_SCHEMA, *map(kind, keep)]))
 
 
 def to_wav(pcm: Column, rate: int) -> Column:

@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from quern.config import Curation, Progress, Quality
-from quern.operators import curation, evaluation, models, progress, quality, selection
+from quern.functions import numeric
+from quern.operators import curation, evaluation, flow, models, progress, quality, selection
 from quern.plans.curation import _phonemised
 from quern.session import shared_path
 from quern.sources import audio, files
@@ -148,6 +149,47 @@ def test_greedy_against_brute_force():
     assert selection.greedy(pdf.iloc[:0], 5, 2, c) == []
 
 
+def test_quality_flow_of_wav_files(spark):
+    """Each filter of the flow on clips made for it; models see only what passes the filters before."""
+    rate = 16_000
+    t = np.arange(2 * rate) / rate
+    tone = 0.3 * np.sin(2 * np.pi * 200 * t)
+    hole = np.concatenate([tone, np.zeros(rate), tone])
+    clips = {
+        "good": (tone, "x" * 25, rate), "good48": (0.3 * np.sin(2 * np.pi * 200 * np.arange(2 * 48_000) / 48_000), "x" * 25, 48_000), "short": (tone, "x" * 100, rate), "loud": (np.sign(tone), "x" * 25, rate),
+        "quiet": (tone / 100, "x" * 25, rate), "hole": (hole, "x" * 50, rate), "deaf": (tone, "deaf" + "x" * 21, rate), "wrong": (tone * 0.5, "y" * 25, rate), "other": (tone * 0.9, "x" * 25, rate),
+    }
+    rows = []
+    for name, (x, sentence, own) in clips.items():
+        pcm = spark.createDataFrame([(x.tolist(),)], "x array<double>").select(audio.to_wav(numeric.to_pcm16(F.col("x")), own).alias("w")).first().w
+        rows.append((name, sentence, bytes(pcm)))
+    rows += [("none", "x" * 25, None), ("bad", "x" * 25, b"RIFF"), ("empty", None, b"")]
+    files_ = spark.createDataFrame(rows, "id string, sentence string, content binary")
+
+    def transcriber():
+        def model(x):
+            if not 1000 < len(x) < 33_000:
+                raise AssertionError("a clip that an earlier filter drops")
+            return "x" * 25
+
+        return model
+
+    one = spark.createDataFrame([([1.0, 0.0], [1.0, 0.0])], "ecapa array<double>, wavlm array<double>")
+    least = spark.createDataFrame([(0.9, 0.9)], "ecapa_min double, wavlm_min double")
+    encoder = lambda: lambda x: [1.0, 5.0 if 0.26 < np.abs(x).max() < 0.28 else 0.0]
+    found = flow.figures(files_, one, least, transcriber, encoder, encoder, lambda: lambda x: 1 / 0)
+    out = {r.id: r for r in quality.ladder(found, least).collect()}
+    want = {"good": "kept", "good48": "kept", "short": "duration_ratio", "loud": "clipping", "quiet": "rms_low", "hole": "internal_silence", "deaf": "wer", "wrong": "wer", "other": "speaker_verify", "none": "missing_file", "bad": "load_error", "empty": "load_error"}
+    assert {k: r.outcome for k, r in out.items()} == want
+    assert out["good48"].duration_s == pytest.approx(2) and out["good"].f0_mean == 0 and out["good"].centroid > 0 and out["hole"].silences == 1
+    assert out["other"].centroid is None and out["wrong"].ecapa is None and out["hole"].transcript is None
+    made = {r.id: bytes(r.wav) for r in flow.output_clips(quality.ladder(found, least), files_).collect()}
+    assert set(made) == {"good", "good48"}
+    for raw in made.values():
+        parsed = audio.read_wav(raw)
+        assert parsed[0] == 22_050 and parsed[3] == pytest.approx(2, abs=1e-3) and np.abs(parsed[4]).max() == pytest.approx(0.3, abs=0.02)
+
+
 def test_cache_is_idempotent(spark):
     rows = spark.createDataFrame([("a",), ("b",), ("c",)], "sentence string")
     cache = spark.createDataFrame([("a", "A"), ("b", "")], "sentence string, phonemes string")
