@@ -140,7 +140,7 @@ _CLIPS = quality.Quality(sample_rate=100, axes=("duration_s", "rms", "f0_mean"),
 
 def _transcriber():
     def model(samples) -> str:
-        if samples[0] > 0.8:
+        if samples[0] > 0.3:
             raise ValueError("too loud")
         return "go go go" if samples[1] > 0 else "go go go go"
 
@@ -149,7 +149,7 @@ def _transcriber():
 
 def qa_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings as WAV files, some missing or broken, through all filters with stand-ins for the models."""
-    wav = audio.to_wav(numeric.to_pcm16(F.transform("embedding", lambda x: x.cast("double") * 4)), _CLIPS.sample_rate)
+    wav = audio.to_wav(numeric.to_pcm16(F.transform("embedding", lambda x: x.cast("double") * 2)), _CLIPS.sample_rate)
     content = F.when(F.col("vec_id") % 17 == 2, F.lit(b"bad")).when(F.col("vec_id") % 13 != 1, wav)
     sentence = F.rtrim(F.repeat(F.lit("go "), (F.col("vec_id") % 6 + 2).cast("int")))
     clips = _read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), sentence.alias("sentence"), content.alias("content"))
@@ -197,11 +197,11 @@ SELECT id, outcome AS filter, CASE outcome WHEN 'load_error' THEN load_error WHE
 k AS (SELECT vec_id, x, j, unnest(range(n // 2))::INT AS idx FROM e),
 w AS (SELECT vec_id, idx, x * 0.5 * (CASE WHEN {_AT} = 0 THEN 1 ELSE sin(pi() * 0.5 * {_AT}) / (pi() * 0.5 * {_AT}) END) * (0.5 + 0.5 * cos(pi() * greatest(-1, least(1, {_AT} / 64)))) AS y FROM k)
 SELECT vec_id, idx, round(sum(y), 6) AS x FROM w GROUP BY 1, 2""",
-    "qa_flow": """WITH c AS (SELECT vec_id AS id, vec_id % 6 + 2 AS k, list_transform(embedding::DOUBLE[], lambda x: trunc(greatest(-1, least(1, x * 4)) * 32767) / 32768) AS x FROM embeddings),
+    "qa_flow": """WITH c AS (SELECT vec_id AS id, vec_id % 6 + 2 AS k, list_transform(embedding::DOUBLE[], lambda x: trunc(greatest(-1, least(1, x * 2)) * 32767) / 32768) AS x FROM embeddings),
 f AS (SELECT id, k, CASE WHEN id % 17 = 2 OR id % 13 = 1 THEN NULL ELSE x END AS x FROM c),
 g AS (SELECT *, len(x) / 100e0 AS duration_s, sqrt(list_sum(list_transform(x, lambda v: v * v)) / len(x)) AS rms, list_max(list_transform(x, lambda v: abs(v))) AS peak FROM f),
 s1 AS (SELECT *, CASE WHEN id % 17 = 2 THEN 'load_error' WHEN x IS NULL THEN 'missing_file' WHEN duration_s / (3 * k - 1) < 0.04 OR duration_s / (3 * k - 1) > 0.12 THEN 'duration_ratio' WHEN peak >= 0.999 THEN 'clipping' WHEN rms < 0.005 THEN 'rms_low' END AS o1 FROM g),
-h AS (SELECT *, CASE WHEN o1 IS NULL AND NOT x[1] > 0.8 THEN CASE WHEN x[2] > 0 THEN 3 ELSE 4 END END AS heard FROM s1),
+h AS (SELECT *, CASE WHEN o1 IS NULL AND NOT x[1] > 0.3 THEN CASE WHEN x[2] > 0 THEN 3 ELSE 4 END END AS heard FROM s1),
 s2 AS (SELECT *, abs(k - heard) / k::DOUBLE AS wer, CASE WHEN o1 IS NOT NULL THEN o1 WHEN heard IS NULL THEN 'whisper_error' WHEN abs(k - heard) / k::DOUBLE > 0.08 THEN 'wer' END AS o2 FROM h),
 v AS (SELECT *, CASE WHEN o2 IS NULL THEN list_cosine_similarity(x[3:5], [1, 1, 1]::DOUBLE[]) END AS ecapa, CASE WHEN o2 IS NULL THEN list_cosine_similarity(x[6:7], [1, -1]::DOUBLE[]) END AS wavlm FROM s2),
 s3 AS (SELECT *, CASE WHEN o2 IS NOT NULL THEN o2 WHEN ecapa < -0.5 OR wavlm < -0.9 THEN 'speaker_verify' END AS o3 FROM v),
