@@ -147,17 +147,21 @@ def stratified_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return picked.select("doc_id", "pos", "category", "prosody", "score", "rank")
 
 
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curation.curated(_docs(spark, sf_dir)).drop("n_words")
+
+
 def greedy_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return selection.greedy_exact(_phonemised(spark, sf_dir), 500).select("doc_id", "pos", "category", "prosody", "n_accent")
+    return selection.greedy_exact(_candidates(spark, sf_dir), 500, derive=curation.phonemised).select("doc_id", "pos", "category", "prosody", "n_accent")
 
 
 def greedy_select_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return selection.greedy_distributed(_phonemised(spark, sf_dir), 500, groups=8).select("doc_id", "pos", "category", "prosody", "n_accent")
+    return selection.greedy_distributed(_candidates(spark, sf_dir), 500, groups=8, derive=curation.phonemised).select("doc_id", "pos", "category", "prosody", "n_accent")
 
 
 def greedy_select_12000(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Picks for a whole corpus: as many as the target, or all candidates if there are fewer."""
-    return selection.greedy_distributed(_phonemised(spark, sf_dir), Curation().target_size, groups=8).select("doc_id", "pos", "category", "prosody", "n_accent")
+    return selection.greedy_distributed(_candidates(spark, sf_dir), Curation().target_size, groups=8, derive=curation.phonemised).select("doc_id", "pos", "category", "prosody", "n_accent")
 
 
 _TARGETS = " UNION ALL ".join(f"SELECT '{k}' AS class, {v}::DOUBLE AS target, '{c}' AS col" for c, ts in (("category", Curation().length_target), ("prosody", Curation().prosody_target)) for k, v in ts.items())

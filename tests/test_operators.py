@@ -124,6 +124,30 @@ def test_greedy_invariants(spark, sf_dir):
     assert selection.greedy_exact(rows.limit(5), 60).count() == 5
 
 
+def test_greedy_moves_only_rows_that_steps_look_at(spark, sf_dir):
+    """The task that picks gets the sampled rows alone, and picks as if it had all."""
+    c, size = Curation(sample_size=8), 12
+    rows = _phonemised(spark, sf_dir).cache()
+    out = selection.greedy_exact(rows, size, seed=4, c=c)
+    found = [(r.doc_id, r.pos) for r in out.collect()]
+    pdf = rows.orderBy("doc_id", "pos").toPandas()
+    assert found == [(pdf.doc_id[i], pdf.pos[i]) for i in selection.greedy(pdf, size, 4, c)]
+    node = out._jdf.queryExecution().executedPlan().executedPlan()
+    while not node.metrics().contains("shuffleRecordsWritten"):
+        node = node.plan() if "QueryStage" in node.nodeName() else node.children().head()
+    assert node.metrics().get("shuffleRecordsWritten").get().value() <= size * 9 < len(pdf)
+
+
+def test_greedy_null_and_repeated_ids(spark):
+    """Rows that repeat id and position are candidates each for itself, those without an id too."""
+    rows = spark.createDataFrame([(None if i % 40 == 0 else i // 60, i % 5, "short", "complex", i % 3, [f"b{i % 7}", f"b{i % 11}"]) for i in range(600)], selection.FIELDS)
+    whole = Counter((*r[:5], tuple(r.bigrams)) for r in rows.collect())
+    for size in (5, 30, 700):
+        for out in (selection.greedy_exact(rows, size, c=Curation(sample_size=3)), selection.greedy_distributed(rows, size, groups=3)):
+            picked = Counter((*r[:5], tuple(r.bigrams)) for r in out.collect())
+            assert picked.total() == min(size, 600) and picked <= whole
+
+
 def test_greedy_against_brute_force():
     """Each pick is the best of the step's sample, scored term by term."""
     rng, c = np.random.default_rng(5), Curation(sample_size=9)
