@@ -61,9 +61,21 @@ MOST_GAP = 60
 GAP_COST = 0.05
 #: Words around a chain that an alignment may extend to.
 MARGIN = 100
+#: Of a part of a bucket: its first row, words, their rows, where rows start, places and keys of seeds, the seed of each window.
+Part = tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 _WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 
 
+def _least(h: np.ndarray) -> np.ndarray:
+    """The place of the least, the first of equal ones, of each ``WINDOW`` consecutive values."""
+    value, at, width = h, np.arange(len(h)), 1
+    while width < WINDOW:
+        step = min(width, WINDOW - width)
+        later = value[step:] < value[:-step]
+        value, at, width = np.where(later, value[step:], value[:-step]), np.where(later, at[step:], at[:-step]), width + step
+    return at
+
+
 def seeds(words: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places (in ``words``) of the sampled k-word sequences, and their keys."""
     return _sampled(words, owners)[:2]
@@ -80,7 +92,7 @@ def _sampled(words: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndar
         h = wordhash.mix(h * np.uint64(0xD6E8FEB86659FD93) + words[k : k + n])
     inside = owners[:n] == owners[K - 1 :]
     if n >= WINDOW:
-        least = np.lib.stride_tricks.sliding_window_view(h, WINDOW).argmin(axis=1) + np.arange(n - WINDOW + 1)
+        least = _least(h)
         whole = inside[: n - WINDOW + 1] & (owners[: n - WINDOW + 1] == owners[WINDOW + K - 2 :])
         chosen = np.zeros(n, bool)
         chosen[least[whole]] = True
@@ -135,17 +147,10 @@ def _asked_seeds(table: pa.Table, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return _first_in_bucket(table, found)
 
 
-def _chained(table: pa.Table, answers: pa.Table, bits: int) -> pa.Table:
-    """From a bucket and the first holders of its seeds to the chains of each document with each of those."""
-    known, ids = _ids(table)
-    parts = []
-    for base, words, owners, start in _hashed(table):
-        at, key = seeds(words, owners)
-        parts.append((base, owners, start, at, wordhash.keys(key, bits)))
-    distinct = np.unique(np.concatenate([key[known[owners[at] + base]] for base, owners, _, at, key in parts])) if parts else np.empty(0, np.uint64)
-    first = exchange.received(answers, len(distinct))
+def _chained(parts: list[Part], known: np.ndarray, ids: np.ndarray, distinct: np.ndarray, first: np.ndarray) -> list[tuple]:
+    """From a bucket and the first holders of its distinct seeds to the chains of each document with each of those."""
     rows: list[tuple] = []
-    for base, owners, start, at, key in parts if len(distinct) else ():
+    for base, _, owners, start, at, key, _ in parts if len(distinct) else ():
         row = owners[at]
         # a seed of rows without id only was not asked for
         where = np.minimum(np.searchsorted(distinct, key), len(distinct) - 1)
@@ -161,7 +166,7 @@ def _chained(table: pa.Table, answers: pa.Table, bits: int) -> pa.Table:
             for one in chain(place[a:b].tolist(), other[a:b].tolist()):
                 if len(one) >= LEAST_SEEDS:
                     rows.append((int(ids[row[a] + base]), int(bucket[a]), int(source[a]), np.stack((place[a:b][one], other[a:b][one]), axis=1).astype(np.int32).tobytes()))
-    return _chain_rows(table, rows, False)
+    return rows
 
 
 def _chain_rows(table: pa.Table, rows: list[tuple], exact: bool) -> pa.Table:
@@ -191,51 +196,70 @@ def _windows_of(words: np.ndarray, owners: np.ndarray, size: int) -> np.ndarray:
     return np.flatnonzero(owners[:n] == owners[size - 1 :]) if n > 0 else np.empty(0, np.int64)
 
 
+def _sampled_parts(table: pa.Table, bits: int) -> list[Part]:
+    """``_hashed``, with each part's seeds, their keys, and the seed of each window."""
+    parts = []
+    for base, words, owners, start in _hashed(table):
+        at, key, of_window = _sampled(words, owners)
+        parts.append((base, words, owners, start, at, wordhash.keys(key, bits), of_window))
+    return parts
+
+
+def _distinct_seeds(parts: list[Part], known: np.ndarray) -> np.ndarray:
+    return np.unique(np.concatenate([key[known[owners[at] + base]] for base, _, owners, _, at, key, _ in parts])) if parts else np.empty(0, np.uint64)
+
+
+def _held_windows(parts: list[Part], known: np.ndarray, distinct: np.ndarray, first: np.ndarray, size: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Part by part the windows that others may hold too, those without a seed of its own: places and keys.
+
+    That depends on a window's words alone, so windows that are equal are all here or none.
+    """
+    several = first[1] & 1 if len(distinct) else np.zeros(1, np.int64)
+    found = []
+    for base, words, owners, _, at, key, of_window in parts:
+        alone = np.zeros(len(words) + 1, bool)
+        alone[at[several[np.minimum(np.searchsorted(distinct, key), len(several) - 1)] == 0]] = True
+        places = _windows_of(words, owners, size)
+        inner = size - (K + WINDOW - 1) + 1
+        if inner > 0 and len(places):
+            bad = np.concatenate(([0], np.cumsum(alone[of_window])))  # -1 is the last, never alone
+            places = places[bad[places + inner] == bad[places]]
+        places = places[known[owners[places] + base]]
+        found.append((places, _window_keys(words, size, places)))
+    return found
+
+
 def _asked_windows(size: int, bits: int) -> Callable[[pa.Table, pa.Table], tuple[np.ndarray, np.ndarray]]:
-    """From a bucket and the first holders of its seeds to the windows that others may hold too: those without a seed of its own."""
+    """From a bucket and the first holders of its seeds to the windows that others may hold too."""
 
     def run(table: pa.Table, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         known, ids = _ids(table)
-        hashed = []
-        for base, words, owners, start in _hashed(table):
-            at, key, of_window = _sampled(words, owners)
-            hashed.append((base, words, owners, start, at, wordhash.keys(key, bits), of_window))
-        distinct = np.unique(np.concatenate([key[known[owners[at] + base]] for base, _, owners, _, at, key, _ in hashed])) if hashed else np.empty(0, np.uint64)
-        several = exchange.received(answers, len(distinct))[1] & 1 if len(distinct) else np.zeros(1, np.int64)
-        found = []
-        for base, words, owners, start, at, key, of_window in hashed:
-            alone = np.zeros(len(words) + 1, bool)
-            alone[at[several[np.minimum(np.searchsorted(distinct, key), len(several) - 1)] == 0]] = True
-            places = _windows_of(words, owners, size)
-            inner = size - (K + WINDOW - 1) + 1
-            if inner > 0 and len(places):
-                bad = np.concatenate(([0], np.cumsum(alone[of_window])))  # -1 is the last, never alone
-                places = places[bad[places + inner] == bad[places]]
-            places = places[known[owners[places] + base]]
-            found.append((_window_keys(words, size, places), ids[owners[places] + base], places - start[owners[places]]))
-        return _first_in_bucket(table, found)
+        parts = _sampled_parts(table, bits)
+        distinct = _distinct_seeds(parts, known)
+        windows = _held_windows(parts, known, distinct, exchange.received(answers, len(distinct)), size)
+        return _first_in_bucket(table, [(key, ids[owners[at] + base], at - start[owners[at]]) for (base, _, owners, start, *_), (at, key) in zip(parts, windows, strict=True)])
 
     return run
 
 
-def _exact(size: int, bits: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """From a bucket and the first holders of its seeds and windows to chains that cover every window which an earlier document holds."""
-    windows = _asked_windows(size, bits)
+def _chains(size: int, bits: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """From a bucket and the first holders of its seeds and windows to its chains: those of seeds, and those that cover every window which an earlier document holds."""
 
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
-        keys = windows(table, answers.filter(answers.column("seeds")))[0]
+        known, ids = _ids(table)
+        parts = _sampled_parts(table, bits)
+        distinct = _distinct_seeds(parts, known)
+        first = exchange.received(answers.filter(answers.column("seeds")), len(distinct))
+        fuzzy = _chained(parts, known, ids, distinct, first)
+        windows = _held_windows(parts, known, distinct, first, size)
+        keys = np.unique(np.concatenate([key for _, key in windows])) if windows else np.empty(0, np.uint64)
         found: list[tuple] = []
         if len(keys):
             first = exchange.received(answers.filter(pc.invert(answers.column("seeds"))), len(keys))
-            keys, first = keys[first[1] & 1 > 0], first[:, first[1] & 1 > 0]
-        if len(keys):
-            known, ids = _ids(table)
-            for base, words, owners, start in _hashed(table):
-                at = _windows_of(words, owners, size)
-                key = _window_keys(words, size, at)
-                where = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            for (base, _, owners, start, *_), (at, key) in zip(parts, windows, strict=True):
+                where = np.searchsorted(keys, key)
                 doc = ids[owners[at] + base]
-                hit = (keys[where] == key) & known[owners[at] + base] & (first[0][where] < doc)
+                hit = (first[1][where] & 1 > 0) & (first[0][where] < doc)
                 at, doc, (source, flagged, bucket) = at[hit], doc[hit], first[:, where[hit]]
                 place = flagged >> 1
                 row = owners[at]
@@ -252,7 +276,8 @@ def _exact(size: int, bits: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
                             taken.pop()
                         taken.append(x)
                     found += taken
-        return _chain_rows(table, [(doc, bucket, source, np.array([(a, p), (b - K, p + b - a - K)], np.int32).tobytes()) for _, a, b, doc, source, p, bucket in found], True)
+        exact = [(doc, bucket, source, np.array([(a, p), (b - K, p + b - a - K)], np.int32).tobytes()) for _, a, b, doc, source, p, bucket in found]
+        return pa.concat_tables([_chain_rows(table, fuzzy, False), _chain_rows(table, exact, True)])
 
     return run
 
@@ -362,7 +387,7 @@ def _edit_distance(a: list[int], b: list[int]) -> int:
     return row[-1]
 
 
-def _extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
+def _extend(a: list[int], b: list[int]) -> tuple[int, int, int]:
     """How far two sequences agree from their starts: lengths on both sides and equal words there.
 
     An edit costs two equal words; the extension ends where the best sum was reached. Words may be
@@ -378,7 +403,7 @@ def _extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
             continue
         for di, dj in ((1, 1), (1, 0), (0, 1), (2, 0), (0, 2), (2, 2), (3, 0), (0, 3)):
             x, y = a[i + di : i + di + 2], b[j + dj : j + dj + 2]
-            if len(x) and len(x) == len(y) and (x == y).all():
+            if x and x == y:
                 break
         else:
             di = dj = 1
@@ -402,8 +427,8 @@ def align(own: np.ndarray, other: np.ndarray, anchors: np.ndarray) -> tuple[int,
             equal += max(0, max(len(a), len(b)) - _edit_distance(a, b))
         equal += K - int(shift)
         end, other_end = x + K, y + K
-    right = _extend(own[end : end + MARGIN], other[other_end : other_end + MARGIN])
-    left = _extend(own[max(0, p - MARGIN) : p][::-1], other[max(0, q - MARGIN) : q][::-1])
+    right = _extend(own[end : end + MARGIN].tolist(), other[other_end : other_end + MARGIN].tolist())
+    left = _extend(own[max(0, p - MARGIN) : p][::-1].tolist(), other[max(0, q - MARGIN) : q][::-1].tolist())
     return int(p - left[0]), int(end + right[0]), int(q - left[1]), int(other_end + right[1]), equal + left[2] + right[2]
 
 
@@ -439,13 +464,12 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: in
     bits = wordhash.key_bits(n)
     answers = exchange.exchange(dealt, n, lambda table: _asked_seeds(table, bits), bits, merge=exchange.first_holder)
     row = "bucket int, doc long, source_bucket int, source long, anchors binary, exact boolean"
-    chains = by(dealt, "bucket").cogroup(by(answers, "bucket")).applyInArrow(lambda table, replies: _chained(table, replies, bits), row)
     size = max(min_words, K)
     ask = exchange.asking(n, _asked_windows(size, bits))
     asked = by(dealt, "bucket").cogroup(by(answers, "bucket")).applyInArrow(lambda table, replies: ask(table, replies), exchange.REQUEST)
     holders = exchange.answered(asked, n, exchange.first_holder)
     both = answers.withColumn("seeds", F.lit(True)).unionByName(holders.withColumn("seeds", F.lit(False)))
-    chains = chains.unionByName(by(dealt, "bucket").cogroup(by(both, "bucket")).applyInArrow(_exact(size, bits), row))
+    chains = by(dealt, "bucket").cogroup(by(both, "bucket")).applyInArrow(_chains(size, bits), row)
     fetched = by(dealt, "bucket").cogroup(by(chains, "source_bucket")).applyInArrow(_fetched, f"{row}, from int, words binary")
 
     def aligned(table: pa.Table, chains: pa.Table) -> pa.Table:

@@ -321,6 +321,18 @@ def test_chain_takes_the_collinear_matches():
     assert best == [0, 1, 3, 4]
 
 
+def test_passages_meet_their_texts_no_more_than_needed(spark):
+    """The buckets' texts, the dear part, are hashed with the windows' requests, for all chains at once, for fetching and for alignment."""
+    plan = passage_dedup.find(spark.createDataFrame([(1, "a b c")], "doc_id long, text string"))._jdf.queryExecution().executedPlan().toString()
+    initial = plan.split("== Initial Plan ==")[-1]
+    assert initial.count("FlatMapCoGroupsInArrow") == 4
+
+
+def test_least_of_windows():
+    h = np.random.default_rng(4).integers(0, 20, 300).astype(np.uint64)
+    assert passage_dedup._least(h).tolist() == [i + int(np.argmin(h[i : i + passage_dedup.WINDOW])) for i in range(300 - passage_dedup.WINDOW + 1)]
+
+
 def test_chain_takes_the_best_predecessor_within_reach():
     """Scores against all pairs; the places of far runs, repeats and crossings are mixed."""
     rng = random.Random(7)
