@@ -44,7 +44,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,6 +61,8 @@ MOST_GAP = 60
 GAP_COST = 0.05
 #: Words around a chain that an alignment may extend to.
 MARGIN = 100
+#: Bytes of the words of a group of texts in one block of its comparison, about.
+BLOCK_BYTES = 2_000_000
 #: Of a part of a bucket: its first row, words, their rows, where rows start, places and keys of seeds, the seed of each window.
 Part = tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 _WORD = re.compile(rb"[^\x20\x09-\x0d]+")
@@ -169,7 +171,28 @@ def _chained(parts: list[Part], known: np.ndarray, ids: np.ndarray, distinct: np
     return rows
 
 
-def _chain_rows(table: pa.Table, rows: list[tuple], exact: bool) -> pa.Table:
+def _shared(table: pa.Table, parts: list[Part], known: np.ndarray, ids: np.ndarray, distinct: np.ndarray, first: np.ndarray, whole: set[int]) -> list[tuple]:
+    """Of each text the seeds that several documents hold, if two are within reach and one is held earlier; but for texts that an earlier document holds as a whole.
+
+    Places are doubled, and one more where an earlier document holds the seed; differences travel.
+    """
+    rows: dict[tuple[int, int], tuple] = {}
+    marks, bucket = table.column("mark"), table.column("bucket")[0].as_py() if table.num_rows else 0
+    for base, _, owners, start, at, key, _ in parts if len(distinct) else ():
+        where = np.minimum(np.searchsorted(distinct, key), len(distinct) - 1)
+        hit = np.flatnonzero((distinct[where] == key) & (first[1][where] & 1 > 0) & known[owners[at] + base])
+        row, place, key, source = owners[at[hit]], at[hit] - start[owners[at[hit]]], key[hit], first[0][where[hit]]
+        edges = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1], [True]))) if len(row) else np.zeros(1, np.int64)
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            i = int(row[a]) + base
+            if b - a >= LEAST_SEEDS and i not in whole and (source[a:b] < ids[i]).any() and (np.diff(place[a:b]) <= MOST_GAP + K).any():
+                doc, mark = int(ids[i]), marks[i].as_py()
+                rows[doc, mark] = doc, bucket, None, exchange.packed(np.diff(place[a:b] * 2 + (source[a:b] < doc), prepend=0).astype(np.int32)), mark, exchange.packed(key[a:b])
+    return list(rows.values())
+
+
+def _chain_rows(table: pa.Table, rows: list[tuple], exact: bool | None) -> pa.Table:
+    """Rows of chains; with exact null, of the seeds that ``_shared`` tells."""
     mine = table.column("bucket")[0].as_py() if table.num_rows else 0
     return pa.table(
         {
@@ -179,6 +202,8 @@ def _chain_rows(table: pa.Table, rows: list[tuple], exact: bool) -> pa.Table:
             "source": pa.array([r[2] for r in rows], pa.int64()),
             "anchors": pa.array([r[3] for r in rows], pa.binary()),
             "exact": pa.array([exact] * len(rows), pa.bool_()),
+            "mark": pa.array([r[4] if exact is None else None for r in rows], pa.int64()),
+            "held": pa.array([r[5] if exact is None else None for r in rows], pa.binary()),
         }
     )
 
@@ -242,8 +267,11 @@ def _asked_windows(size: int, bits: int) -> Callable[[pa.Table, pa.Table], tuple
     return run
 
 
-def _chains(size: int, bits: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """From a bucket and the first holders of its seeds and windows to its chains: those of seeds, and those that cover every window which an earlier document holds."""
+def _chains(size: int, bits: int, shared: bool = False) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """From a bucket and the first holders of its seeds and windows to its chains: those of seeds, and those that cover every window which an earlier document holds.
+
+    shared: with the rows of ``_shared``.
+    """
 
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         known, ids = _ids(table)
@@ -254,6 +282,8 @@ def _chains(size: int, bits: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         windows = _held_windows(parts, known, distinct, first, size)
         keys = np.unique(np.concatenate([key for _, key in windows])) if windows else np.empty(0, np.uint64)
         found: list[tuple] = []
+        whole: set[int] = set()
+        of_seeds = first
         if len(keys):
             first = exchange.received(answers.filter(pc.invert(answers.column("seeds"))), len(keys))
             for (base, _, owners, start, *_), (at, key) in zip(parts, windows, strict=True):
@@ -276,8 +306,11 @@ def _chains(size: int, bits: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
                             taken.pop()
                         taken.append(x)
                     found += taken
+                    size_of = np.bincount(owners)
+                    whole.update(x[0] + base for x in taken if x[1] == 0 and x[2] == size_of[x[0]])
+        held = _shared(table, parts, known, ids, distinct, of_seeds, whole) if shared else []
         exact = [(doc, bucket, source, np.array([(a, p), (b - K, p + b - a - K)], np.int32).tobytes()) for _, a, b, doc, source, p, bucket in found]
-        return pa.concat_tables([_chain_rows(table, fuzzy, False), _chain_rows(table, exact, True)])
+        return pa.concat_tables([_chain_rows(table, fuzzy, False), _chain_rows(table, exact, True), _chain_rows(table, held, None)])
 
     return run
 
@@ -360,8 +393,10 @@ def _rows_by_key(table: pa.Table) -> dict:
 
 
 def _fetched(table: pa.Table, wanted: pa.Table) -> pa.Table:
-    """For each chain the source's words around it."""
+    """For each chain the source's words around it; rows of seeds pass."""
     by = _rows_by_key(table)
+    held = wanted.filter(pc.is_null(wanted.column("exact")))
+    wanted = wanted.filter(pc.is_valid(wanted.column("exact")))
     need = sorted({i for s in set(wanted.column("source").to_pylist()) for i in by.get(s, [])})
     words, owners = wordhash.word_hashes(exchange.texts_of(table.take(pa.array(need, pa.int64()))))
     edges = np.searchsorted(owners, np.arange(len(need) + 1))
@@ -375,7 +410,8 @@ def _fetched(table: pa.Table, wanted: pa.Table) -> pa.Table:
         b = int(anchors[-1, 1]) + K + MARGIN
         start.append(a)
         cut.append((words[low + a : min(high, low + b)] >> np.uint64(32)).astype(np.uint32).tobytes())
-    return wanted.append_column("from", pa.array(start, pa.int32())).append_column("words", pa.array(cut, pa.binary()))
+    found = wanted.append_column("from", pa.array(start, pa.int32())).append_column("words", pa.array(cut, pa.binary()))
+    return pa.concat_tables([found, held.append_column("from", pa.nulls(held.num_rows, pa.int32())).append_column("words", pa.nulls(held.num_rows, pa.binary()))])
 
 
 def _edit_distance(a: list[int], b: list[int]) -> int:
@@ -455,54 +491,488 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+#: Fields of a passage, as travel in Arrow.
+_PASSAGE = pa.struct([(n, pa.int64() if n == "source" else pa.int32()) for n in PASSAGE.names])
+
+
+def _own_words(table: pa.Table, docs: set) -> tuple[dict, dict[int, np.ndarray]]:
+    """The rows of each key, and the words, as 32-bit hashes, of the rows of the given ones."""
+    by = _rows_by_key(table)
+    need = sorted({i for d in docs for i in by.get(d, [])})
+    words, owners = wordhash.word_hashes(exchange.texts_of(table.take(pa.array(need, pa.int64()))))
+    words = (words >> np.uint64(32)).astype(np.uint32)
+    edges = np.searchsorted(owners, np.arange(len(need) + 1))
+    return by, {i: words[edges[k] : edges[k + 1]] for k, i in enumerate(need)}
+
+
+def _passages(chains: pa.Table, by: dict, own_of: dict[int, np.ndarray], min_words: int, identity: float) -> tuple[dict[int, list[dict]], dict[int, list[tuple[int, int]]]]:
+    """Of each row of a bucket the passages that its chains make, and the words that they cover."""
+    found: dict[int, list[dict]] = {}
+    covered: dict[int, list[tuple[int, int]]] = {}
+    # the longest chains first, exact windows last: what they hold is mostly covered by then
+    chains = chains.append_column("size", pc.negate(pc.binary_length(chains.column("anchors")))).sort_by([("exact", "ascending"), ("size", "ascending"), ("doc", "ascending"), ("source", "ascending"), ("anchors", "ascending")])
+    for doc, source, raw, start, cut, exact in zip(*(chains.column(c).to_pylist() for c in ("doc", "source", "anchors", "from", "words", "exact")), strict=True):
+        anchors = np.frombuffer(raw, np.int32).reshape(-1, 2).astype(np.int64) - np.array([0, start])
+        other = np.frombuffer(cut, np.uint32)
+        for i in by.get(doc, []):
+            own = own_of[i]
+            if anchors[-1, 0] + K > len(own) or anchors[-1, 1] + K > len(other) or not (own[anchors[0, 0] : anchors[0, 0] + K] == other[anchors[0, 1] : anchors[0, 1] + K]).all():
+                continue  # another text of the same id
+            if any(a <= anchors[0, 0] and anchors[-1, 0] + K <= b for a, b in covered.get(i, []) if exact) or any(p["source"] == source and p["start"] <= anchors[0, 0] and anchors[-1, 0] + K <= p["end"] for p in found.get(i, [])):
+                continue
+            a, b, c, d, equal = align(own, other, anchors)
+            if b - a >= min_words and equal >= identity * max(b - a, d - c):
+                found.setdefault(i, []).append({"source": source, "start": a, "end": b, "source_start": c + start, "source_end": d + start, "agreeing": equal})
+                covered[i] = _merged([*covered.get(i, []), (a, b)])
+    return found, covered
+
+
+class _Search:
+    """What all steps of one search share: the dealt texts, their columns, and the chains with first holders."""
+
+    def __init__(self, docs: DataFrame, key: str, text: str, min_words: int, shared: bool):
+        self.kept = [f for f in docs.schema.fields if f.name.lower() not in ("cleaned", "passages")]
+        #: where each kept column travels; the text, the dear one, only once
+        self.at = ["text" if f.name.lower() == text.lower() and f.dataType == T.StringType() else f"_{i}" for i, f in enumerate(self.kept)]
+        carried = [F.col(f"`{f.name}`").alias(at) for f, at in zip(self.kept, self.at, strict=True) if at != "text"]
+        wanted = [F.col(key).cast("long").alias("key"), F.col(text).alias("text")]
+        rows = docs.select(*carried, *wanted, F.xxhash64(wanted[0], wanted[1]).alias("mark"))
+        self.dealt, self.n = exchange.dealt(rows, "key", "text", carry=[a for a in self.at if a != "text"] + ["mark"])
+        self.bits = bits = wordhash.key_bits(self.n)
+        answers = exchange.exchange(self.dealt, self.n, lambda table: _asked_seeds(table, bits), bits, merge=exchange.first_holder)
+        row = "bucket int, doc long, source_bucket int, source long, anchors binary, exact boolean, mark long, held binary"
+        size = max(min_words, K)
+        ask = exchange.asking(self.n, _asked_windows(size, bits))
+        asked = _by(self.dealt).cogroup(_by(answers)).applyInArrow(lambda table, replies: ask(table, replies), exchange.REQUEST)
+        holders = exchange.answered(asked, self.n, exchange.first_holder)
+        both = answers.withColumn("seeds", F.lit(True)).unionByName(holders.withColumn("seeds", F.lit(False)))
+        chains = _by(self.dealt).cogroup(_by(both)).applyInArrow(_chains(size, bits, shared), row)
+        self.fetched = _by(self.dealt).cogroup(_by(chains, "source_bucket")).applyInArrow(_fetched, f"{row}, from int, words binary")
+        self.schema = T.StructType([*self.kept, T.StructField("cleaned", T.StringType()), T.StructField("passages", T.ArrayType(PASSAGE))])
+
+    def cut(self) -> Callable[[pa.Table, dict[int, list[dict]]], pa.Table]:
+        """From a bucket's texts, and the passages of each row, to the result."""
+        names, at = [f.name for f in self.kept], self.at
+
+        def run(table: pa.Table, found: dict[int, list[dict]]) -> pa.Table:
+            texts = table.column("text").to_pylist()
+            for i, passages in found.items():
+                texts[i] = _without(texts[i].encode(), _merged([(p["start"], p["end"]) for p in passages])).decode()
+            return pa.table({n: table.column(a) for n, a in zip(names, at, strict=True)} | {"cleaned": pa.array(texts, pa.string()), "passages": pa.array([found.get(i, []) for i in range(table.num_rows)], pa.list_(_PASSAGE))})
+
+        return run
+
+
+def _by(df: DataFrame, column: str = "bucket") -> GroupedData:
+    return df.groupBy(column)
+
+
 def find(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 50, identity: float = 0.8) -> DataFrame:
-    """``docs`` with ``cleaned`` and ``passages``: see the module's description."""
-    kept = [f for f in docs.schema.fields if f.name.lower() not in ("cleaned", "passages")]
-    carried = [F.col(f"`{f.name}`").alias(f"_{i}") for i, f in enumerate(kept)]
-    dealt, n = exchange.dealt(docs.select(*carried, F.col(key).cast("long").alias("key"), F.col(text).alias("text")), "key", "text", carry=[f"_{i}" for i in range(len(kept))])
-    by = lambda df, column: df.groupBy(column)
-    bits = wordhash.key_bits(n)
-    answers = exchange.exchange(dealt, n, lambda table: _asked_seeds(table, bits), bits, merge=exchange.first_holder)
-    row = "bucket int, doc long, source_bucket int, source long, anchors binary, exact boolean"
-    size = max(min_words, K)
-    ask = exchange.asking(n, _asked_windows(size, bits))
-    asked = by(dealt, "bucket").cogroup(by(answers, "bucket")).applyInArrow(lambda table, replies: ask(table, replies), exchange.REQUEST)
-    holders = exchange.answered(asked, n, exchange.first_holder)
-    both = answers.withColumn("seeds", F.lit(True)).unionByName(holders.withColumn("seeds", F.lit(False)))
-    chains = by(dealt, "bucket").cogroup(by(both, "bucket")).applyInArrow(_chains(size, bits), row)
-    fetched = by(dealt, "bucket").cogroup(by(chains, "source_bucket")).applyInArrow(_fetched, f"{row}, from int, words binary")
+    """``docs`` with ``cleaned`` and ``passages``, by steps 1 to 5 alone: each seed is compared with its first holder only."""
+    plan = _Search(docs, key, text, min_words, shared=False)
+    cut = plan.cut()
 
     def aligned(table: pa.Table, chains: pa.Table) -> pa.Table:
-        by = _rows_by_key(table)
-        found: dict[int, list[dict]] = {}
-        covered: dict[int, list[tuple[int, int]]] = {}
-        need = sorted({i for d in set(chains.column("doc").to_pylist()) for i in by.get(d, [])})
-        words, owners = wordhash.word_hashes(exchange.texts_of(table.take(pa.array(need, pa.int64()))))
-        words = (words >> np.uint64(32)).astype(np.uint32)
-        edges = np.searchsorted(owners, np.arange(len(need) + 1))
-        own_of = {i: words[edges[k] : edges[k + 1]] for k, i in enumerate(need)}
-        # the longest chains first, exact windows last: what they hold is mostly covered by then
-        chains = chains.append_column("size", pc.negate(pc.binary_length(chains.column("anchors")))).sort_by([("exact", "ascending"), ("size", "ascending"), ("doc", "ascending"), ("source", "ascending"), ("anchors", "ascending")])
-        for doc, source, raw, start, cut, exact in zip(*(chains.column(c).to_pylist() for c in ("doc", "source", "anchors", "from", "words", "exact")), strict=True):
-            anchors = np.frombuffer(raw, np.int32).reshape(-1, 2).astype(np.int64) - np.array([0, start])
-            other = np.frombuffer(cut, np.uint32)
-            for i in by.get(doc, []):
-                own = own_of[i]
-                if anchors[-1, 0] + K > len(own) or anchors[-1, 1] + K > len(other) or not (own[anchors[0, 0] : anchors[0, 0] + K] == other[anchors[0, 1] : anchors[0, 1] + K]).all():
-                    continue  # another text of the same id
-                if any(a <= anchors[0, 0] and anchors[-1, 0] + K <= b for a, b in covered.get(i, []) if exact) or any(p["source"] == source and p["start"] <= anchors[0, 0] and anchors[-1, 0] + K <= p["end"] for p in found.get(i, [])):
+        by, own_of = _own_words(table, set(chains.column("doc").to_pylist()))
+        return cut(table, _passages(chains, by, own_of, min_words, identity)[0])
+
+    return _by(plan.dealt).cogroup(_by(plan.fetched)).applyInArrow(aligned, plan.schema)
+
+
+# ---- step 6: all other holders of seeds outside what is cut ---------------------------------------------
+
+
+def _reached(place: np.ndarray, row: np.ndarray, key: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Indexes of all pairs of different seeds of a row, sorted by row and place, of which a chain can hold one after the other."""
+    for step in range(1, len(place)):
+        i = np.flatnonzero((row[step:] == row[:-step]) & (place[step:] - place[:-step] <= MOST_GAP + K))
+        if not len(i):
+            return
+        i = i[key[i] != key[i + step]]
+        yield i, i + step
+
+
+_HELD = "bucket int, doc long, mark long, passages array<struct<source long, start int, end int, source_start int, source_end int, agreeing int>>, held binary, places binary, open binary, size long"
+
+
+def _opened(min_words: int, identity: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """From a bucket's texts and fetched chains to ``_HELD``: the passages of each text, its seeds that others hold, which of them aren't wholly cut (1) and which earlier documents hold (2), and its number of words."""
+
+    def run(table: pa.Table, fetched: pa.Table) -> pa.Table:
+        chains = fetched.filter(pc.is_valid(fetched.column("exact")))
+        held = fetched.filter(pc.is_null(fetched.column("exact")))
+        by, own_of = _own_words(table, set(fetched.column("doc").to_pylist()))
+        found, covered = _passages(chains, by, own_of, min_words, identity)
+        marks = table.column("mark").to_pylist()
+        row_of = {(d, marks[i]): i for d, rows in by.items() for i in rows if i in own_of}
+        seeds_of = {(d, m): (raw, np.cumsum(exchange.unpacked(places, np.int32))) for d, m, raw, places in zip(*(held.column(c).to_pylist() for c in ("doc", "mark", "held", "anchors")), strict=True)}
+        out = []
+        for (d, m), i in sorted(row_of.items()):
+            if (d, m) not in seeds_of:
+                if i in found:
+                    out.append((d, m, found[i], None, None, None, None))
+                continue
+            raw, places = seeds_of[d, m]
+            places, earlier = places >> 1, places & 1
+            spans = np.array(covered.get(i, []), np.int64).reshape(-1, 2)
+            k = np.searchsorted(spans[:, 0], places, "right") - 1
+            left = ~((k >= 0) & (places + K <= spans[np.maximum(k, 0), 1])) if len(spans) else np.ones(len(places), bool)
+            out.append((d, m, found.get(i, []), raw, exchange.packed(np.diff(places, prepend=0).astype(np.int32)), (left + 2 * earlier).astype(np.uint8).tobytes(), len(own_of[i])))
+        columns = list(zip(*out, strict=True)) or [()] * 7
+        kinds = (pa.int64(), pa.int64(), pa.list_(_PASSAGE), pa.binary(), pa.binary(), pa.binary(), pa.int64())
+        bucket = table.column("bucket")[0].as_py() if table.num_rows else 0
+        names = ("doc", "mark", "passages", "held", "places", "open", "size")
+        return pa.table({"bucket": pa.array([bucket] * len(out), pa.int32())} | {n: pa.array(c, k) for n, c, k in zip(names, columns, kinds, strict=True)})
+
+    return run
+
+
+def _seed_table(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """Of ``_HELD`` rows: row, place, key and state of each seed, and whether a pair with it asks."""
+    rows = [(i, h, p, o) for i, (h, p, o) in enumerate(zip(*(table.column(c).to_pylist() for c in ("held", "places", "open")), strict=True)) if h]
+    row = np.repeat(np.array([r[0] for r in rows], np.int64), [len(r[3]) for r in rows])
+    key = np.concatenate([np.empty(0, np.uint64), *(exchange.unpacked(r[1], np.uint64) for r in rows)])
+    place = np.concatenate([np.empty(0, np.int64), *(np.cumsum(exchange.unpacked(r[2], np.int32), dtype=np.int64) for r in rows)])
+    state = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
+    asks = np.zeros(len(row), bool)
+    for i, j in _reached(place, row, key):
+        either = _asking(state, i, j)
+        asks[i[either]] = asks[j[either]] = True
+    return row, place, key, state, asks
+
+
+def _asking(state: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs of seeds are held earlier, both, and not wholly cut, one of them."""
+    return ((state[i] & state[j] & 2) > 0) & (((state[i] | state[j]) & 1) > 0)
+
+
+_NONE = np.iinfo(np.int64).min
+
+
+def greatest(values: np.ndarray, place: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The merge for the greatest value of each key."""
+    return np.maximum.reduceat(values[:, np.argsort(place, kind="stable")], starts, axis=1)
+
+
+def _asked_open(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct seeds of ``_HELD`` rows, and the last document that asks for other holders of each."""
+    row, _, key, _, asks = _seed_table(table)
+    doc = table.column("doc").to_numpy()
+    value = np.where(asks, doc[row], _NONE) if len(row) else np.empty(0, np.int64)
+    order = np.lexsort((value, key))
+    key, value = key[order], value[order]
+    last = np.flatnonzero(np.concatenate((key[1:] != key[:-1], [True]))) if len(key) else np.empty(0, np.int64)
+    return key[last], value[last]
+
+
+def _pair_keys(key: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    return wordhash.mix(key[i] * np.uint64(0xD6E8FEB86659FD93) + wordhash.mix(key[j])).view(np.int64)
+
+
+_PAIRS = "pair long, bucket int, doc long, mark long, asks boolean, bytes long"
+
+
+def _pairs(table: pa.Table, replies: pa.Table) -> pa.Table:
+    """From ``_HELD`` rows and the last documents that ask for each seed to pairs of seeds, once a text, of those that ask and of earlier holders."""
+    row, place, key, state, asks = _seed_table(table)
+    doc = table.column("doc").to_numpy()
+    distinct = np.unique(key)
+    last = exchange.received(replies, len(distinct))[0][np.searchsorted(distinct, key)] if len(key) else np.empty(0, np.int64)
+    part = np.flatnonzero(asks | (doc[row] < last))
+    row, place, key, state, last = row[part], place[part], key[part], state[part], last[part]
+    pair, of, either = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, bool)]
+    for i, j in _reached(place, row, key):
+        ask = _asking(state, i, j)
+        # whoever holds both first has been compared with all others in step 3
+        use = ask | ((doc[row[i]] < np.minimum(last[i], last[j])) & (((state[i] | state[j]) & 2) > 0))
+        pair.append(_pair_keys(key, i[use], j[use]))
+        of.append(row[i[use]])
+        either.append(ask[use])
+    pairs, rows, ask = np.concatenate(pair), np.concatenate(of), np.concatenate(either)
+    order = np.lexsort((pairs, rows))
+    pairs, rows, ask = pairs[order], rows[order], ask[order]
+    first = np.flatnonzero(np.concatenate(([True], (rows[1:] != rows[:-1]) | (pairs[1:] != pairs[:-1])))) if len(rows) else np.empty(0, np.int64)
+    pairs, rows, ask = pairs[first], rows[first], np.logical_or.reduceat(ask, first) if len(first) else ask
+    size = table.column("size").fill_null(0).to_numpy() * 4
+    bucket = table.column("bucket")[0].as_py() if table.num_rows else 0
+    return pa.table({"pair": pairs, "bucket": pa.array([bucket] * len(pairs), pa.int32()), "doc": doc[rows], "mark": table.column("mark").to_numpy()[rows], "asks": ask, "bytes": size[rows]})
+
+
+def _groups(pairs: DataFrame, block_bytes: int) -> DataFrame:
+    """(bucket, mark, group, blocks, pairs): which texts are compared with each other, and around which pairs of seeds.
+
+    Pairs of seeds that the same texts hold make one group.
+    """
+    sums = pairs.groupBy("pair").agg(F.max(F.when(F.col("asks"), F.col("doc"))).alias("last"), F.min("doc").alias("least"), F.bit_xor(F.xxhash64("mark")).alias("texts"), F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("total"))
+    wanted = sums.where("last > least").select("pair", "last", F.struct("texts", "n").alias("group"), F.ceil(F.col("total") / block_bytes).cast("int").alias("blocks"))
+    return pairs.join(wanted, "pair").where("asks OR doc < last").groupBy("bucket", "mark", "group", "blocks").agg(F.collect_list("pair").alias("pairs"))
+
+
+_MEMBER = "bucket int, doc long, mark long, held binary, places binary, open binary, groups array<struct<texts long, n long, blocks int, pairs array<bigint>>>"
+
+
+def _members(table: pa.Table, groups: pa.Table) -> pa.Table:
+    """The ``_HELD`` rows of texts that are in groups, with these."""
+    of: dict[int, list[dict]] = {}
+    for mark, group, blocks, pairs in zip(*(groups.column(c).to_pylist() for c in ("mark", "group", "blocks", "pairs")), strict=True):
+        of.setdefault(mark, []).append({**group, "blocks": blocks, "pairs": sorted(pairs)})
+    held = table.filter(pc.and_(pc.is_valid(table.column("held")), pc.is_in(table.column("mark"), pa.array(list(of), pa.int64()))))
+    kind = pa.list_(pa.struct([("texts", pa.int64()), ("n", pa.int64()), ("blocks", pa.int32()), ("pairs", pa.list_(pa.int64()))]))
+    return held.select(["bucket", "doc", "mark", "held", "places", "open"]).append_column("groups", pa.array([of[m] for m in held.column("mark").to_pylist()], kind))
+
+
+_BLOCK = "texts long, n long, a int, b int, own int, bucket int, doc long, mark long, pairs binary, held binary, places binary, open binary, words binary, start int"
+
+
+def _into_blocks(table: pa.Table, members: pa.Table) -> pa.Table:
+    """Of each text, to all the blocks of its groups that it is in, the part that chains with a pair of the group can be in."""
+    by, own_of = _own_words(table, set(members.column("doc").to_pylist()))
+    marks = table.column("mark").to_pylist()
+    rows = []
+    for member in members.to_pylist():
+        words = next(own_of[i] for i in by[member["doc"]] if marks[i] == member["mark"])
+        key, place, state = exchange.unpacked(member["held"], np.uint64), np.cumsum(exchange.unpacked(member["places"], np.int32), dtype=np.int64), np.frombuffer(member["open"], np.uint8)
+        # no chain goes over a longer gap between seeds
+        stretch = np.concatenate(([0], np.cumsum(np.diff(place) > MOST_GAP + K)))
+        spots = [(_pair_keys(key, i, j), stretch[i]) for i, j in _reached(place, np.zeros(len(place), np.int64), key)]
+        pair, of = (np.concatenate([x[c] for x in spots]) for c in (0, 1))
+        hashed = wordhash.mix(np.array([member["mark"]], np.int64).view(np.uint64))[0]
+        for group in member["groups"]:
+            used = of[np.isin(pair, group["pairs"])]
+            part = (stretch >= used.min()) & (stretch <= used.max())
+            at = place[part]
+            start, blocks = max(0, int(at[0]) - MARGIN), max(1, group["blocks"])
+            own = int(hashed % np.uint64(blocks))
+            one = (own, member["bucket"], member["doc"], member["mark"], np.array(group["pairs"], np.int64).tobytes(), key[part].tobytes(), (at - start).astype(np.int32).tobytes(), state[part].tobytes(), words[start : at[-1] + K + MARGIN].tobytes(), start)
+            rows += [(group["texts"], group["n"], min(own, o), max(own, o), *one) for o in range(blocks)]
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = [f.split() for f in _BLOCK.split(", ")]
+    columns = list(zip(*rows, strict=True)) or [()] * len(fields)
+    return pa.table({n: pa.array(c, kinds[k]) for c, (n, k) in zip(columns, fields, strict=True)})
+
+
+_PAD = np.int64(1 << 33)
+_STEPS = ((1, 1), (1, 0), (0, 1), (2, 0), (0, 2), (2, 2), (3, 0), (0, 3))
+
+
+def extensions(a: np.ndarray, words: np.ndarray, start: np.ndarray, length: np.ndarray, sign: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``_extend`` of one sequence with many: those of the given lengths that start in ``words`` and go on in the direction ``sign``."""
+    a = np.concatenate((a.astype(np.int64), np.full(6, _PAD)))
+    size, n = len(a) - 6, len(start)
+    i, j, equal, value, best = (np.zeros(n, np.int64) for _ in range(5))
+    ends = np.zeros((3, n), np.int64)
+
+    def other(rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+        inside = at < length[rows]
+        return np.where(inside, words[np.where(inside, start[rows] + sign * at, 0)], _PAD)
+
+    alive = np.flatnonzero(length > 0) if size else np.empty(0, np.int64)
+    while len(alive):
+        same = a[i[alive]] == other(alive, j[alive])
+        s, t = alive[same], alive[~same]
+        for x in (i, j, equal, value):
+            x[s] += 1
+        s = s[value[s] > best[s]]
+        best[s] = value[s]
+        ends[:, s] = i[s], j[s], equal[s]
+        if len(t):
+            own = [a[i[t] + d] for d in range(5)]
+            their = [other(t, j[t] + d) for d in range(5)]
+            di, dj, free = np.ones(len(t), np.int64), np.ones(len(t), np.int64), np.ones(len(t), bool)
+            for x, y in _STEPS:
+                fits = free & (own[x] != _PAD) & (own[x] == their[y]) & (own[x + 1] == their[y + 1])
+                di[fits], dj[fits] = x, y
+                free &= ~fits
+            i[t] += di
+            j[t] += dj
+            value[t] -= 2 * np.maximum(di, dj)
+        alive = alive[(i[alive] < size) & (j[alive] < length[alive]) & (value[alive] > best[alive] - 8)]
+    return ends[0], ends[1], ends[2]
+
+
+def _compared(min_words: int, identity: float) -> Callable[[pa.Table], pa.Table]:
+    """Of a block, the passages of texts that ask with all earlier documents that hold one of their pairs of seeds.
+
+    Every place where a text has the pair is compared with the first one where the other has it.
+    What is around a pair is extended for all holders at once. Where that is too short or agrees too little,
+    and no other common seed is near, no chain makes a passage; all other holders are chained and aligned.
+    """
+    reach = MOST_GAP + K
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("doc", "ascending"), ("mark", "ascending")])
+        a, b = table.column("a")[0].as_py(), table.column("b")[0].as_py()
+        own, doc = table.column("own").to_numpy(), table.column("doc").to_numpy()
+        read = lambda column, kind: [np.frombuffer(x, kind) for x in table.column(column).to_pylist()]
+        texts, keys, places, states = read("words", np.uint32), read("held", np.uint64), read("places", np.int32), read("open", np.uint8)
+        left = [(x & 1).astype(bool) for x in states]
+        size = np.array([len(w) for w in texts])
+        shift = table.column("start").to_numpy()
+        flat, base = np.concatenate(texts).astype(np.int64), np.concatenate(([0], np.cumsum(size)[:-1]))
+        # all spots of the group's pairs: pair, row, places, and whether they ask
+        key, place, state, row = np.concatenate(keys), np.concatenate(places).astype(np.int64), np.concatenate(states), np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+        pairs, some = np.unique(np.concatenate(read("pairs", np.int64))), []
+        for i, j in _reached(place, row, key):
+            pair = _pair_keys(key, i, j)
+            use = np.flatnonzero(pairs[np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)] == pair)
+            i, j = i[use], j[use]
+            some.append(np.column_stack((pair[use], row[i], place[i], place[j], _asking(state, i, j))))
+        at = np.concatenate(some)
+        asking = at[at[:, 4] > 0]
+        asking = asking[np.lexsort((asking[:, 3], asking[:, 2], asking[:, 1]))]
+        # in other documents a pair is where it is first
+        at = at[np.lexsort((at[:, 3], at[:, 2], at[:, 1], at[:, 0]))]
+        at = at[np.concatenate(([True], (at[1:, 0] != at[:-1, 0]) | (at[1:, 1] != at[:-1, 1])))]
+        edges = np.searchsorted(asking[:, 1], np.arange(len(keys) + 1))
+        cuts = np.concatenate((np.flatnonzero(np.concatenate(([True], at[1:, 0] != at[:-1, 0]))), [len(at)]))
+        slices = {pair: (f, t) for pair, f, t in zip(at[cuts[:-1], 0].tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)}
+        # all seeds by key, then row
+        seed_key, seed_row = np.concatenate(keys), np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+        order = np.lexsort((seed_row, seed_key))
+        seed_key, seed_row = seed_key[order], seed_row[order]
+        out = []
+        near_words: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+        def likely(mine: np.ndarray, p: int, p2: int, pair: int, f: int, t: int) -> np.ndarray:
+            """Of the spots of a pair those with an equal word among the eight next on either side: without one an extension gains nothing."""
+            if pair not in near_words:
+                j, q, q2 = at[f:t, 1], at[f:t, 2], at[f:t, 3]
+                near_words[pair] = []
+                for first, sign, length in ((base[j] + q2 + K, 1, size[j] - q2 - K), (base[j] + q - 1, -1, q)):
+                    inside = np.arange(8) < length[:, None]
+                    words = flat[np.where(inside, first[:, None] + sign * np.arange(8), 0)][inside]
+                    order = np.argsort(words, kind="stable")
+                    near_words[pair].append((words[order], np.nonzero(inside)[0][order]))
+            found = [np.empty(0, np.int64)]
+            for (words, spot), own in zip(near_words[pair], (mine[p2 + K : p2 + K + 8], mine[max(0, p - 8) : p]), strict=True):
+                own = np.unique(own).astype(np.int64)
+                found += [spot[x:y] for x, y in zip(np.searchsorted(words, own, "left"), np.searchsorted(words, own, "right"), strict=True)]
+            return np.unique(np.concatenate(found))
+
+        for r in np.flatnonzero(np.diff(edges)).tolist():
+            mine, hits = texts[r], None
+            covered: list[tuple[int, int]] = []
+            # later documents, those of other blocks, and those that were aligned with this one
+            done = (doc >= doc[r]) | ((a != b) & (own == own[r]))
+            low, high, their_low, their_high = (np.full(len(doc), v) for v in (1 << 40, -1, 1 << 40, -1))
+            open_at = np.sort(places[r][left[r]]).astype(np.int64)
+
+            def settled(x: int) -> bool:
+                k = int(np.searchsorted(open_at, x))
+                return k == len(open_at) or open_at[k] != x or any(f <= x and x + K <= t for f, t in covered)  # noqa: B023
+
+            for pair, _, p, p2, _ in asking[edges[r] : edges[r + 1]].tolist():
+                f, t = slices[pair]
+                if done[at[f:t, 1]].all() or (settled(p) and settled(p2)):
                     continue
-                a, b, c, d, equal = align(own, other, anchors)
-                if b - a >= min_words and equal >= identity * max(b - a, d - c):
-                    found.setdefault(i, []).append({"source": source, "start": a, "end": b, "source_start": c + start, "source_end": d + start, "agreeing": equal})
-                    covered[i] = _merged([*covered.get(i, []), (a, b)])
-        texts = table.column("text").to_pylist()
-        for i, passages in found.items():
-            texts[i] = _without(texts[i].encode(), _merged([(p["start"], p["end"]) for p in passages])).decode()
-        return pa.table({f.name: table.column(f"_{i}") for i, f in enumerate(kept)} | {"cleaned": pa.array(texts, pa.string()), "passages": pa.array([found.get(i, []) for i in range(table.num_rows)], pa.list_(pa.struct([("source", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("source_start", pa.int32()), ("source_end", pa.int32()), ("agreeing", pa.int32())])))})
+                if hits is None:
+                    lows, highs = np.searchsorted(seed_key, keys[r], "left"), np.searchsorted(seed_key, keys[r], "right")
+                    many = highs - lows
+                    hits = seed_row[np.repeat(lows - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum())], np.repeat(places[r].astype(np.int64), many)
+                # common seeds about, by place
+                edge = np.searchsorted(hits[1], (p - MARGIN - reach - K, p, p2 + 1, p2 + K + MARGIN + reach + 1))
+                row, x = (np.concatenate((c[edge[0] : edge[1]], c[edge[2] : edge[3]])) for c in hits)
+                some = at[f:t]
+                if p2 + K - p < min_words:
+                    about = np.zeros(len(doc), bool)
+                    about[row] = True
+                    maybe = about[some[:, 1]]
+                    maybe[likely(mine, p, p2, pair, f, t)] = True
+                    some = some[maybe]
+                j, q, q2 = some[:, 1], some[:, 2], some[:, 3]
+                use = ~done[j] & ~((low[j] <= p) & (p2 + K <= high[j]) & (their_low[j] <= q) & (q2 + K <= their_high[j]))
+                j, q, q2 = j[use], q[use], q2[use]
+                if not len(j):
+                    continue
+                right = extensions(mine[p2 + K : p2 + K + MARGIN], flat, base[j] + q2 + K, np.clip(size[j] - q2 - K, 0, MARGIN), 1)
+                back = extensions(mine[max(0, p - MARGIN) : p][::-1], flat, base[j] + q - 1, np.minimum(q, MARGIN), -1)
+                start, end, their_start, their_end = p - back[0], p2 + K + right[0], q - back[1], q2 + K + right[1]
+                most = np.minimum(p2 + K - p, q2 + K - q) + back[2] + right[2]
+                able = (end - start >= min_words) & (most >= identity * np.maximum(end - start, their_end - their_start))
+                able |= (right[0] == MARGIN) | (right[1] == MARGIN) | (back[0] == MARGIN) | (back[1] == MARGIN)
+                low[j], high[j], their_low[j], their_high[j] = start, end, their_start, their_end
+                near = ((x + K > high[row]) & (x <= high[row] + reach)) | ((x < low[row]) & (x + K + reach >= low[row]))
+                others = np.bincount(row[near], minlength=len(doc)) > 0
+                for k in j[able | others[j]].tolist():
+                    if settled(p) and settled(p2):
+                        break
+                    done[k] = True
+                    for passage in _passages_of(mine, keys[r], places[r], texts[k], keys[k], places[k], min_words, identity):
+                        lone = open_at[(open_at < passage[1]) & (open_at + K > passage[0])].tolist()
+                        if all(settled(y) for y in lone) or any(u <= passage[0] and passage[1] <= v for u, v in covered):
+                            continue
+                        covered = _merged([*covered, passage[:2]])
+                        move = (int(shift[r]), int(shift[r]), int(shift[k]), int(shift[k]), 0)
+                        out.append((r, {"source": int(doc[k])} | {n: v + m for n, v, m in zip(("start", "end", "source_start", "source_end", "agreeing"), passage, move, strict=True)}))
+        at_row = pa.array([r for r, _ in out], pa.int64())
+        return pa.table({"bucket": table.column("bucket").take(at_row), "doc": table.column("doc").take(at_row), "mark": table.column("mark").take(at_row), "passages": pa.array([[p] for _, p in out], pa.list_(_PASSAGE))})
+
+    return run
 
-    schema = T.StructType([*kept, T.StructField("cleaned", T.StringType()), T.StructField("passages", T.ArrayType(PASSAGE))])
-    return by(dealt, "bucket").cogroup(by(fetched, "bucket")).applyInArrow(aligned, schema)
+
+def _first_spots(keys: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The seeds of a text that are in the first spot of one of their pairs."""
+    row, found = np.zeros(len(keys), np.int64), [np.empty((0, 4), np.int64)]
+    for i, j in _reached(places.astype(np.int64), row, keys):
+        found.append(np.column_stack((_pair_keys(keys, i, j), places[i], i, j)))
+    spots = np.concatenate(found)
+    spots = spots[np.lexsort((spots[:, 3], spots[:, 1], spots[:, 0]))]
+    return np.unique(spots[np.concatenate(([True], spots[1:, 0] != spots[:-1, 0]))[: len(spots)], 2:])
+
+
+def _passages_of(own: np.ndarray, keys: np.ndarray, places: np.ndarray, other: np.ndarray, other_keys: np.ndarray, other_places: np.ndarray, min_words: int, identity: float) -> list[tuple[int, int, int, int, int]]:
+    """The passages of a text with another, by all seeds that both hold, where the other has a pair of them first."""
+    both = np.flatnonzero(np.isin(other_keys, keys))
+    both = both[_first_spots(other_keys[both], other_places[both])]
+    both = both[np.argsort(other_keys[both], kind="stable")]
+    sorted_keys = other_keys[both]
+    low, high = np.searchsorted(sorted_keys, keys, "left"), np.searchsorted(sorted_keys, keys, "right")
+    n = high - low
+    q = other_places[both][np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())]
+    p = np.repeat(places, n)
+    found: list[tuple[int, int, int, int, int]] = []
+    chains = [np.array([(p[i], q[i]) for i in one], np.int64) for one in chain(p.tolist(), q.tolist()) if len(one) >= LEAST_SEEDS] if len(p) else []
+    for anchors in sorted(chains, key=lambda x: (-len(x), x.tolist())):
+        if any(f <= anchors[0, 0] and anchors[-1, 0] + K <= t for f, t, *_ in found):
+            continue
+        f, t, c, d, equal = align(own, other, anchors)
+        if t - f >= min_words and equal >= identity * max(t - f, d - c):
+            found.append((f, t, c, d, equal))
+    return found
+
+
+def search(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 50, identity: float = 0.8, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` with ``cleaned`` and ``passages``: see the module's description."""
+    plan = _Search(docs, key, text, min_words, shared=True)
+    held = _by(plan.dealt).cogroup(_by(plan.fetched)).applyInArrow(_opened(min_words, identity), _HELD)
+    # all that follows reads one exchange of these rows
+    ask = exchange.asking(plan.n, _asked_open, plan.bits)
+    requests = _by(held).applyInArrow(lambda table: ask(table.sort_by([("doc", "ascending"), ("mark", "ascending")])), exchange.REQUEST)
+    replies = exchange.answered(requests, plan.n, greatest, plan.bits)
+    pairs = _by(held).cogroup(_by(replies)).applyInArrow(lambda table, more: _pairs(table, more), _PAIRS)
+    members = _by(held).cogroup(_by(_groups(pairs, block_bytes))).applyInArrow(_members, _MEMBER)
+    blocks = _by(plan.dealt).cogroup(_by(members)).applyInArrow(_into_blocks, _BLOCK)
+    more = blocks.groupBy(F.struct("texts", "n", "a", "b")).applyInArrow(_compared(min_words, identity), _HELD.split(", held")[0])
+    first = _by(held).applyInArrow(lambda table: table.select(["bucket", "doc", "mark", "passages"]), _HELD.split(", held")[0])
+    found = first.withColumn("step", F.lit(0)).unionByName(more.withColumn("step", F.lit(1)))
+    cut = plan.cut()
+
+    def joined(table: pa.Table, found: pa.Table) -> pa.Table:
+        of: dict[tuple[int, int], list[dict]] = {}
+        rest: dict[tuple[int, int], list[dict]] = {}
+        for doc, mark, passages, step in zip(*(found.column(c).to_pylist() for c in ("doc", "mark", "passages", "step")), strict=True):
+            if passages:
+                (rest if step else of).setdefault((doc, mark), []).extend(passages)
+        for one, passages in rest.items():
+            covered = _merged([(p["start"], p["end"]) for p in of.get(one, [])])
+            for p in sorted(passages, key=lambda p: (p["start"] - p["end"], *p.values())):
+                if not any(a <= p["start"] and p["end"] <= b for a, b in covered):
+                    of.setdefault(one, []).append(p)
+                    covered = _merged([*covered, (p["start"], p["end"])])
+        rows = zip(table.column("key").to_pylist(), table.column("mark").to_pylist(), strict=True)
+        return cut(table, {i: of[one] for i, one in enumerate(rows) if one in of})
+
+    return _by(plan.dealt).cogroup(_by(found)).applyInArrow(joined, plan.schema)
 
 
 def clean(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str = "n_chars", min_words: int = 50) -> DataFrame:
@@ -511,7 +981,7 @@ def clean(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str
     Documents of which no word is left go; those without such a passage stay as they are, empty ones too.
     """
     moved, back = set_aside(docs, ("cleaned", "passages"))
-    found = find(moved, key, text, min_words)
+    found = search(moved, key, text, min_words)
     touched = F.size("passages") > 0
     kept = found.where(~touched | F.col("cleaned").rlike(r"[^\x20\x09-\x0D]"))
     new = {text: F.when(touched, F.col("cleaned")).otherwise(F.col(text))}

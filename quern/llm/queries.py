@@ -135,7 +135,7 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per passage that an earlier document holds too: places are word numbers."""
     docs = spread(table(prepare(spark), sf_dir, "documents")).select("doc_id", "text")
-    found = passage_dedup.find(docs, min_words=50)
+    found = passage_dedup.search(docs, min_words=50)
     return found.select("doc_id", F.explode("passages").alias("p")).select("doc_id", F.col("p.source").alias("source_doc_id"), F.col("p.start").alias("start_word"), F.col("p.end").alias("end_word"), F.col("p.source_start").alias("source_start_word"), F.col("p.source_end").alias("source_end_word"), F.col("p.agreeing").alias("agreeing_words"))
 
 

@@ -400,6 +400,88 @@ def test_repeats_beyond_those_of_the_source_are_cut(spark):
     assert left == {1: 0, 3: 0, 5: 0, 7: 0}
 
 
+def test_extensions_are_those_of_one_pair_at_a_time():
+    rng = np.random.default_rng(5)
+    for _ in range(40):
+        a = rng.integers(0, 4, rng.integers(0, 30))
+        others = [np.delete(a, rng.integers(0, len(a), 2)) if len(a) and k % 3 else rng.integers(0, 4, rng.integers(0, 30)) for k in range(20)]
+        others += [np.where(rng.random(len(a)) < 0.1, 9, a), a]
+        size = np.array([len(x) for x in others])
+        start, flat = np.concatenate(([0], np.cumsum(size)[:-1])), np.concatenate([*others, [7]]).astype(np.int64)
+        want = [passage_dedup._extend(a.tolist(), x.tolist()) for x in others]
+        assert list(zip(*(x.tolist() for x in passage_dedup.extensions(a, flat, start, size, 1)), strict=True)) == want
+        want = [passage_dedup._extend(a.tolist(), x[::-1].tolist()) for x in others]
+        assert list(zip(*(x.tolist() for x in passage_dedup.extensions(a, flat, start + size - 1, size, -1)), strict=True)) == want
+
+
+def all_passages(texts, min_words=50, identity=0.8):
+    """By brute force, for each document and each earlier one: the passages that all their common seeds make, and the seeds that both hold."""
+    words, owners = wordhash.word_hashes([t.encode() for t in texts])
+    at, key = passage_dedup.seeds(words, owners)
+    key, start = wordhash.keys(key, wordhash.key_bits(1)), np.searchsorted(owners, np.arange(len(texts)))
+    of = [((words[owners == d] >> np.uint64(32)).astype(np.uint32), key[owners[at] == d], (at - start[owners[at]])[owners[at] == d].astype(np.int32)) for d in range(len(texts))]
+    for d in range(len(texts)):
+        for s in range(d):
+            found = passage_dedup._passages_of(*(of[d][i] for i in (0, 1, 2)), *of[s], min_words, identity)
+            both = of[d][2][np.isin(of[d][1], of[s][1])].tolist()
+            for a, b, *_ in found:
+                yield d, s, a, b, [x for x in both if a <= x and x + passage_dedup.K <= b]
+
+
+@pytest.mark.parametrize("block_bytes", [2_000_000, 3000])
+def test_no_holder_hides_an_edited_passage(spark, block_bytes):
+    """Seeds whose first holders are others, a line that many hold, and edited copies of each: by brute force over all pairs no passage with a seed that isn't cut is left."""
+    rng = random.Random(31)
+    texts, hidden = [], []
+    hot = sentence(rng, 30)
+    passages = [sentence(rng, 90) for _ in range(4)]
+    passages.append(sentence(rng, 20) + hot + sentence(rng, 30))
+    # earlier documents hold each passage in parts, by turns
+    for p in passages:
+        for at in range(0, len(p), 15):
+            texts += [sentence(rng, 30) + p[at : at + 22] + sentence(rng, 30)]
+    texts += [sentence(rng, 40) + hot + sentence(rng, 40) for _ in range(30)]
+    for p in passages:
+        texts.append(sentence(rng, 20) + p + sentence(rng, 25))
+        for step in (24, 17, 12):
+            copy = [f"z{rng.randrange(10**6)}" if i % step == step - 1 else w for i, w in enumerate(p)]
+            hidden.append((len(texts), 20, 20 + len(copy)))
+            texts.append(sentence(rng, 20) + copy + sentence(rng, 25))
+    texts += [sentence(rng, 40) + hot + sentence(rng, 40) for _ in range(30)]
+    texts = [" ".join(w) for w in texts]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def covered(out):
+        return {r.doc_id: {k for p in r.passages for k in range(p.start, p.end)} for r in out}
+
+    def missed(cut):
+        return [(d, s, a, b) for d, s, a, b, seeds in all_passages(texts) if any(not set(range(x, x + passage_dedup.K)) <= cut[d] for x in seeds)]
+
+    out = passage_dedup.search(rows, block_bytes=block_bytes).collect()
+    first = covered(passage_dedup.find(rows).collect())
+    cut = covered(out)
+    print("passages missed by first holders and by all", len(missed(first)), len(missed(cut)), "hidden", sum(not first[d] for d, _, _ in hidden))
+    assert missed(first) and not missed(cut)
+    assert all(first[d] <= cut[d] for d in cut)
+    for r in out:
+        for p in r.passages:
+            mine, other = texts[r.doc_id].split()[p.start : p.end], texts[p.source].split()[p.source_start : p.source_end]
+            assert p.source < r.doc_id and len(mine) >= 50 and common_words(mine, other) >= p.agreeing >= 0.8 * max(len(mine), len(other))
+
+
+def test_search_in_odd_cases(spark):
+    rng = random.Random(6)
+    passage = " ".join(sentence(rng, 70))
+    docs = [(1, passage), (2, passage), (2, passage), (2, "other " + passage), (3, None), (4, ""), (None, passage), (6, " ".join(sentence(rng, 20)) + " " + passage)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").withColumn("mark", F.lit("x"))
+    out = passage_dedup.search(rows)
+    assert out.columns == ["doc_id", "text", "mark", "cleaned", "passages"]
+    got = sorted(((r.doc_id, r.text, r.cleaned, r.mark) for r in out.collect()), key=str)
+    cut = {2: lambda t: "" if t == passage else "other ", 6: lambda t: t[: -len(passage)]}
+    assert got == sorted(((d, t, cut[d](t) if d in cut else t, "x") for d, t in docs), key=str)
+    assert passage_dedup.search(rows.limit(0)).count() == 0
+
+
 # ---- language model -----------------------------------------------------------------------------
 
 
