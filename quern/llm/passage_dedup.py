@@ -20,13 +20,17 @@
    (equal words between its seeds, edits in the gaps, and an extension at both ends that stops where
    edits outweigh matches), and kept if it has ``min_words`` words of which ``identity`` agree. So a
    passage is found if two of its seeds are intact, whatever share of it they span.
+6. All holders. Two different seeds within reach that earlier documents hold, one of them not wholly cut by
+   then, ask for all their holders. Texts with the same pairs are compared in blocks of bounded size; those that
+   bounds on equal words leave are chained and aligned as above. So first holders can't hide another. A pair
+   that a holder repeats is compared where it has it first; a document that an earlier one holds as a whole is left to that.
 
 Fuzziness. ``identity`` bounds what is accepted. A passage with edits has two intact seeds with a chance
 that falls with the rate of edits; README has the recall at several rates.
 
 The texts are dealt to buckets once; the exchange of that is used again by all steps.
 
-``find`` returns the rows with ``cleaned``, the text without its passages that an earlier document
+``search`` (``find``: without step 6) returns the rows with ``cleaned``, the text without its passages that an earlier document
 holds, and ``passages``. Results in odd cases: null text stays null and gives no passages; rows with
 a null id are left alone; rows that repeat an id are one document, whose texts aren't compared with
 each other; a passage that repeats within one document only is left; an empty table gives no rows.
@@ -669,11 +673,8 @@ def _pair_keys(key: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return wordhash.mix(key[i] * np.uint64(0xD6E8FEB86659FD93) + wordhash.mix(key[j])).view(np.int64)
 
 
-_PAIRS = "pair long, bucket int, doc long, mark long, asks boolean, bytes long"
-
-
-def _pairs(table: pa.Table, replies: pa.Table) -> pa.Table:
-    """From ``_HELD`` rows and the last documents that ask for each seed to pairs of seeds, once a text, of those that ask and of earlier holders."""
+def _pairs(table: pa.Table, replies: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """From ``_HELD`` rows and the last documents that ask for each seed to pairs of seeds, once a text, of those that ask and of earlier holders: pair, row, whether it asks."""
     row, place, key, state, asks = _seed_table(table)
     doc = table.column("doc").to_numpy()
     distinct = np.unique(key)
@@ -689,36 +690,53 @@ def _pairs(table: pa.Table, replies: pa.Table) -> pa.Table:
         of.append(row[i[use]])
         either.append(ask[use])
     pairs, rows, ask = np.concatenate(pair), np.concatenate(of), np.concatenate(either)
-    order = np.lexsort((pairs, rows))
+    order = np.lexsort((rows, pairs.view(np.uint64)))
     pairs, rows, ask = pairs[order], rows[order], ask[order]
     first = np.flatnonzero(np.concatenate(([True], (rows[1:] != rows[:-1]) | (pairs[1:] != pairs[:-1])))) if len(rows) else np.empty(0, np.int64)
-    pairs, rows, ask = pairs[first], rows[first], np.logical_or.reduceat(ask, first) if len(first) else ask
-    size = table.column("size").fill_null(0).to_numpy() * 4
-    bucket = table.column("bucket")[0].as_py() if table.num_rows else 0
-    return pa.table({"pair": pairs, "bucket": pa.array([bucket] * len(pairs), pa.int32()), "doc": doc[rows], "mark": table.column("mark").to_numpy()[rows], "asks": ask, "bytes": size[rows]})
+    return pairs[first], rows[first], np.logical_or.reduceat(ask, first) if len(first) else ask
 
 
-def _groups(pairs: DataFrame, block_bytes: int) -> DataFrame:
-    """(bucket, mark, group, blocks, pairs): which texts are compared with each other, and around which pairs of seeds.
+def pooled(values: np.ndarray, place: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The merge for what is known of a pair's texts: the last that asks, the least, their hash, number and bytes."""
+    values = values[:, np.argsort(place, kind="stable")]
+    return np.stack([how.reduceat(v, starts) for how, v in zip((np.maximum, np.minimum, np.bitwise_xor, np.add, np.add), values, strict=True)])
 
-    Pairs of seeds that the same texts hold make one group.
-    """
-    sums = pairs.groupBy("pair").agg(F.max(F.when(F.col("asks"), F.col("doc"))).alias("last"), F.min("doc").alias("least"), F.bit_xor(F.xxhash64("mark")).alias("texts"), F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("total"))
-    wanted = sums.where("last > least").select("pair", "last", F.struct("texts", "n").alias("group"), F.ceil(F.col("total") / block_bytes).cast("int").alias("blocks"))
-    return pairs.join(wanted, "pair").where("asks OR doc < last").groupBy("bucket", "mark", "group", "blocks").agg(F.collect_list("pair").alias("pairs"))
+
+def _asked_pairs(table: pa.Table, replies: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs of ``_pairs``, and for ``pooled`` what the bucket knows of each."""
+    pairs, rows, ask = _pairs(table, replies)
+    if not len(pairs):
+        return np.empty(0, np.uint64), np.empty((5, 0), np.int64)
+    doc, mark = table.column("doc").to_numpy()[rows], table.column("mark").to_numpy()[rows]
+    starts = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1])))
+    values = np.stack((np.where(ask, doc, _NONE), doc, wordhash.mix(mark.view(np.uint64)).view(np.int64), np.ones(len(doc), np.int64), table.column("size").fill_null(0).to_numpy()[rows] * 4))
+    return pairs[starts].view(np.uint64), pooled(values, np.repeat(np.arange(len(starts)), np.diff(np.concatenate((starts, [len(pairs)])))), starts)
 
 
 _MEMBER = "bucket int, doc long, mark long, held binary, places binary, open binary, groups array<struct<texts long, n long, blocks int, pairs array<bigint>>>"
 
 
-def _members(table: pa.Table, groups: pa.Table) -> pa.Table:
-    """The ``_HELD`` rows of texts that are in groups, with these."""
-    of: dict[int, list[dict]] = {}
-    for mark, group, blocks, pairs in zip(*(groups.column(c).to_pylist() for c in ("mark", "group", "blocks", "pairs")), strict=True):
-        of.setdefault(mark, []).append({**group, "blocks": blocks, "pairs": sorted(pairs)})
-    held = table.filter(pc.and_(pc.is_valid(table.column("held")), pc.is_in(table.column("mark"), pa.array(list(of), pa.int64()))))
+def _members(block_bytes: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """From ``_HELD`` rows and the answers to both questions to the texts that are compared with others, and in which groups.
+
+    Pairs of seeds that the same texts hold make one group.
+    """
     kind = pa.list_(pa.struct([("texts", pa.int64()), ("n", pa.int64()), ("blocks", pa.int32()), ("pairs", pa.list_(pa.int64()))]))
-    return held.select(["bucket", "doc", "mark", "held", "places", "open"]).append_column("groups", pa.array([of[m] for m in held.column("mark").to_pylist()], kind))
+
+    def run(table: pa.Table, both: pa.Table) -> pa.Table:
+        pairs, rows, ask = _pairs(table, both.filter(both.column("seeds")))
+        distinct = np.unique(pairs.view(np.uint64))
+        of: dict[int, dict[tuple[int, int, int], list[int]]] = {}
+        if len(pairs):
+            last, least, texts, n, total = exchange.received(both.filter(pc.invert(both.column("seeds"))), len(distinct))[:, np.searchsorted(distinct, pairs.view(np.uint64))]
+            use = (last > least) & (ask | (table.column("doc").to_numpy()[rows] < last))
+            for i, pair, *group in zip(*(x[use].tolist() for x in (rows, pairs, texts, n, -(-total // block_bytes))), strict=True):
+                of.setdefault(i, {}).setdefault(tuple(group), []).append(pair)
+        at = sorted(of)
+        groups = [[{"texts": g[0], "n": g[1], "blocks": g[2], "pairs": sorted(held)} for g, held in of[i].items()] for i in at]
+        return table.select(["bucket", "doc", "mark", "held", "places", "open"]).take(pa.array(at, pa.int64())).append_column("groups", pa.array(groups, kind))
+
+    return run
 
 
 _BLOCK = "texts long, n long, a int, b int, own int, bucket int, doc long, mark long, pairs binary, held binary, places binary, open binary, words binary, start int"
@@ -816,8 +834,8 @@ def _compared(min_words: int, identity: float) -> Callable[[pa.Table], pa.Table]
             pair = _pair_keys(key, i, j)
             use = np.flatnonzero(pairs[np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)] == pair)
             i, j = i[use], j[use]
-            some.append(np.column_stack((pair[use], row[i], place[i], place[j], _asking(state, i, j))))
-        at = np.concatenate(some)
+            some.append((pair[use], row[i], place[i], place[j], _asking(state, i, j)))
+        at = np.column_stack([np.concatenate(c) for c in zip(*some, strict=True)])
         asking = at[at[:, 4] > 0]
         asking = asking[np.lexsort((asking[:, 3], asking[:, 2], asking[:, 1]))]
         # in other documents a pair is where it is first
@@ -831,28 +849,82 @@ def _compared(min_words: int, identity: float) -> Callable[[pa.Table], pa.Table]
         order = np.lexsort((seed_row, seed_key))
         seed_key, seed_row = seed_key[order], seed_row[order]
         out = []
-        near_words: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-
-        def likely(mine: np.ndarray, p: int, p2: int, pair: int, f: int, t: int) -> np.ndarray:
-            """Of the spots of a pair those with an equal word among the eight next on either side: without one an extension gains nothing."""
-            if pair not in near_words:
-                j, q, q2 = at[f:t, 1], at[f:t, 2], at[f:t, 3]
-                near_words[pair] = []
-                for first, sign, length in ((base[j] + q2 + K, 1, size[j] - q2 - K), (base[j] + q - 1, -1, q)):
-                    inside = np.arange(8) < length[:, None]
-                    words = flat[np.where(inside, first[:, None] + sign * np.arange(8), 0)][inside]
-                    order = np.argsort(words, kind="stable")
-                    near_words[pair].append((words[order], np.nonzero(inside)[0][order]))
-            found = [np.empty(0, np.int64)]
-            for (words, spot), own in zip(near_words[pair], (mine[p2 + K : p2 + K + 8], mine[max(0, p - 8) : p]), strict=True):
-                own = np.unique(own).astype(np.int64)
-                found += [spot[x:y] for x, y in zip(np.searchsorted(words, own, "left"), np.searchsorted(words, own, "right"), strict=True)]
-            return np.unique(np.concatenate(found))
+        sides: dict[int, list[tuple]] = {}
+        kinds: dict[int, tuple] = {}
+        firsts: dict[int, tuple] = {}
+
+        def run_of(own: np.ndarray, other: np.ndarray) -> int:
+            n = min(len(own), len(other))
+            differ = np.flatnonzero(own[:n] != other[:n])
+            return int(differ[0]) if len(differ) else n
+
+        def side(first: np.ndarray, sign: int, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict]:
+            """The words beside one of many spots; how many of them each has; and by that number the next eight words of each."""
+            length, best, runs = np.clip(length, 0, MARGIN), np.empty(0, np.int64), np.full(len(first), -1)
+            for one in {0, len(first) // 3, len(first) // 2, len(first) - 1}:
+                words = flat[first[one] + sign * np.arange(length[one])]
+                run, alive = np.zeros(len(first), np.int64), np.arange(len(first))
+                for k in range(len(words)):
+                    alive = alive[length[alive] > k]
+                    alive = alive[flat[first[alive] + sign * k] == words[k]]
+                    run[alive] += 1
+                if np.sort(run)[len(run) // 4 :].clip(max=20).sum() > np.sort(runs)[len(run) // 4 :].clip(max=20).sum():
+                    best, runs = words, run
+            following = {}
+            for n in np.unique(runs).tolist():
+                spot = np.flatnonzero(runs == n)
+                inside = n + np.arange(8) < length[spot][:, None]
+                words = flat[np.where(inside, first[spot][:, None] + sign * (n + np.arange(8)), 0)][inside]
+                order = np.argsort(words, kind="stable")
+                following[n] = spot, words[order], spot[np.nonzero(inside)[0]][order]
+            return best, runs, following
+
+        def likely(mine: np.ndarray, p: int, p2: int, pair: int, some: np.ndarray) -> np.ndarray:
+            """Which spots of a pair can make enough words: where the texts differ, an extension goes on if one of the eight next words is equal."""
+            if pair not in sides:
+                j, q, q2 = some[:, 1], some[:, 2], some[:, 3]
+                sides[pair] = [side(base[j] + q2 + K, 1, size[j] - q2 - K), side(base[j] + q - 1, -1, q)]
+            total, found = np.full(len(some), p2 + K - p), np.zeros(len(some), bool)
+            for (words, runs, following), own in zip(sides[pair], (mine[p2 + K : p2 + K + MARGIN], mine[max(0, p - MARGIN) : p][::-1]), strict=True):
+                own = own.astype(np.int64)
+                mutual = run_of(own, words)
+                total += runs
+                for n, (spot, next_words, of) in following.items():
+                    if n > mutual:
+                        found[spot] = True
+                        continue
+                    wanted = np.unique(own[n : n + 8])
+                    for x, y in zip(np.searchsorted(next_words, wanted, "left").tolist(), np.searchsorted(next_words, wanted, "right").tolist(), strict=True):
+                        found[of[x:y]] = True
+            return found | (total >= min_words)
+
+        def words_in(k: int) -> tuple:
+            if k not in kinds:
+                two = texts[k].astype(np.uint64)
+                kinds[k] = np.unique(texts[k]), np.unique(two[:-1] << np.uint64(32) | two[1:])
+            return kinds[k]
+
+        def spots_in(k: int) -> tuple[np.ndarray, np.ndarray]:
+            if k not in firsts:
+                one = _first_spots(keys[k], places[k])
+                firsts[k] = keys[k][one], places[k][one]
+            return firsts[k]
+
+        def possible(mine: np.ndarray, pairs_of: np.ndarray, k: int) -> bool:
+            """Whether two texts have as many words, and pairs of words, in common as a passage has."""
+            words, two = words_in(k)
+            if (words[np.minimum(np.searchsorted(words, mine), len(words) - 1)] == mine).sum() < identity * min_words:
+                return False
+            # of n words (1 - identity) * n on each side may differ, and each of these part two runs of equal ones
+            least = (3 * identity - 2) * min_words - 1
+            return least <= 0 or len(two) > 0 and (two[np.minimum(np.searchsorted(two, pairs_of), len(two) - 1)] == pairs_of).sum() >= least - 1e-9
 
         for r in np.flatnonzero(np.diff(edges)).tolist():
             mine, hits = texts[r], None
+            pairs_of = mine[:-1].astype(np.uint64) << np.uint64(32) | mine[1:]
             covered: list[tuple[int, int]] = []
             # later documents, those of other blocks, and those that were aligned with this one
+            weighed = np.zeros(len(doc), bool)
             done = (doc >= doc[r]) | ((a != b) & (own == own[r]))
             low, high, their_low, their_high = (np.full(len(doc), v) for v in (1 << 40, -1, 1 << 40, -1))
             open_at = np.sort(places[r][left[r]]).astype(np.int64)
@@ -863,6 +935,9 @@ def _compared(min_words: int, identity: float) -> Callable[[pa.Table], pa.Table]
 
             for pair, _, p, p2, _ in asking[edges[r] : edges[r + 1]].tolist():
                 f, t = slices[pair]
+                if t - f <= 30:
+                    for k in at[f:t, 1][~done[at[f:t, 1]] & ~weighed[at[f:t, 1]]].tolist():
+                        weighed[k], done[k] = True, not possible(mine, pairs_of, k)
                 if done[at[f:t, 1]].all() or (settled(p) and settled(p2)):
                     continue
                 if hits is None:
@@ -873,12 +948,10 @@ def _compared(min_words: int, identity: float) -> Callable[[pa.Table], pa.Table]
                 edge = np.searchsorted(hits[1], (p - MARGIN - reach - K, p, p2 + 1, p2 + K + MARGIN + reach + 1))
                 row, x = (np.concatenate((c[edge[0] : edge[1]], c[edge[2] : edge[3]])) for c in hits)
                 some = at[f:t]
-                if p2 + K - p < min_words:
+                if p2 + K - p < min_words and len(some) > 30:
                     about = np.zeros(len(doc), bool)
                     about[row] = True
-                    maybe = about[some[:, 1]]
-                    maybe[likely(mine, p, p2, pair, f, t)] = True
-                    some = some[maybe]
+                    some = some[likely(mine, p, p2, pair, some) | about[some[:, 1]]]
                 j, q, q2 = some[:, 1], some[:, 2], some[:, 3]
                 use = ~done[j] & ~((low[j] <= p) & (p2 + K <= high[j]) & (their_low[j] <= q) & (q2 + K <= their_high[j]))
                 j, q, q2 = j[use], q[use], q2[use]
@@ -897,7 +970,9 @@ def _compared(min_words: int, identity: float) -> Callable[[pa.Table], pa.Table]
                     if settled(p) and settled(p2):
                         break
                     done[k] = True
-                    for passage in _passages_of(mine, keys[r], places[r], texts[k], keys[k], places[k], min_words, identity):
+                    if t - f > 30 and not possible(mine, pairs_of, k):
+                        continue
+                    for passage in _passages_of(mine, keys[r], places[r], texts[k], *spots_in(k), min_words, identity):
                         lone = open_at[(open_at < passage[1]) & (open_at + K > passage[0])].tolist()
                         if all(settled(y) for y in lone) or any(u <= passage[0] and passage[1] <= v for u, v in covered):
                             continue
@@ -912,18 +987,17 @@ def _compared(min_words: int, identity: float) -> Callable[[pa.Table], pa.Table]
 
 def _first_spots(keys: np.ndarray, places: np.ndarray) -> np.ndarray:
     """The seeds of a text that are in the first spot of one of their pairs."""
-    row, found = np.zeros(len(keys), np.int64), [np.empty((0, 4), np.int64)]
+    row, found = np.zeros(len(keys), np.int64), []
     for i, j in _reached(places.astype(np.int64), row, keys):
-        found.append(np.column_stack((_pair_keys(keys, i, j), places[i], i, j)))
-    spots = np.concatenate(found)
+        found.append((_pair_keys(keys, i, j), places[i], i, j))
+    spots = np.column_stack([np.concatenate(c) for c in zip(*found, strict=True)]) if found else np.empty((0, 4), np.int64)
     spots = spots[np.lexsort((spots[:, 3], spots[:, 1], spots[:, 0]))]
     return np.unique(spots[np.concatenate(([True], spots[1:, 0] != spots[:-1, 0]))[: len(spots)], 2:])
 
 
 def _passages_of(own: np.ndarray, keys: np.ndarray, places: np.ndarray, other: np.ndarray, other_keys: np.ndarray, other_places: np.ndarray, min_words: int, identity: float) -> list[tuple[int, int, int, int, int]]:
-    """The passages of a text with another, by all seeds that both hold, where the other has a pair of them first."""
+    """The passages of a text with another, by all seeds that both hold."""
     both = np.flatnonzero(np.isin(other_keys, keys))
-    both = both[_first_spots(other_keys[both], other_places[both])]
     both = both[np.argsort(other_keys[both], kind="stable")]
     sorted_keys = other_keys[both]
     low, high = np.searchsorted(sorted_keys, keys, "left"), np.searchsorted(sorted_keys, keys, "right")
@@ -949,8 +1023,10 @@ def search(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words:
     ask = exchange.asking(plan.n, _asked_open, plan.bits)
     requests = _by(held).applyInArrow(lambda table: ask(table.sort_by([("doc", "ascending"), ("mark", "ascending")])), exchange.REQUEST)
     replies = exchange.answered(requests, plan.n, greatest, plan.bits)
-    pairs = _by(held).cogroup(_by(replies)).applyInArrow(lambda table, more: _pairs(table, more), _PAIRS)
-    members = _by(held).cogroup(_by(_groups(pairs, block_bytes))).applyInArrow(_members, _MEMBER)
+    ask_pairs = exchange.asking(plan.n, _asked_pairs)
+    pairs = exchange.answered(_by(held).cogroup(_by(replies)).applyInArrow(lambda table, more: ask_pairs(table, more), exchange.REQUEST), plan.n, pooled)
+    both = replies.withColumn("seeds", F.lit(True)).unionByName(pairs.withColumn("seeds", F.lit(False)))
+    members = _by(held).cogroup(_by(both)).applyInArrow(_members(block_bytes), _MEMBER)
     blocks = _by(plan.dealt).cogroup(_by(members)).applyInArrow(_into_blocks, _BLOCK)
     more = blocks.groupBy(F.struct("texts", "n", "a", "b")).applyInArrow(_compared(min_words, identity), _HELD.split(", held")[0])
     first = _by(held).applyInArrow(lambda table: table.select(["bucket", "doc", "mark", "passages"]), _HELD.split(", held")[0])
