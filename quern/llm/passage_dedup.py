@@ -176,7 +176,7 @@ def _chained(parts: list[Part], known: np.ndarray, ids: np.ndarray, distinct: np
 
 
 def _shared(table: pa.Table, parts: list[Part], known: np.ndarray, ids: np.ndarray, distinct: np.ndarray, first: np.ndarray, whole: set[int]) -> list[tuple]:
-    """Of each text the seeds that several documents hold, if two are within reach and one is held earlier; but for texts that an earlier document holds as a whole.
+    """Of each text the seeds that several documents hold, if two are within reach; but for texts that an earlier document holds as a whole.
 
     Places are doubled, and one more where an earlier document holds the seed; differences travel.
     """
@@ -189,7 +189,7 @@ def _shared(table: pa.Table, parts: list[Part], known: np.ndarray, ids: np.ndarr
         edges = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1], [True]))) if len(row) else np.zeros(1, np.int64)
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             i = int(row[a]) + base
-            if b - a >= LEAST_SEEDS and i not in whole and (source[a:b] < ids[i]).any() and (np.diff(place[a:b]) <= MOST_GAP + K).any():
+            if b - a >= LEAST_SEEDS and i not in whole and (np.diff(place[a:b]) <= MOST_GAP + K).any():
                 doc, mark = int(ids[i]), marks[i].as_py()
                 rows[doc, mark] = doc, bucket, None, exchange.packed(np.diff(place[a:b] * 2 + (source[a:b] < doc), prepend=0).astype(np.int32)), mark, exchange.packed(key[a:b])
     return list(rows.values())
@@ -684,8 +684,7 @@ def _pairs(table: pa.Table, replies: pa.Table) -> tuple[np.ndarray, np.ndarray,
     pair, of, either = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, bool)]
     for i, j in _reached(place, row, key):
         ask = _asking(state, i, j)
-        # whoever holds both first has been compared with all others in step 3
-        use = ask | ((doc[row[i]] < np.minimum(last[i], last[j])) & (((state[i] | state[j]) & 2) > 0))
+        use = ask | (doc[row[i]] < np.minimum(last[i], last[j]))
         pair.append(_pair_keys(key, i[use], j[use]))
         of.append(row[i[use]])
         either.append(ask[use])
@@ -973,8 +972,7 @@ def _compared(min_words: int, identity: float) -> Callable[[pa.Table], pa.Table]
                     if t - f > 30 and not possible(mine, pairs_of, k):
                         continue
                     for passage in _passages_of(mine, keys[r], places[r], texts[k], *spots_in(k), min_words, identity):
-                        lone = open_at[(open_at < passage[1]) & (open_at + K > passage[0])].tolist()
-                        if all(settled(y) for y in lone) or any(u <= passage[0] and passage[1] <= v for u, v in covered):
+                        if any(u <= passage[0] and passage[1] <= v for u, v in covered):
                             continue
                         covered = _merged([*covered, passage[:2]])
                         move = (int(shift[r]), int(shift[r]), int(shift[k]), int(shift[k]), 0)
