@@ -44,6 +44,7 @@ import re
 from bisect import bisect_left
 from collections import deque
 from collections.abc import Callable, Iterator
+from operator import lt
 
 import numpy as np
 import pyarrow as pa
@@ -69,6 +70,7 @@ MARGIN = 100
 BLOCK_BYTES = 2_000_000
 #: Of a part of a bucket: its first row, words, their rows, where rows start, places and keys of seeds, the seed of each window.
 Part = tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+_PIECE = 1 << 14
 _WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 
 
@@ -93,12 +95,18 @@ def _sampled(words: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndar
     of_window = np.empty(0, np.int64)
     if n < 1:
         return np.empty(0, np.int64), np.empty(0, np.uint64), of_window
-    h = np.full(n, K, np.uint64)
-    for k in range(K):
-        h = wordhash.mix(h * np.uint64(0xD6E8FEB86659FD93) + words[k : k + n])
+    h = np.empty(n, np.uint64)
+    for a in range(0, n, _PIECE):  # pieces that stay in a core's cache
+        b = min(n, a + _PIECE)
+        x = np.full(b - a, K, np.uint64)
+        for k in range(K):
+            x *= np.uint64(0xD6E8FEB86659FD93)
+            x += words[a + k : b + k]
+            x = wordhash.mix(x)
+        h[a:b] = x
     inside = owners[:n] == owners[K - 1 :]
     if n >= WINDOW:
-        least = _least(h)
+        least = np.concatenate([a + _least(h[a : a + _PIECE + WINDOW - 1]) for a in range(0, n - WINDOW + 1, _PIECE)])
         whole = inside[: n - WINDOW + 1] & (owners[: n - WINDOW + 1] == owners[WINDOW + K - 2 :])
         chosen = np.zeros(n, bool)
         chosen[least[whole]] = True
@@ -153,13 +161,12 @@ def _asked_seeds(table: pa.Table, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return _first_in_bucket(table, found)
 
 
-def _chained(parts: list[Part], known: np.ndarray, ids: np.ndarray, distinct: np.ndarray, first: np.ndarray) -> list[tuple]:
+def _chained(parts: list[Part], known: np.ndarray, ids: np.ndarray, found: list[np.ndarray], distinct: np.ndarray, first: np.ndarray) -> list[tuple]:
     """From a bucket and the first holders of its distinct seeds to the chains of each document with each of those."""
     rows: list[tuple] = []
-    for base, _, owners, start, at, key, _ in parts if len(distinct) else ():
+    for (base, _, owners, start, at, key, _), where in zip(parts, found, strict=True) if len(distinct) else ():
         row = owners[at]
         # a seed of rows without id only was not asked for
-        where = np.minimum(np.searchsorted(distinct, key), len(distinct) - 1)
         source, flagged, bucket = first[:, where]
         hit = np.flatnonzero((distinct[where] == key) & (flagged & 1 > 0) & known[row + base] & (source < ids[row + base]))
         row, place, source, other, bucket = row[hit], (at - start[row])[hit], source[hit], flagged[hit] >> 1, bucket[hit]
@@ -175,15 +182,14 @@ def _chained(parts: list[Part], known: np.ndarray, ids: np.ndarray, distinct: np
     return rows
 
 
-def _shared(table: pa.Table, parts: list[Part], known: np.ndarray, ids: np.ndarray, distinct: np.ndarray, first: np.ndarray, whole: set[int]) -> list[tuple]:
+def _shared(table: pa.Table, parts: list[Part], known: np.ndarray, ids: np.ndarray, found: list[np.ndarray], distinct: np.ndarray, first: np.ndarray, whole: set[int]) -> list[tuple]:
     """Of each text the seeds that several documents hold, if two are within reach; but for texts that an earlier document holds as a whole.
 
     Places are doubled, and one more where an earlier document holds the seed; differences travel.
     """
     rows: dict[tuple[int, int], tuple] = {}
     marks, bucket = table.column("mark"), table.column("bucket")[0].as_py() if table.num_rows else 0
-    for base, _, owners, start, at, key, _ in parts if len(distinct) else ():
-        where = np.minimum(np.searchsorted(distinct, key), len(distinct) - 1)
+    for (base, _, owners, start, at, key, _), where in zip(parts, found, strict=True) if len(distinct) else ():
         hit = np.flatnonzero((distinct[where] == key) & (first[1][where] & 1 > 0) & known[owners[at] + base])
         row, place, key, source = owners[at[hit]], at[hit] - start[owners[at[hit]]], key[hit], first[0][where[hit]]
         edges = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1], [True]))) if len(row) else np.zeros(1, np.int64)
@@ -234,28 +240,30 @@ def _sampled_parts(table: pa.Table, bits: int) -> list[Part]:
     return parts
 
 
-def _distinct_seeds(parts: list[Part], known: np.ndarray) -> np.ndarray:
-    return np.unique(np.concatenate([key[known[owners[at] + base]] for base, _, owners, _, at, key, _ in parts])) if parts else np.empty(0, np.uint64)
+def _distinct_seeds(parts: list[Part], known: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The distinct seeds of rows with an id, and part by part each seed's place among them; that of another, if it isn't one."""
+    distinct = exchange.summed(np.concatenate([key[known[owners[at] + base]] for base, _, owners, _, at, key, _ in parts]))[0] if parts else np.empty(0, np.uint64)
+    return distinct, [np.minimum(np.searchsorted(distinct, key), max(0, len(distinct) - 1)) for *_, key, _ in parts]
 
 
-def _held_windows(parts: list[Part], known: np.ndarray, distinct: np.ndarray, first: np.ndarray, size: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def _held_windows(parts: list[Part], known: np.ndarray, found: list[np.ndarray], distinct: np.ndarray, first: np.ndarray, size: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Part by part the windows that others may hold too, those without a seed of its own: places and keys.
 
     That depends on a window's words alone, so windows that are equal are all here or none.
     """
     several = first[1] & 1 if len(distinct) else np.zeros(1, np.int64)
-    found = []
-    for base, words, owners, _, at, key, of_window in parts:
+    windows = []
+    for (base, words, owners, _, at, _, of_window), where in zip(parts, found, strict=True):
         alone = np.zeros(len(words) + 1, bool)
-        alone[at[several[np.minimum(np.searchsorted(distinct, key), len(several) - 1)] == 0]] = True
+        alone[at[several[where] == 0]] = True
         places = _windows_of(words, owners, size)
         inner = size - (K + WINDOW - 1) + 1
         if inner > 0 and len(places):
             bad = np.concatenate(([0], np.cumsum(alone[of_window])))  # -1 is the last, never alone
             places = places[bad[places + inner] == bad[places]]
         places = places[known[owners[places] + base]]
-        found.append((places, _window_keys(words, size, places)))
-    return found
+        windows.append((places, _window_keys(words, size, places)))
+    return windows
 
 
 def _asked_windows(size: int, bits: int) -> Callable[[pa.Table, pa.Table], tuple[np.ndarray, np.ndarray]]:
@@ -264,8 +272,8 @@ def _asked_windows(size: int, bits: int) -> Callable[[pa.Table, pa.Table], tuple
     def run(table: pa.Table, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         known, ids = _ids(table)
         parts = _sampled_parts(table, bits)
-        distinct = _distinct_seeds(parts, known)
-        windows = _held_windows(parts, known, distinct, exchange.received(answers, len(distinct)), size)
+        distinct, found = _distinct_seeds(parts, known)
+        windows = _held_windows(parts, known, found, distinct, exchange.received(answers, len(distinct)), size)
         return _first_in_bucket(table, [(key, ids[owners[at] + base], at - start[owners[at]]) for (base, _, owners, start, *_), (at, key) in zip(parts, windows, strict=True)])
 
     return run
@@ -280,11 +288,11 @@ def _chains(size: int, bits: int, shared: bool = False) -> Callable[[pa.Table, p
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         known, ids = _ids(table)
         parts = _sampled_parts(table, bits)
-        distinct = _distinct_seeds(parts, known)
+        distinct, where_in = _distinct_seeds(parts, known)
         first = exchange.received(answers.filter(answers.column("seeds")), len(distinct))
-        fuzzy = _chained(parts, known, ids, distinct, first)
-        windows = _held_windows(parts, known, distinct, first, size)
-        keys = np.unique(np.concatenate([key for _, key in windows])) if windows else np.empty(0, np.uint64)
+        fuzzy = _chained(parts, known, ids, where_in, distinct, first)
+        windows = _held_windows(parts, known, where_in, distinct, first, size)
+        keys = exchange.summed(np.concatenate([key for _, key in windows]))[0] if windows else np.empty(0, np.uint64)
         found: list[tuple] = []
         whole: set[int] = set()
         of_seeds = first
@@ -312,7 +320,7 @@ def _chains(size: int, bits: int, shared: bool = False) -> Callable[[pa.Table, p
                     found += taken
                     size_of = np.bincount(owners)
                     whole.update(x[0] + base for x in taken if x[1] == 0 and x[2] == size_of[x[0]])
-        held = _shared(table, parts, known, ids, distinct, of_seeds, whole) if shared else []
+        held = _shared(table, parts, known, ids, where_in, distinct, of_seeds, whole) if shared else []
         exact = [(doc, bucket, source, np.array([(a, p), (b - K, p + b - a - K)], np.int32).tobytes()) for _, a, b, doc, source, p, bucket in found]
         return pa.concat_tables([_chain_rows(table, fuzzy, False), _chain_rows(table, exact, True), _chain_rows(table, held, None)])
 
@@ -327,13 +335,23 @@ def chain(place: list[int], source: list[int]) -> list[list[int]]:
     n, reach = len(place), MOST_GAP + K
     if n == 1:
         return [[0]]
+    score, back = [0.0] * n, [-1] * n
+    if all(map(lt, place, place[1:])) and all(map(lt, source, source[1:])):
+        # each match follows the last: no earlier one is nearer on either side, nor scores more
+        score[0] = K
+        for i in range(1, n):
+            score[i] = K
+            if place[i] - place[i - 1] <= reach and source[i] - source[i - 1] <= reach:
+                gained = score[i - 1] + GAP_COST * (place[i - 1] + source[i - 1]) - GAP_COST * (place[i] + source[i])
+                if gained > 0:
+                    score[i], back[i] = K + gained, i - 1
+        return _apart(score, back)
     ordered = sorted(set(source))
     ranks = {s: i + 1 for i, s in enumerate(ordered)}
     size, none = len(ordered), (float("-inf"), -1)
     # Fenwick tree for maxima of (score + GAP_COST * (place + source), index) over the matches within reach;
     # live has those of each source place that no later one surpasses, the oldest and best first
     tree, live = [none] * (size + 1), [deque() for _ in range(size + 1)]
-    score, back = [0.0] * n, [-1] * n
     at = oldest = 0
     while at < n:
         stop = at
@@ -376,8 +394,13 @@ def chain(place: list[int], source: list[int]) -> list[list[int]]:
                 tree[r] = max(tree[r], value)
                 r += r & -r
         at = stop
-    used, found = [False] * n, []
-    for i in sorted(range(n), key=lambda x: -score[x]):
+    return _apart(score, back)
+
+
+def _apart(score: list[float], back: list[int]) -> list[list[int]]:
+    """Chains without a match in common, from the best score and each match's predecessor."""
+    used, found = [False] * len(score), []
+    for i in sorted(range(len(score)), key=lambda x: -score[x]):
         if used[i]:
             continue
         one = []
@@ -419,6 +442,14 @@ def _fetched(table: pa.Table, wanted: pa.Table) -> pa.Table:
 
 
 def _edit_distance(a: list[int], b: list[int]) -> int:
+    f, t, u = 0, len(a), len(b)
+    while f < t and f < u and a[f] == b[f]:
+        f += 1
+    while t > f and u > f and a[t - 1] == b[u - 1]:
+        t, u = t - 1, u - 1
+    a, b = a[f:t], b[f:u]
+    if len(a) < 2 or len(b) < 2 or set(a).isdisjoint(b):
+        return max(len(a), len(b)) - (min(len(a), len(b)) == 1 and not set(a).isdisjoint(b))
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         last, row[0] = row[0], i
@@ -427,49 +458,63 @@ def _edit_distance(a: list[int], b: list[int]) -> int:
     return row[-1]
 
 
+_STEPS = ((1, 1), (1, 0), (0, 1), (2, 0), (0, 2), (2, 2), (3, 0), (0, 3))
+
+
 def _extend(a: list[int], b: list[int]) -> tuple[int, int, int]:
     """How far two sequences agree from their starts: lengths on both sides and equal words there.
 
     An edit costs two equal words; the extension ends where the best sum was reached. Words may be
     replaced, or up to three of them missing on one side.
     """
-    i = j = equal = 0
-    value, best = 0, (0, 0, 0, 0)
-    while i < len(a) and j < len(b) and value > best[0] - 8:
+    i = j = equal = value = most = 0
+    best, size, other_size = (0, 0, 0), len(a), len(b)
+    while i < size and j < other_size and value > most - 8:
         if a[i] == b[j]:
             i, j, equal, value = i + 1, j + 1, equal + 1, value + 1
-            if value > best[0]:
-                best = value, i, j, equal
+            if value > most:
+                most, best = value, (i, j, equal)
             continue
-        for di, dj in ((1, 1), (1, 0), (0, 1), (2, 0), (0, 2), (2, 2), (3, 0), (0, 3)):
-            x, y = a[i + di : i + di + 2], b[j + dj : j + dj + 2]
-            if x and x == y:
+        for di, dj in _STEPS:
+            x, y = i + di, j + dj
+            if x < size and y < other_size and a[x] == b[y] and a[x + 1 : x + 2] == b[y + 1 : y + 2]:
                 break
         else:
             di = dj = 1
         i, j, value = i + di, j + dj, value - 2 * max(di, dj)
-    return best[1:]
+    return best
+
 
+def align(own: np.ndarray, other: np.ndarray, anchors: np.ndarray, min_words: int = 0, identity: float = 0.0) -> tuple[int, int, int, int, int]:
+    """Bounds of the passage in both sequences, and how many of its words agree.
 
-def align(own: np.ndarray, other: np.ndarray, anchors: np.ndarray) -> tuple[int, int, int, int, int]:
-    """Bounds of the passage in both sequences, and how many of its words agree."""
-    (p, q), equal = anchors[0], K
+    If it has fewer words than ``min_words``, or by bounds too few that agree, that number is a bound that is too small as well.
+    """
+    (p, q), *rest = anchors.tolist()
+    equal, gaps = K, []
     end, other_end = p + K, q + K
-    for x, y in anchors[1:]:
+    for x, y in rest:
         # overlapping seeds, or a gap: equal, or with edits
         shift = max(end - x, other_end - y, 0)
         if shift >= K:
             continue
-        if x + shift - end == y + shift - other_end and (own[end : x + shift] == other[other_end : y + shift]).all():
-            equal += int(x + shift - end)
+        gap = x + shift - end
+        if gap == y + shift - other_end and (not gap or (own[end : x + shift] == other[other_end : y + shift]).all()):
+            equal += gap
         else:
-            a, b = own[end : x + shift].tolist(), other[other_end : y + shift].tolist()
-            equal += max(0, max(len(a), len(b)) - _edit_distance(a, b))
-        equal += K - int(shift)
+            gaps.append((end, x + shift, other_end, y + shift))
+        equal += K - shift
         end, other_end = x + K, y + K
     right = _extend(own[end : end + MARGIN].tolist(), other[other_end : other_end + MARGIN].tolist())
     left = _extend(own[max(0, p - MARGIN) : p][::-1].tolist(), other[max(0, q - MARGIN) : q][::-1].tolist())
-    return int(p - left[0]), int(end + right[0]), int(q - left[1]), int(other_end + right[1]), equal + left[2] + right[2]
+    start, stop, other_start, other_stop, equal = p - left[0], end + right[0], q - left[1], other_end + right[1], equal + left[2] + right[2]
+    most = equal + sum(min(t - f, u - g) for f, t, g, u in gaps)
+    if stop - start < min_words or most < identity * max(stop - start, other_stop - other_start):
+        return start, stop, other_start, other_stop, most
+    for f, t, g, u in gaps:
+        a, b = own[f:t].tolist(), other[g:u].tolist()
+        equal += max(0, max(len(a), len(b)) - _edit_distance(a, b))
+    return start, stop, other_start, other_stop, equal
 
 
 PASSAGE = T.StructType([T.StructField(n, t) for n, t in (("source", T.LongType()), ("start", T.IntegerType()), ("end", T.IntegerType()), ("source_start", T.IntegerType()), ("source_end", T.IntegerType()), ("agreeing", T.IntegerType()))])
@@ -524,7 +569,7 @@ def _passages(chains: pa.Table, by: dict, own_of: dict[int, np.ndarray], min_wor
                 continue  # another text of the same id
             if any(a <= anchors[0, 0] and anchors[-1, 0] + K <= b for a, b in covered.get(i, []) if exact) or any(p["source"] == source and p["start"] <= anchors[0, 0] and anchors[-1, 0] + K <= p["end"] for p in found.get(i, [])):
                 continue
-            a, b, c, d, equal = align(own, other, anchors)
+            a, b, c, d, equal = align(own, other, anchors, min_words, identity)
             if b - a >= min_words and equal >= identity * max(b - a, d - c):
                 found.setdefault(i, []).append({"source": source, "start": a, "end": b, "source_start": c + start, "source_end": d + start, "agreeing": equal})
                 covered[i] = _merged([*covered.get(i, []), (a, b)])
@@ -588,12 +633,13 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: in
 
 def _reached(place: np.ndarray, row: np.ndarray, key: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Indexes of all pairs of different seeds of a row, sorted by row and place, of which a chain can hold one after the other."""
-    for step in range(1, len(place)):
-        i = np.flatnonzero((row[step:] == row[:-step]) & (place[step:] - place[:-step] <= MOST_GAP + K))
-        if not len(i):
-            return
-        i = i[key[i] != key[i + step]]
-        yield i, i + step
+    at = (row.astype(np.int64) << 32) + place
+    for a in range(0, len(at), _PIECE):
+        n = np.searchsorted(at, at[a : a + _PIECE] + (MOST_GAP + K), "right") - np.arange(a, min(len(at), a + _PIECE)) - 1
+        i = np.repeat(np.arange(a, a + len(n)), n)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+        use = key[i] != key[j]
+        yield i[use], j[use]
 
 
 _HELD = "bucket int, doc long, mark long, passages array<struct<source long, start int, end int, source_start int, source_end int, agreeing int>>, held binary, places binary, open binary, size long"
@@ -769,7 +815,7 @@ def _into_blocks(table: pa.Table, members: pa.Table) -> pa.Table:
 
 
 _PAD = np.int64(1 << 33)
-_STEPS = ((1, 1), (1, 0), (0, 1), (2, 0), (0, 2), (2, 2), (3, 0), (0, 3))
+_OWN, _THEIR = np.array(_STEPS).T
 
 
 def extensions(a: np.ndarray, words: np.ndarray, start: np.ndarray, length: np.ndarray, sign: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -778,6 +824,7 @@ def extensions(a: np.ndarray, words: np.ndarray, start: np.ndarray, length: np.n
     size, n = len(a) - 6, len(start)
     i, j, equal, value, best = (np.zeros(n, np.int64) for _ in range(5))
     ends = np.zeros((3, n), np.int64)
+    ahead = np.arange(5)[:, None]
 
     def other(rows: np.ndarray, at: np.ndarray) -> np.ndarray:
         inside = at < length[rows]
@@ -793,16 +840,12 @@ def extensions(a: np.ndarray, words: np.ndarray, start: np.ndarray, length: np.n
         best[s] = value[s]
         ends[:, s] = i[s], j[s], equal[s]
         if len(t):
-            own = [a[i[t] + d] for d in range(5)]
-            their = [other(t, j[t] + d) for d in range(5)]
-            di, dj, free = np.ones(len(t), np.int64), np.ones(len(t), np.int64), np.ones(len(t), bool)
-            for x, y in _STEPS:
-                fits = free & (own[x] != _PAD) & (own[x] == their[y]) & (own[x + 1] == their[y + 1])
-                di[fits], dj[fits] = x, y
-                free &= ~fits
-            i[t] += di
-            j[t] += dj
-            value[t] -= 2 * np.maximum(di, dj)
+            own, their = a[i[t] + ahead], other(t, j[t] + ahead)
+            fits = (own[_OWN] == their[_THEIR]) & (own[_OWN + 1] == their[_THEIR + 1]) & (own[_OWN] != _PAD)
+            step = np.where(fits.any(axis=0), fits.argmax(axis=0), 0)  # none fits: one word on, as the first step
+            i[t] += _OWN[step]
+            j[t] += _THEIR[step]
+            value[t] -= 2 * np.maximum(_OWN, _THEIR)[step]
         alive = alive[(i[alive] < size) & (j[alive] < length[alive]) & (value[alive] > best[alive] - 8)]
     return ends[0], ends[1], ends[2]
 
@@ -840,6 +883,7 @@ def _compared(min_words: int, identity: float) -> Callable[[pa.Table], pa.Table]
         # in other documents a pair is where it is first
         at = at[np.lexsort((at[:, 3], at[:, 2], at[:, 1], at[:, 0]))]
         at = at[np.concatenate(([True], (at[1:, 0] != at[:-1, 0]) | (at[1:, 1] != at[:-1, 1])))]
+        of_pairs = at[:, 1].copy()
         edges = np.searchsorted(asking[:, 1], np.arange(len(keys) + 1))
         cuts = np.concatenate((np.flatnonzero(np.concatenate(([True], at[1:, 0] != at[:-1, 0]))), [len(at)]))
         slices = {pair: (f, t) for pair, f, t in zip(at[cuts[:-1], 0].tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)}
@@ -934,11 +978,14 @@ def _compared(min_words: int, identity: float) -> Callable[[pa.Table], pa.Table]
 
             for pair, _, p, p2, _ in asking[edges[r] : edges[r + 1]].tolist():
                 f, t = slices[pair]
+                holders = of_pairs[f:t]
+                if done[holders].all() or (settled(p) and settled(p2)):
+                    continue
                 if t - f <= 30:
-                    for k in at[f:t, 1][~done[at[f:t, 1]] & ~weighed[at[f:t, 1]]].tolist():
+                    for k in holders[~(done | weighed)[holders]].tolist():
                         weighed[k], done[k] = True, not possible(mine, pairs_of, k)
-                if done[at[f:t, 1]].all() or (settled(p) and settled(p2)):
-                    continue
+                    if done[holders].all():
+                        continue
                 if hits is None:
                     lows, highs = np.searchsorted(seed_key, keys[r], "left"), np.searchsorted(seed_key, keys[r], "right")
                     many = highs - lows
@@ -1007,7 +1054,7 @@ def _passages_of(own: np.ndarray, keys: np.ndarray, places: np.ndarray, other: n
     for anchors in sorted(chains, key=lambda x: (-len(x), x.tolist())):
         if any(f <= anchors[0, 0] and anchors[-1, 0] + K <= t for f, t, *_ in found):
             continue
-        f, t, c, d, equal = align(own, other, anchors)
+        f, t, c, d, equal = align(own, other, anchors, min_words, identity)
         if t - f >= min_words and equal >= identity * max(t - f, d - c):
             found.append((f, t, c, d, equal))
     return found

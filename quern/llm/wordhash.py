@@ -23,10 +23,11 @@ _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.u
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective finaliser, so that every bit of the input reaches every bit of the output."""
     h = h ^ (h >> np.uint64(31))
-    h = h * np.uint64(0x7FB5D329728EA185)
-    h = h ^ (h >> np.uint64(27))
-    h = h * np.uint64(0x81DADEF4BC2DD44D)
-    return h ^ (h >> np.uint64(33))
+    h *= np.uint64(0x7FB5D329728EA185)
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(0x81DADEF4BC2DD44D)
+    h ^= h >> np.uint64(33)
+    return h
 
 
 def power_table(size: int) -> tuple[np.ndarray, np.ndarray]:

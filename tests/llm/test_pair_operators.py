@@ -414,6 +414,56 @@ def test_extensions_are_those_of_one_pair_at_a_time():
         assert list(zip(*(x.tolist() for x in passage_dedup.extensions(a, flat, start + size - 1, size, -1)), strict=True)) == want
 
 
+def test_edits_are_not_counted_where_bounds_settle_it(monkeypatch):
+    """Two texts with two seeds in common, 20 words apart, and nothing else: no passage, without a comparison word by word."""
+    rng = np.random.default_rng(7)
+    own, other = (rng.integers(1, 1 << 32, 200, dtype=np.uint32) for _ in range(2))
+    for a, b in ((100, 90), (126, 118)):
+        other[b : b + passage_dedup.K] = own[a : a + passage_dedup.K]
+    places, other_places, keys = np.array([100, 126]), np.array([90, 118]), np.array([5, 9], np.uint64)
+    calls, count = [], passage_dedup._edit_distance
+    monkeypatch.setattr(passage_dedup, "_edit_distance", lambda a, b: calls.append(1) or count(a, b))
+    assert passage_dedup._passages_of(own, keys, places, other, keys, other_places, 50, 0.8) == [] and not calls
+    # 20 and 22 words between the seeds, with 5 edits, are a passage
+    other[96:114] = own[107:125]
+    start, end, other_start, other_end, agreeing = passage_dedup._passages_of(own, keys, places, other, keys, other_places, 30, 0.8)[0]
+    assert (start, end, other_start, other_end, agreeing) == (100, 132, 90, 124, 2 * passage_dedup.K + 22 - 5) and calls
+
+
+def test_short_ways_give_the_same(monkeypatch):
+    rng = random.Random(8)
+
+    def distance(a, b):
+        rows = [list(range(len(b) + 1))]
+        for i, x in enumerate(a, 1):
+            rows.append([i])
+            for j, y in enumerate(b, 1):
+                rows[i].append(min(rows[i][j - 1] + 1, rows[i - 1][j] + 1, rows[i - 1][j - 1] + (x != y)))
+        return rows[-1][-1]
+
+    for _ in range(2000):
+        a, b = ([rng.randrange(rng.choice((2, 5, 40))) for _ in range(rng.randrange(9))] for _ in range(2))
+        assert passage_dedup._edit_distance(a, b) == distance(a, b)
+    # matches that all follow each other, and the same behind one that lets the tree be used
+    for _ in range(300):
+        place, source = (np.cumsum([rng.choice((1, 4, 8, 30, 62, 66, 67)) for _ in range(rng.randrange(2, 30))]).tolist() for _ in range(2))
+        n = min(len(place), len(source))
+        place, source = place[:n], source[:n]
+        far = [-1000, -999], [9_000, 8_000]
+        behind = [[i - 2 for i in one] for one in passage_dedup.chain(far[0] + place, far[1] + source) if min(one) > 1]
+        assert passage_dedup.chain(place, source) == behind
+    monkeypatch.setattr(passage_dedup, "_PIECE", 7)
+    row = np.sort(np.array([rng.randrange(4) for _ in range(60)]))
+    place = np.concatenate([np.sort(rng.sample(range(300), int((row == r).sum()))) for r in range(4)]).astype(np.int64)
+    key = np.array([rng.randrange(9) for _ in row], np.uint64)
+    want = [(i, j) for i in range(60) for j in range(i + 1, 60) if row[i] == row[j] and place[j] - place[i] <= passage_dedup.MOST_GAP + passage_dedup.K and key[i] != key[j]]
+    assert sorted((i, j) for x, y in passage_dedup._reached(place, row, key) for i, j in zip(x.tolist(), y.tolist(), strict=True)) == want
+    words, owners = np.array([rng.randrange(1 << 30) for _ in range(100)], np.uint64), np.repeat([0, 1, 3], [40, 9, 51])
+    pieces = passage_dedup._sampled(words, owners)
+    monkeypatch.undo()
+    assert all((x == y).all() for x, y in zip(pieces, passage_dedup._sampled(words, owners), strict=True))
+
+
 def all_passages(texts, min_words=50, identity=0.8):
     """By brute force, for each document and each earlier one: the passages that all their common seeds make, and the seeds that both hold."""
     words, owners = wordhash.word_hashes([t.encode() for t in texts])
