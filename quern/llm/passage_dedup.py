@@ -43,7 +43,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import deque
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from operator import lt
 
 import numpy as np
@@ -485,12 +485,12 @@ def _extend(a: list[int], b: list[int]) -> tuple[int, int, int]:
     return best
 
 
-def align(own: np.ndarray, other: np.ndarray, anchors: np.ndarray, min_words: int = 0, identity: float = 0.0) -> tuple[int, int, int, int, int]:
+def align(own: np.ndarray, other: np.ndarray, anchors: Sequence[tuple[int, int]], min_words: int = 0, identity: float = 0.0) -> tuple[int, int, int, int, int]:
     """Bounds of the passage in both sequences, and how many of its words agree.
 
     If it has fewer words than ``min_words``, or by bounds too few that agree, that number is a bound that is too small as well.
     """
-    (p, q), *rest = anchors.tolist()
+    (p, q), *rest = anchors
     equal, gaps = K, []
     end, other_end = p + K, q + K
     for x, y in rest:
@@ -569,7 +569,7 @@ def _passages(chains: pa.Table, by: dict, own_of: dict[int, np.ndarray], min_wor
                 continue  # another text of the same id
             if any(a <= anchors[0, 0] and anchors[-1, 0] + K <= b for a, b in covered.get(i, []) if exact) or any(p["source"] == source and p["start"] <= anchors[0, 0] and anchors[-1, 0] + K <= p["end"] for p in found.get(i, [])):
                 continue
-            a, b, c, d, equal = align(own, other, anchors, min_words, identity)
+            a, b, c, d, equal = align(own, other, anchors.tolist(), min_words, identity)
             if b - a >= min_words and equal >= identity * max(b - a, d - c):
                 found.setdefault(i, []).append({"source": source, "start": a, "end": b, "source_start": c + start, "source_end": d + start, "agreeing": equal})
                 covered[i] = _merged([*covered.get(i, []), (a, b)])
@@ -818,8 +818,14 @@ _PAD = np.int64(1 << 33)
 _OWN, _THEIR = np.array(_STEPS).T
 
 
-def extensions(a: np.ndarray, words: np.ndarray, start: np.ndarray, length: np.ndarray, sign: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``_extend`` of one sequence with many: those of the given lengths that start in ``words`` and go on in the direction ``sign``."""
+def extensions(a: np.ndarray, words: np.ndarray, start: np.ndarray, length: np.ndarray, sign: int, few: int = 16) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``_extend`` of one sequence with many: those of the given lengths that start in ``words`` and go on in the direction ``sign``; with a ``few`` one by one."""
+    if len(start) <= few:
+        mine, found = a.tolist(), []
+        for f, n in zip(start.tolist(), length.tolist(), strict=True):
+            found.append(_extend(mine, (words[f : f + n] if sign > 0 else words[f - n + 1 : f + 1][::-1]).tolist()))
+        i, j, equal = np.array(found, np.int64).reshape(-1, 3).T
+        return i, j, equal
     a = np.concatenate((a.astype(np.int64), np.full(6, _PAD)))
     size, n = len(a) - 6, len(start)
     i, j, equal, value, best = (np.zeros(n, np.int64) for _ in range(5))
@@ -850,6 +856,12 @@ def extensions(a: np.ndarray, words: np.ndarray, start: np.ndarray, length: np.n
     return ends[0], ends[1], ends[2]
 
 
+def _twos(words: np.ndarray) -> np.ndarray:
+    """All pairs of neighbouring words, as 64 bits."""
+    words = words.astype(np.uint64)
+    return words[:-1] << np.uint64(32) | words[1:]
+
+
 def _compared(min_words: int, identity: float) -> Callable[[pa.Table], pa.Table]:
     """Of a block, the passages of texts that ask with all earlier documents that hold one of their pairs of seeds.
 
@@ -893,7 +905,7 @@ def _compared(min_words: int, identity: float) -> Callable[[pa.Table], pa.Table]
         seed_key, seed_row = seed_key[order], seed_row[order]
         out = []
         sides: dict[int, list[tuple]] = {}
-        kinds: dict[int, tuple] = {}
+        kinds: dict[int, np.ndarray] = {}
         firsts: dict[int, tuple] = {}
 
         def run_of(own: np.ndarray, other: np.ndarray) -> int:
@@ -941,10 +953,9 @@ def _compared(min_words: int, identity: float) -> Callable[[pa.Table], pa.Table]
                         found[of[x:y]] = True
             return found | (total >= min_words)
 
-        def words_in(k: int) -> tuple:
+        def words_in(k: int) -> np.ndarray:
             if k not in kinds:
-                two = texts[k].astype(np.uint64)
-                kinds[k] = np.unique(texts[k]), np.unique(two[:-1] << np.uint64(32) | two[1:])
+                kinds[k] = np.unique(texts[k])
             return kinds[k]
 
         def spots_in(k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -953,21 +964,34 @@ def _compared(min_words: int, identity: float) -> Callable[[pa.Table], pa.Table]
                 firsts[k] = keys[k][one], places[k][one]
             return firsts[k]
 
-        def possible(mine: np.ndarray, pairs_of: np.ndarray, k: int) -> bool:
-            """Whether two texts have as many words, and pairs of words, in common as a passage has."""
-            words, two = words_in(k)
-            if (words[np.minimum(np.searchsorted(words, mine), len(words) - 1)] == mine).sum() < identity * min_words:
-                return False
-            # of n words (1 - identity) * n on each side may differ, and each of these part two runs of equal ones
-            least = (3 * identity - 2) * min_words - 1
-            return least <= 0 or len(two) > 0 and (two[np.minimum(np.searchsorted(two, pairs_of), len(two) - 1)] == pairs_of).sum() >= least - 1e-9
+        # of n words (1 - identity) * n on each side may differ, and each of these part two runs of equal ones
+        least = (3 * identity - 2) * min_words - 1
+        two, two_row = (np.concatenate(x) for x in ([_twos(t) for t in texts], [np.full(max(0, len(t) - 1), k) for k, t in enumerate(texts)]))
+        order = np.argsort(two, kind="stable")
+        two, two_row = two[order], two_row[order]
+        new = np.concatenate(([True], (two[1:] != two[:-1]) | (two_row[1:] != two_row[:-1])))[: len(two)]
+        two, two_row = two[new], two_row[new]
+
+        def alien(mine: np.ndarray) -> np.ndarray:
+            """Which texts have fewer pairs of words in common with one than a passage has."""
+            if least <= 0:
+                return np.zeros(len(texts), bool)
+            mine, times = exchange.summed(_twos(mine))
+            lows, many = np.searchsorted(two, mine, "left"), np.searchsorted(two, mine, "right")
+            many -= lows
+            rows = two_row[np.repeat(lows - np.cumsum(many) + many, many) + np.arange(many.sum())]
+            return np.bincount(rows, np.repeat(times, many), len(texts)) < least - 1e-9
+
+        def possible(mine: np.ndarray, k: int) -> bool:
+            """Whether two texts have as many words in common as a passage has."""
+            words = words_in(k)
+            return (words[np.minimum(np.searchsorted(words, mine), len(words) - 1)] == mine).sum() >= identity * min_words
 
         for r in np.flatnonzero(np.diff(edges)).tolist():
             mine, hits = texts[r], None
-            pairs_of = mine[:-1].astype(np.uint64) << np.uint64(32) | mine[1:]
             covered: list[tuple[int, int]] = []
             # later documents, those of other blocks, and those that were aligned with this one
-            weighed = np.zeros(len(doc), bool)
+            weighed, counted = np.zeros(len(doc), bool), False
             done = (doc >= doc[r]) | ((a != b) & (own == own[r]))
             low, high, their_low, their_high = (np.full(len(doc), v) for v in (1 << 40, -1, 1 << 40, -1))
             open_at = np.sort(places[r][left[r]]).astype(np.int64)
@@ -981,28 +1005,35 @@ def _compared(min_words: int, identity: float) -> Callable[[pa.Table], pa.Table]
                 holders = of_pairs[f:t]
                 if done[holders].all() or (settled(p) and settled(p2)):
                     continue
+                if not counted:
+                    counted, done = True, done | alien(mine)
+                    if done.all():
+                        break
+                free = ~done[holders]
                 if t - f <= 30:
-                    for k in holders[~(done | weighed)[holders]].tolist():
-                        weighed[k], done[k] = True, not possible(mine, pairs_of, k)
-                    if done[holders].all():
-                        continue
+                    for k in holders[free & ~weighed[holders]].tolist():
+                        weighed[k], done[k] = True, not possible(mine, k)
+                    free = ~done[holders]
+                if not free.any():
+                    continue
                 if hits is None:
                     lows, highs = np.searchsorted(seed_key, keys[r], "left"), np.searchsorted(seed_key, keys[r], "right")
                     many = highs - lows
                     hits = seed_row[np.repeat(lows - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum())], np.repeat(places[r].astype(np.int64), many)
+                j, q, q2 = holders[free], at[f:t, 2][free], at[f:t, 3][free]
+                fresh = ~((low[j] <= p) & (p2 + K <= high[j]) & (their_low[j] <= q) & (q2 + K <= their_high[j]))
+                if not fresh.any():
+                    continue
                 # common seeds about, by place
                 edge = np.searchsorted(hits[1], (p - MARGIN - reach - K, p, p2 + 1, p2 + K + MARGIN + reach + 1))
                 row, x = (np.concatenate((c[edge[0] : edge[1]], c[edge[2] : edge[3]])) for c in hits)
-                some = at[f:t]
-                if p2 + K - p < min_words and len(some) > 30:
+                if p2 + K - p < min_words and fresh.sum() > 30:
                     about = np.zeros(len(doc), bool)
                     about[row] = True
-                    some = some[likely(mine, p, p2, pair, some) | about[some[:, 1]]]
-                j, q, q2 = some[:, 1], some[:, 2], some[:, 3]
-                use = ~done[j] & ~((low[j] <= p) & (p2 + K <= high[j]) & (their_low[j] <= q) & (q2 + K <= their_high[j]))
-                j, q, q2 = j[use], q[use], q2[use]
-                if not len(j):
-                    continue
+                    fresh &= likely(mine, p, p2, pair, at[f:t])[free] | about[j]
+                    if not fresh.any():
+                        continue
+                j, q, q2 = j[fresh], q[fresh], q2[fresh]
                 right = extensions(mine[p2 + K : p2 + K + MARGIN], flat, base[j] + q2 + K, np.clip(size[j] - q2 - K, 0, MARGIN), 1)
                 back = extensions(mine[max(0, p - MARGIN) : p][::-1], flat, base[j] + q - 1, np.minimum(q, MARGIN), -1)
                 start, end, their_start, their_end = p - back[0], p2 + K + right[0], q - back[1], q2 + K + right[1]
@@ -1016,7 +1047,7 @@ def _compared(min_words: int, identity: float) -> Callable[[pa.Table], pa.Table]
                     if settled(p) and settled(p2):
                         break
                     done[k] = True
-                    if t - f > 30 and not possible(mine, pairs_of, k):
+                    if t - f > 30 and not possible(mine, k):
                         continue
                     for passage in _passages_of(mine, keys[r], places[r], texts[k], *spots_in(k), min_words, identity):
                         if any(u <= passage[0] and passage[1] <= v for u, v in covered):
@@ -1050,9 +1081,10 @@ def _passages_of(own: np.ndarray, keys: np.ndarray, places: np.ndarray, other: n
     q = other_places[both][np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())]
     p = np.repeat(places, n)
     found: list[tuple[int, int, int, int, int]] = []
-    chains = [np.array([(p[i], q[i]) for i in one], np.int64) for one in chain(p.tolist(), q.tolist()) if len(one) >= LEAST_SEEDS] if len(p) else []
-    for anchors in sorted(chains, key=lambda x: (-len(x), x.tolist())):
-        if any(f <= anchors[0, 0] and anchors[-1, 0] + K <= t for f, t, *_ in found):
+    spots = list(zip(p.tolist(), q.tolist(), strict=True))
+    chains = [[spots[i] for i in one] for one in chain(*map(list, zip(*spots, strict=True))) if len(one) >= LEAST_SEEDS] if spots else []
+    for anchors in sorted(chains, key=lambda x: (-len(x), x)):
+        if any(f <= anchors[0][0] and anchors[-1][0] + K <= t for f, t, *_ in found):
             continue
         f, t, c, d, equal = align(own, other, anchors, min_words, identity)
         if t - f >= min_words and equal >= identity * max(t - f, d - c):
